@@ -59,9 +59,7 @@ PROMOTIONS = [
     (3, "B2B-98-5", "B2B five percent", 4, "percent", 5),
 ]
 
-# fixed values: price factor per channel code, and the factor of any other channel
-PRICE_FACTORS = {"B2B": "0.90", "MKT": "0.97", "WEB": "1.00", "SOCIAL": "0.98"}
-OTHER_PRICE_FACTOR = "1.02"
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 
 
 def _id(c: str) -> Column:
@@ -82,7 +80,12 @@ class Canonical:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """Scan of a given table; the schema is read from the file footers once per session."""
+        path = f"{self.folder}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     def _inline(self, rows: list[tuple], ddl: list[tuple[str, T.DataType]]) -> DataFrame:
         return inline_values(self.spark, rows, T.StructType([T.StructField(n, t) for n, t in ddl]))
