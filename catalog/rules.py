@@ -30,7 +30,7 @@ _ORDER_CHECK = """SELECT r.*, company_id, CASE WHEN b.branch_id IS NULL THEN 'in
     LEFT JOIN (SELECT * FROM customers WHERE is_active) c ON c.customer_id = r.customer_id
     LEFT JOIN (SELECT * FROM sales_channels WHERE is_active) h ON h.channel_id = r.channel_id"""
 
-# --- line requests: a manual price on every fifth product, a manual discount on every third warehouse
+# --- line requests (an inactive product has no list price): a manual price on every fifth product, a manual discount on every third warehouse
 
 
 def _line_requests(c: Canonical):
@@ -56,8 +56,8 @@ def _priced(c: Canonical):
 
 def _line_context(c: Canonical):
     heads = c.sales_orders.select("order_id", "channel_id", "order_date")
-    items = c.products.select("product_id", "list_price")
-    return _line_requests(c).join(heads, "order_id").join(items, "product_id")
+    items = c.products.where("is_active").select("product_id", "list_price")
+    return _line_requests(c).join(heads, "order_id").join(items, "product_id", "left")
 
 
 _LINE_REQUESTS = """(SELECT order_line_id, l.order_id, l.product_id, warehouse_id, CASE WHEN quantity = 13 THEN 0 ELSE quantity END AS quantity,
@@ -67,7 +67,7 @@ _LINE_REQUESTS = """(SELECT order_line_id, l.order_id, l.product_id, warehouse_i
     p.list_price, p.standard_cost, p.is_active
     FROM sales_order_lines l JOIN sales_orders o ON o.order_id = l.order_id JOIN products p ON p.product_id = l.product_id)"""
 
-_LISTED = f"""(SELECT q.*, coalesce(manual_price, listed, list_price) AS price FROM (
+_LISTED = f"""(SELECT q.*, coalesce(manual_price, listed, CASE WHEN is_active THEN list_price END) AS price FROM (
     SELECT r.*, x.listed FROM {_LINE_REQUESTS} r LEFT JOIN (
       SELECT r.order_line_id, arg_max(pl.unit_price, (pl.valid_from, pl.price_list_id)) AS listed
       FROM {_LINE_REQUESTS} r JOIN price_lists pl ON pl.product_id = r.product_id AND pl.channel_id = r.channel_id

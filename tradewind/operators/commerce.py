@@ -122,7 +122,7 @@ def promotion_discount(gross: Column, manual: Column, kind: Column, value: Colum
     """A given non-zero discount wins; else percent of gross, or the fixed amount capped at gross."""
     percent = F.round(gross * value / 100, 2)
     by_terms = F.when(kind == "percent", percent).when(kind.isNotNull(), F.least(gross, value))
-    return F.when(manual != 0, manual).otherwise(F.coalesce(by_terms, manual))
+    return F.when((manual != 0) | kind.isNull(), manual).otherwise(by_terms)
 
 
 def price_lines(
@@ -289,7 +289,7 @@ def validate_returns(
     checked = joined.withColumn("__reason", reason)
     open_ = checked.where("__reason IS NULL")
     settled = accept_in_order(
-        open_, "return_id", ["order_line_id"], ["return_date"], ["return_id"],
+        open_, ["order_line_id"], ["return_date"], ["return_id"],
         amount=F.col("quantity").cast(QUANTITY),
         limit=(F.col("sold_quantity") - F.coalesce("__used", F.lit(0))).cast(QUANTITY),
     ).withColumn("__reason", F.when(~F.col("accepted"), "exceeds_sold_quantity")).drop("accepted")

@@ -87,7 +87,7 @@ def settle_payments(payments: DataFrame, invoices: DataFrame) -> DataFrame:
     )
     checked = asked.join(bills, "invoice_id", "left").withColumn("reject_reason", reason)
     settled = accept_in_order(
-        checked.where("reject_reason IS NULL"), "payment_id", ["invoice_id"], ["payment_date"], ["payment_id"],
+        checked.where("reject_reason IS NULL"), ["invoice_id"], ["payment_date"], ["payment_id"],
         amount=F.col("amount_paid"), limit=F.col("outstanding"),
     ).withColumn("reject_reason", F.when(~F.col("accepted"), "exceeds_outstanding")).drop("accepted")
     return checked.where("reject_reason IS NOT NULL").unionByName(settled).select(

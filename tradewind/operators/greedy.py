@@ -11,10 +11,10 @@ sums are chunked (`totals_before`), so a hot key is spread over many tasks.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tradewind.functions import totals_before
 from tradewind.session import cut_lineage
@@ -43,7 +43,6 @@ def _fails_low() -> Column:
 
 def accept_in_order(
     items: DataFrame,
-    item_id: str,
     keys: Sequence[str],
     levels: Sequence[str],
     order: Sequence[str],
@@ -54,8 +53,9 @@ def accept_in_order(
     """Add `accepted` to items that each draw on one key; `limit` is the same on all rows of a key.
 
     Amounts must be positive, with at most three decimals. A key whose total
-    fits needs no ordering at all; only the others go through rounds, and a key
-    left with few undecided items is finished by a pandas pass over just those.
+    fits needs no ordering at all. Of the other keys, one with many undecided
+    items goes through rounds over chunked sums until few are left, and few
+    items are decided by one in-order pass.
     """
     keys = list(keys)
     valued = items.withColumn("__amount", amount).withColumn("__limit", limit)
@@ -69,50 +69,55 @@ def accept_in_order(
     hard = valued.join(over, keys, "left_semi").withColumn("__verdict", F.lit(None).cast("boolean"))
 
     state, rounds = cut_lineage(hard), 0
-    while True:
+    while _has_large_key(state, keys, fold_rows):
         rounds += 1
         decided = F.coalesce("__verdict", F.when(_fits_high(), True).when(_fails_low(), False))
         state = cut_lineage(
             _bounds(state, keys, levels, order).withColumn("__verdict", decided).drop("__low", "__high")
         )
-        open_items = state.where("__verdict IS NULL")
-        large = open_items.groupBy(*keys).count().where(F.col("count") > fold_rows).limit(1).count()
-        if not large:
-            break
-    log.info("accept_in_order: %d round(s) before the fold", rounds)
-
-    # what stays undecided is small per key: decide it in order, on top of what the accepted items use
-    unscaled = lambda c: (F.col(c) * 1000).cast("bigint")
-    left = (
-        _bounds(state, keys, levels, order)
-        .where("__verdict IS NULL")
-        .select(
-            *keys,
-            F.col(item_id).alias("__id"),
-            F.struct(*levels, *order).alias("__at"),
-            unscaled("__amount").alias("amount"),
-            (unscaled("__limit") - unscaled("__low")).alias("room"),
-        )
-        .select("*", *[F.col(f"__at.{c}").alias(f"__o{i}") for i, c in enumerate([*levels, *order])])
-        .drop("__at")
-    )
-    sort_by = [f"__o{i}" for i in range(len([*levels, *order]))]
-    id_type = items.schema[item_id].dataType.simpleString()
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(sort_by, kind="stable")
-        used, verdicts = 0, []
-        for size, room in zip(group["amount"].tolist(), group["room"].tolist()):
-            fits = used + size <= room
-            used += size if fits else 0
-            verdicts.append(fits)
-        return pd.DataFrame({"__id": group["__id"], "__fold": verdicts})
-
-    folded = left.groupBy(*keys).applyInPandas(fold, f"__id {id_type}, __fold boolean")
-    settled = state.join(folded, state[item_id] == folded["__id"], "left").select(
-        *[state[c] for c in items.columns], F.coalesce("__verdict", "__fold").alias("accepted")
+    log.info("accept_in_order: %d round(s) before the in-order pass", rounds)
+
+    if rounds:
+        state = _bounds(state, keys, levels, order).drop("__high")
+    else:
+        state = state.withColumn("__low", F.lit(0).cast(state.schema["__amount"].dataType))
+    done = state.where("__verdict IS NOT NULL").select(*items.columns, F.col("__verdict").alias("accepted"))
+    rest = _decide_in_order(state.where("__verdict IS NULL"), keys, [*levels, *order])
+    return easy.unionByName(done).unionByName(rest.select(*items.columns, "accepted"))
+
+
+def _has_large_key(state: DataFrame, keys: Sequence[str], rows: int) -> bool:
+    sizes = state.where("__verdict IS NULL").groupBy(*keys).count()
+    return bool(sizes.where(F.col("count") > rows).limit(1).count())
+
+
+def _decide_in_order(items: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One pass over items sorted by key and order, on top of what the accepted items use (`__low`).
+
+    Keys are spread over all tasks; the caller has checked how many items one key holds.
+    """
+    thousandths = lambda c: (c * 1000).cast("bigint")
+    sized = items.withColumn("__size", thousandths(F.col("__amount"))).withColumn(
+        "__room", thousandths(F.col("__limit") - F.col("__low"))
     )
-    return easy.unionByName(settled)
+    ordered = sized.repartition(*keys).sortWithinPartitions(*keys, *order)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, used = None, 0
+        for batch in batches:
+            verdicts = []
+            values = [batch.column(name).to_pylist() for name in ("__size", "__room", *keys)]
+            for size, room, *key in zip(*values):
+                if key != current:
+                    current, used = key, 0
+                fits = used + size <= room
+                used += size if fits else 0
+                verdicts.append(fits)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(verdicts, pa.bool_())], [*batch.schema.names, "accepted"]
+            )
+
+    return ordered.mapInArrow(walk, T.StructType([*ordered.schema.fields, T.StructField("accepted", T.BooleanType())]))
 
 
 def accept_groups_in_order(
