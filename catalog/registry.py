@@ -6,7 +6,7 @@ import importlib
 
 from catalog.query import Query
 
-_MODULES = ["star", "rules", "analyses"]
+_MODULES = ["star", "rules", "analyses", "platform"]
 
 QUERIES: dict[str, Query] = {}
 for _name in _MODULES:

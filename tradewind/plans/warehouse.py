@@ -107,10 +107,12 @@ class Warehouse:
         return serving.dashboard_payload(sections)
 
 
-# what a full refresh writes: the tables in order, dimensions and facts before marts
-MODELS = [
-    "dim_date", "dim_customer", "dim_product", "dim_channel", "dim_warehouse", "dim_carrier",
-    "fact_sales_order_lines", "fact_inventory_balance", "fact_logistics_shipments", "fact_payments",
-    "mart_dashboard_kpis", "mart_daily_sales", "mart_sales_by_channel", "mart_top_products",
-    "mart_inventory_alerts", "mart_logistics_performance", "mart_customer_rfm",
+# what a full refresh writes: the tables of one wave need only those of earlier waves
+WAVES = [
+    ["dim_date", "dim_customer", "dim_product", "dim_channel", "dim_warehouse", "dim_carrier",
+     "fact_sales_order_lines", "fact_logistics_shipments", "fact_payments"],
+    ["fact_inventory_balance", "mart_dashboard_kpis", "mart_daily_sales", "mart_sales_by_channel",
+     "mart_top_products", "mart_logistics_performance", "mart_customer_rfm"],
+    ["mart_inventory_alerts"],
 ]
+MODELS = [name for wave in WAVES for name in wave]
