@@ -6,7 +6,7 @@ import importlib
 
 from catalog.query import Query
 
-_MODULES = ["star", "rules", "analyses", "platform"]
+_MODULES = ["star", "rules", "analyses", "platform", "streams"]
 
 QUERIES: dict[str, Query] = {}
 for _name in _MODULES:
