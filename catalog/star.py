@@ -53,7 +53,7 @@ _JSON = {
 
 def _dashboard_rows(c: Canonical):
     """The payload with its numbers read back, so that text forms of numbers do not matter."""
-    rows = warehouse(c).dashboard()
+    rows = warehouse(c).staged().dashboard()
     number = lambda path: F.get_json_object("payload", f"$.{path}").cast("double")
     return rows.select(
         "section", "rank",

@@ -11,7 +11,7 @@ QUANTITY = "decimal(18,3)"
 
 
 def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return F.expr(c) if isinstance(c, str) else c
 
 
 def round_money(c: Column | str) -> Column:
@@ -29,8 +29,13 @@ def exact_ratio(num: Column | str, den: Column | str, scale: int) -> Column:
 
     A plain decimal division rounds at its own scale first, and rounding that
     again moves ties. NULL when `den` is zero or either side is NULL.
-    Integer arguments must be cast to a decimal by the caller.
+    Integer arguments must be cast to a decimal by the caller. Text is SQL: a name or an expression.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        # names or SQL text on both sides: the whole quotient is one parsed expression
+        whole = f"((abs({num}) * {2 * 10**scale} + abs({den})) div nullif(abs({den}) * 2, 0))"
+        signed = f"if((({num}) < 0) != (({den}) < 0), -{whole}, {whole})"
+        return F.expr(f"cast({signed} as decimal(18,0)) * {Decimal(1).scaleb(-scale):f}BD")
     num, den = _col(num), _col(den)
     twice = F.abs(den) * F.lit(2)
     scaled = F.abs(num) * F.lit(2 * 10**scale) + F.abs(den)

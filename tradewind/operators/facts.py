@@ -12,7 +12,7 @@ def fact_sales_order_lines(lines: DataFrame, orders: DataFrame, promotions: Data
     heads = orders.select("order_id", "order_number", "order_date", "order_status", "customer_id", "channel_id", "branch_id")
     codes = promotions.select("promotion_id", "promotion_code")
     margin = F.col("net_amount") - F.col("estimated_cost")
-    rate = F.coalesce(exact_ratio(margin, "net_amount", 4), F.lit(0))
+    rate = F.coalesce(exact_ratio("net_amount - estimated_cost", "net_amount", 4), F.lit(0))
     return (
         lines.join(heads, "order_id")
         .join(codes, "promotion_id", "left")
@@ -70,9 +70,9 @@ def fact_inventory_balance(
         "reorder_point",
         status.alias("stock_status"),
         quantity.alias("quantity_sold_14d"),
-        exact_ratio(quantity, F.lit(14).cast("decimal(2,0)"), 3).alias("avg_daily_sales_14d"),
+        exact_ratio("coalesce(sold, 0)", "14BD", 3).alias("avg_daily_sales_14d"),
         # available / (sold / 14), with the one division last
-        exact_ratio(available * 14, quantity, 2).alias("days_of_inventory"),
+        exact_ratio("(on_hand_qty - reserved_qty) * 14", "coalesce(sold, 0)", 2).alias("days_of_inventory"),
     )
 
 

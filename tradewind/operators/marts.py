@@ -93,8 +93,7 @@ def mart_inventory_alerts(stock: DataFrame, warehouses: DataFrame, products: Dat
 
 
 def _mean(sum_col: str, count_col: str, scale: int) -> Column:
-    wide = "decimal(20,0)"
-    return exact_ratio(F.col(sum_col).cast(wide), F.col(count_col).cast(wide), scale)
+    return exact_ratio(f"cast({sum_col} as decimal(20,0))", f"cast({count_col} as decimal(20,0))", scale)
 
 
 def mart_logistics_performance(shipments: DataFrame, carriers: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ WIDE = "decimal(20,0)"
 
 
 def _share(part: str, whole: str, scale: int = 4) -> Column:
-    return exact_ratio(F.col(part).cast(WIDE), F.col(whole).cast(WIDE), scale)
+    return exact_ratio(f"cast({part} as {WIDE})", f"cast({whole} as {WIDE})", scale)
 
 
 def target_vs_actual(targets: DataFrame, actuals: DataFrame, keys: Sequence[str]) -> DataFrame:

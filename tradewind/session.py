@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # recording the call site of every column costs several driver round trips each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 

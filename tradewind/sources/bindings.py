@@ -87,6 +87,17 @@ class Canonical:
             _SCHEMAS[key] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """Scan of a large table; a table of one file, which one task would read, is hashed over the cores.
+
+        A table of many files keeps the splits of its scan. The key is the one
+        that the next join or aggregate needs, so that step shuffles no more.
+        """
+        rows = self.raw(name)
+        if len(rows.inputFiles()) > 1:
+            return rows
+        return rows.repartition(self.spark.sparkContext.defaultParallelism, key)
+
     def _inline(self, rows: list[tuple], ddl: list[tuple[str, T.DataType]]) -> DataFrame:
         return inline_values(self.spark, rows, T.StructType([T.StructField(n, t) for n, t in ddl]))
 
@@ -262,7 +273,7 @@ class Canonical:
         cents = (gross * 100).cast("bigint")
         discount = round_money(gross * F.abs("l_discount").cast("decimal(4,2)"))
         quantity = F.col("l_quantity").cast(QUANTITY)
-        return self.raw("lineitem").select(
+        return self.spread("lineitem", "l_orderkey").select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("order_line_id"),
             _id("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line_no"),
