@@ -7,6 +7,7 @@ columns, which costs no shuffle and stays the same on every read.
 
 from __future__ import annotations
 
+import os
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -88,13 +89,13 @@ class Canonical:
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     def spread(self, name: str, key: str) -> DataFrame:
-        """Scan of a large table; a table of one file, which one task would read, is hashed over the cores.
+        """Scan of a large table; one local file, which one task would read, is hashed over the cores.
 
-        A table of many files keeps the splits of its scan. The key is the one
-        that the next join or aggregate needs, so that step shuffles no more.
+        A table that is a folder of files keeps the splits of its scan. The key is
+        the one that the next join or aggregate needs, so that step shuffles no more.
         """
         rows = self.raw(name)
-        if len(rows.inputFiles()) > 1:
+        if not os.path.isfile(f"{self.folder.removeprefix('file://')}/{name}.parquet"):
             return rows
         return rows.repartition(self.spark.sparkContext.defaultParallelism, key)
 
