@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewind.functions import MONEY, QUANTITY, exact_ratio, neighbour_values, round_money
 from tradewind.operators.greedy import accept_in_order
+from tradewind.session import cut_lineage
 from tradewind.sources.tables import update_from
 
 # fixed values: price factor per channel code, and the factor of any other channel
@@ -286,7 +287,13 @@ def validate_returns(
         (~F.coalesce(F.col("order_status").isin("fulfilled", "invoiced", "paid"), F.lit(False)), "order_not_delivered"),
         (F.col("return_date") < F.col("order_date"), "before_order_date"),
     )
-    checked = joined.withColumn("__reason", reason)
+    # read once for the refused and three times for the open claims: written, not joined again
+    checked = cut_lineage(
+        joined.select(
+            *claims.columns, "order_id", "product_id", "warehouse_id", "sold_quantity", "__net", "customer_id", "__used",
+            reason.alias("__reason"),
+        )
+    )
     open_ = checked.where("__reason IS NULL")
     settled = accept_in_order(
         open_, ["order_line_id"], ["return_date"], ["return_id"],

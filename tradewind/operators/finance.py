@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradewind.functions import MONEY, round_money
 from tradewind.operators.commerce import first_failure
 from tradewind.operators.greedy import accept_in_order
+from tradewind.session import cut_lineage
 
 # fixed values: defaults
 TAX_RATE = "0.08"
@@ -85,7 +86,8 @@ def settle_payments(payments: DataFrame, invoices: DataFrame) -> DataFrame:
         (F.col("outstanding").isNull(), "unknown_invoice"),
         (F.col("payment_date") < F.col("invoice_date"), "before_invoice_date"),
     )
-    checked = asked.join(bills, "invoice_id", "left").withColumn("reject_reason", reason)
+    # read once for the refused and three times for the open payments: written, not joined again
+    checked = cut_lineage(asked.join(bills, "invoice_id", "left").withColumn("reject_reason", reason))
     settled = accept_in_order(
         checked.where("reject_reason IS NULL"), ["invoice_id"], ["payment_date"], ["payment_id"],
         amount=F.col("amount_paid"), limit=F.col("outstanding"),

@@ -135,31 +135,45 @@ def accept_groups_in_order(
     the order of `levels`, then `group_id`.
     """
     keys = list(keys)
-    rows = demand.withColumnsRenamed({amount: "__amount", limit: "__limit"})
+    # read four times below: written once
+    rows = cut_lineage(
+        demand.select(group_id, *keys, *levels, F.col(amount).alias("__amount"), F.col(limit).alias("__limit"))
+    )
     totals = rows.groupBy(*keys).agg(F.sum("__amount").alias("__sum"), F.max("__limit").alias("__cap"))
     contested = totals.where("__cap IS NULL OR __sum > __cap").select(*keys)
-    # a group that asks for an unknown key is refused on all its keys, before any round
-    unknown = rows.where("__limit IS NULL").select(group_id, F.lit(False).alias("__verdict")).distinct()
+    # a group that asks for an unknown key is refused before any round
+    refused = [rows.where("__limit IS NULL").select(group_id).distinct()]
     hard = rows.join(contested, keys, "left_semi").select(group_id, *keys, *levels, "__amount", "__limit")
-
-    state, rounds = cut_lineage(hard.join(unknown, group_id, "left")), 0
+    state = cut_lineage(
+        hard.join(refused[0], group_id, "left_anti").withColumn("__verdict", F.lit(None).cast("boolean"))
+    )
+    rounds = 0
     while state.where("__verdict IS NULL").limit(1).count():
         rounds += 1
-        bounded = _bounds(state, keys, levels, [group_id])
-        tests = bounded.where("__verdict IS NULL").groupBy(group_id).agg(
-            F.bool_and(_fits_high()).alias("__all"), F.bool_or(_fails_low()).alias("__any")
+        tests = (
+            _bounds(state, keys, levels, [group_id])
+            .where("__verdict IS NULL")
+            .groupBy(group_id)
+            .agg(F.bool_and(_fits_high()).alias("__all"), F.bool_or(_fails_low()).alias("__any"))
         )
         new = F.when(F.col("__any"), False).when(F.col("__all"), True)
-        verdicts = tests.select(group_id, new.alias("__new")).where("__new IS NOT NULL")
-        state = cut_lineage(
+        verdicts = cut_lineage(tests.select(group_id, new.alias("__new")).where("__new IS NOT NULL"))
+        refused.append(verdicts.where(~F.col("__new")).select(group_id))
+        # refused rows use nothing, and accepted rows matter only on keys that still have open ones,
+        # so each round works on less
+        updated = (
             state.join(verdicts, group_id, "left")
             .withColumn("__verdict", F.coalesce("__verdict", "__new"))
             .drop("__new")
+            .where("__verdict IS NULL OR __verdict")
         )
+        open_keys = updated.where("__verdict IS NULL").select(*keys).distinct()
+        state = cut_lineage(updated.join(open_keys, keys, "left_semi"))
     log.info("accept_groups_in_order: %d round(s)", rounds)
 
-    refused = state.where(~F.col("__verdict")).select(group_id).distinct()
-    groups = demand.select(group_id).distinct()
-    return groups.join(refused.withColumn("__refused", F.lit(True)), group_id, "left").select(
-        group_id, F.col("__refused").isNull().alias("accepted")
-    )
+    none = refused[0]
+    for part in refused[1:]:
+        none = none.unionByName(part)
+    groups = rows.select(group_id).distinct()
+    marked = none.distinct().withColumn("__refused", F.lit(True))
+    return groups.join(marked, group_id, "left").select(group_id, F.col("__refused").isNull().alias("accepted"))

@@ -62,10 +62,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), "tradewind", f"{label}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The same rows read back from the shared folder.
+
+    Written as a table rather than as an RDD checkpoint: one computation, column
+    pruning on the way back, and a known size for the joins that follow.
+    """
+    return stage_table(df, "step")
 
 
 def stage_table(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -75,4 +78,4 @@ def stage_table(df: DataFrame, label: str, partition_by: list[str] | None = None
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
