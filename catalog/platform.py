@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F, types as T
 
 from catalog.base_sql import TABLES, ratio
@@ -33,7 +31,7 @@ def _checked(c: Canonical) -> dict:
 
 
 # the columns each checked table has, read from the SQL side by name
-_LACKING = {"created_at", "updated_at", "price_list_id_", "lot_id", "attempt_number"}
+_LACKING = {"created_at", "updated_at", "lot_id", "attempt_number"}
 
 
 def _columns(table: str) -> list[str]:

@@ -2,7 +2,6 @@
 
 import os
 from datetime import date
-from decimal import Decimal as D
 
 import duckdb
 import pytest

@@ -1,6 +1,6 @@
-from tradewind.functions.numeric import MONEY, QUANTITY, exact_ratio, round_money, total
+from tradewind.functions.numeric import MONEY, QUANTITY, exact_ratio, round_money
 from tradewind.functions.prefix import neighbour_values, occurrence_number, totals_before
 
 __all__ = [
-    "MONEY", "QUANTITY", "exact_ratio", "neighbour_values", "occurrence_number", "round_money", "total", "totals_before",
+    "MONEY", "QUANTITY", "exact_ratio", "neighbour_values", "occurrence_number", "round_money", "totals_before",
 ]

@@ -18,12 +18,6 @@ def round_money(c: Column | str) -> Column:
     return F.round(_col(c), 2).cast(MONEY)
 
 
-def total(c: Column | str, zero: bool = False) -> Column:
-    """Sum; `zero` gives 0 in place of NULL on no rows."""
-    summed = F.sum(_col(c))
-    return F.coalesce(summed, F.lit(0)) if zero else summed
-
-
 def exact_ratio(num: Column | str, den: Column | str, scale: int) -> Column:
     """num / den rounded half away from zero to `scale` digits, in one integral division.
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradewind.functions import MONEY, QUANTITY, round_money, totals_before
+from tradewind.functions import QUANTITY, round_money, totals_before
 from tradewind.operators.commerce import first_failure
 from tradewind.operators.greedy import accept_groups_in_order
 from tradewind.sources.tables import insert_if_absent

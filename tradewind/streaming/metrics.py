@@ -57,8 +57,3 @@ def parity(batch: DataFrame, stream: DataFrame, keys: Sequence[str], value: str)
     b = stream.select(*keys, F.col(value).alias("stream_value"))
     same = F.col("batch_value").eqNullSafe(F.col("stream_value"))
     return a.join(b, keys, "full").select(*keys, "batch_value", "stream_value", same.alias("is_equal"))
-
-
-def closed_before(sessions: DataFrame, newest: Column) -> DataFrame:
-    """Sessions that a watermark at `newest` has closed."""
-    return sessions.where(F.col("session_end") <= newest)
