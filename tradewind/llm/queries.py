@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bradley_terry, hilbert, mixing, orc_tokens, positional_index, quality_rules, setsketch, token_counts
+from tradewind.llm import bradley_terry, hilbert, mixing, orc_tokens, positional_index, quality_rules, setsketch, suffix_dedup, token_counts, toxicity
 from tradewind.llm.common import id_remainder
 from tradewind.session import scratch_path
 
@@ -31,6 +31,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op3_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder(3) == 1
+    model = toxicity.learn_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.poisson_mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "copy", "shuffle_key", "text")
@@ -66,6 +73,14 @@ def op8_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -76,6 +91,9 @@ def op10_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_quality_rules, op4_poisson_mix, op5_orc_tokens, op6_setsketch, op7_hilbert_shards, op8_bradley_terry, op10_positional_index)
+    for f in (
+        op1_token_counts, op2_quality_rules, op3_noisy_channel_toxicity, op4_poisson_mix, op5_orc_tokens, op6_setsketch,
+        op7_hilbert_shards, op8_bradley_terry, op9_suffix_dedup, op10_positional_index,
+    )
 }
 ORACLE_SQL: dict[str, str] = {}
