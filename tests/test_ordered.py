@@ -50,12 +50,11 @@ def test_ratio_ties(spark):
         assert [r[0] for r in df.select(got).collect()] == [D("74.38"), D("-74.38"), D("0.33"), None]
 
 
-@pytest.mark.parametrize("fold_rows", [10_000, 5])
-def test_accept_in_order(spark, fold_rows):
+def test_accept_in_order(spark):
     rows, df = items(spark, 3, 600, 12, 30, 40)
     limit = {k: 60 * (k + 1) for k in range(12)}
     df = df.withColumn("cap", (F.col("key") + 1) * 60)
-    got = accept_in_order(df, ["key"], ["day"], ["id"], F.col("amount"), F.col("cap").cast("decimal(18,2)"), fold_rows)
+    got = accept_in_order(df, ["key"], ["day"], ["id"], F.col("amount"), F.col("cap").cast("decimal(18,2)"))
     used, want = defaultdict(int), {}
     for i, key, day, amount in sorted(rows, key=lambda r: (r[2], r[0])):
         want[i] = used[key] + amount <= limit[key]
@@ -64,6 +63,48 @@ def test_accept_in_order(spark, fold_rows):
     assert 0 < sum(want.values()) < len(want)
 
 
+def test_unknown_items_are_refused_and_use_nothing(spark):
+    rows = [
+        (1, 1, START, D("3.0004")), (2, 1, START + timedelta(days=1), D("3.0004")), (3, None, START, D(9)), (4, None, START, D(9)),
+        (5, 1, None, D(1)), (6, 1, START, None), (7, 1, START + timedelta(days=2), D("3.0001")), (8, 2, START, D(5)),
+    ]
+    df = spark.createDataFrame(rows, "id int, key int, day date, amount decimal(18,4)")
+    got = accept_in_order(df, ["key"], ["day"], ["id"], F.col("amount"), F.lit(D("6.0005")).cast("decimal(18,4)")).collect()
+    assert {r.id: r.accepted for r in got} == {1: True, 2: False, 3: False, 4: False, 5: False, 6: False, 7: True, 8: True}
+
+
+def test_one_hot_moment(spark):
+    """All rows on one key and day: totals, neighbours and decisions, without a Python worker."""
+    n = 60_000
+    df = spark.range(n).select(
+        F.col("id"), F.lit(7).alias("key"), F.lit(START).alias("day"), (F.col("id") % 5 + 1).cast("decimal(18,2)").alias("amount")
+    ).repartition(6)
+    got = totals_before(df, ["key"], ["day"], ["id"], {"t": F.col("amount")})
+    assert got.agg(F.count("*"), F.max("t"), F.min("t")).first()[:] == (n, 3 * n - 5, 0)
+    lagged = neighbour_values(df, ["key"], ["day"], ["id"], ["id"])
+    assert lagged.where("previous_id = id - 1").count() == n - 1
+    decided = accept_in_order(df, ["key"], ["day"], ["id"], F.col("amount"), F.lit(1000).cast("decimal(18,2)"))
+    used, want = 0, []
+    for i in range(n):
+        if used + i % 5 + 1 <= 1000:
+            used += i % 5 + 1
+            want.append(i)
+    assert sorted(r.id for r in decided.where("accepted").select("id").collect()) == want
+    assert "Arrow" not in decided._jdf.queryExecution().toString()
+
+
+def test_rows_without_key_or_date_are_kept(spark):
+    rows = [(1, None, START, D(1)), (2, None, START, D(2)), (3, 5, None, D(3)), (4, 5, START, D(4)), (5, None, None, D(5))]
+    df = spark.createDataFrame(rows, "id int, key int, day date, amount decimal(18,2)")
+    got = {r.id: r.t for r in totals_before(df, ["key"], ["day"], ["id"], {"t": F.col("amount")}).collect()}
+    assert got == {5: 0, 1: 5, 2: 6, 3: 0, 4: 3}
+    near = {r.id: r.previous_id for r in neighbour_values(df, ["key"], ["day"], ["id"], ["id"]).collect()}
+    assert near == {5: None, 1: 5, 2: 1, 3: None, 4: 3}
+    demand = spark.createDataFrame([(1, None, 1, D(5), D(6)), (2, START, 1, D(5), D(6)), (3, START, 1, D(5), D(6))], "grp int, day date, key int, quantity decimal(18,3), free decimal(18,3)")
+    served = accept_groups_in_order(demand, "grp", ["key"], ["day"], "quantity", "free").collect()
+    assert {r.grp: r.accepted for r in served} == {1: False, 2: True, 3: False}
+
+
 def test_accept_groups_in_order(spark):
     rng = random.Random(4)
     demand = [

@@ -1,6 +1,7 @@
 from tradewind.functions.numeric import MONEY, QUANTITY, exact_ratio, round_money
-from tradewind.functions.prefix import neighbour_values, occurrence_number, totals_before
+from tradewind.functions.prefix import in_chunks, neighbour_values, occurrence_number, totals_before, totals_in_chunks
 
 __all__ = [
-    "MONEY", "QUANTITY", "exact_ratio", "neighbour_values", "occurrence_number", "round_money", "totals_before",
+    "MONEY", "QUANTITY", "exact_ratio", "in_chunks", "neighbour_values", "occurrence_number", "round_money", "totals_before",
+    "totals_in_chunks",
 ]

@@ -1,23 +1,59 @@
-"""Running totals and row numbers that do not put a hot key into one task.
+"""Running totals, row numbers and neighbours that do not put a hot key into one task.
 
-A window over (key, order) sorts all rows of a key in one task. Here a key is
-first cut into ordered chunks by the `levels` columns (normally the date):
+A window over (key, order) sorts all rows of a key in one task. Here the rows are
+first cut into chunks: ranges of (key, order) of about equal size, whatever the
+key, written once. Then
 
-* inside a chunk a window adds up the rows before the current one;
-* the chunk totals, made by a map-side combined aggregate, are few per key, and
-  a second, small window over them gives what the chunk starts from.
+* inside a chunk a window adds up the rows of a key before the current one;
+* the totals of a key's chunks, made by a map-side combined aggregate, are at most
+  one per chunk, and a second, small window over them gives what a chunk starts from.
 
-The result is exact for any distribution. The task size is bounded by the
-largest (key, levels) chunk and by the number of chunks of a key, so pass a
-further level (an id block, say) where one date of one key can be large.
+The result is exact for any distribution: a key, a day or a single moment with a
+third of all rows is spread over many chunks. NULL keys form a group of their
+own, NULLs in the order come first, and every row is kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tradewind.session import stage_table
+
+CHUNK = "__chunk"
+
+
+def in_chunks(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows, written in ranges of `order`, with the number of their range; read back as often as needed."""
+    return stage_table(rows.repartitionByRange(*order).withColumn(CHUNK, F.spark_partition_id()), "chunks")
+
+
+def _join_chunks(rows: DataFrame, per_chunk: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the columns of their key's chunk; NULL keys meet."""
+    renamed = per_chunk.withColumnsRenamed({k: f"__r_{k}" for k in [*keys, CHUNK]})
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(renamed[f"__r_{k}"]) for k in [*keys, CHUNK]])
+    return rows.join(renamed, same).drop(*[f"__r_{k}" for k in [*keys, CHUNK]])
+
+
+def totals_in_chunks(chunked: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
+    """`totals_before` for rows that `in_chunks` has written by (keys, order); the chunk number stays."""
+    keys, names = list(keys), list(totals)
+    valued = chunked.select("*", *[F.coalesce(v, F.lit(0)).alias(f"__v_{n}") for n, v in totals.items()])
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    near = valued.select(
+        *chunked.columns, *[F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0)).alias(f"__near_{n}") for n in names]
+    )
+    chunks = valued.groupBy(*keys, CHUNK).agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in names])
+    starts = chunks.select(
+        *keys, CHUNK, *[F.coalesce(F.sum(f"__t_{n}").over(earlier), F.lit(0)).alias(f"__far_{n}") for n in names]
+    )
+    return _join_chunks(near, starts, keys).select(
+        *chunked.columns, *[(F.col(f"__near_{n}") + F.col(f"__far_{n}")).alias(n) for n in names]
+    )
+
 
 def totals_before(
     rows: DataFrame,
@@ -28,44 +64,11 @@ def totals_before(
 ) -> DataFrame:
     """Add, per entry of `totals`, the sum of that expression over the earlier rows of the same key.
 
-    Rows of a key are ordered by `levels`, then `order`; together they must be
-    unique within a key. Keys and levels must not be NULL. A NULL value counts as 0.
+    Rows of a key are ordered by `levels`, then `order`; together they should be
+    unique within a key, or ties come in any order. A NULL value counts as 0.
     """
-    keys, levels, names = list(keys), list(levels), list(totals)
-    staged = rows.select("*", *[F.coalesce(v, F.lit(0)).alias(f"__v_{n}") for n, v in totals.items()])
-    chunk = keys + levels
-
-    inside = Window.partitionBy(*chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = staged.select(
-        *rows.columns,
-        *[F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0)).alias(f"__0_{n}") for n in names],
-    )
-
-    fine = staged.groupBy(*chunk).agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in names])
-    for depth in range(1, len(levels) + 1):
-        group = keys + levels[:depth]
-        coarse = fine
-        if depth < len(levels):
-            coarse = fine.groupBy(*group).agg(*[F.sum(f"__t_{n}").alias(f"__t_{n}") for n in names])
-        earlier = (
-            Window.partitionBy(*keys, *levels[: depth - 1])
-            .orderBy(levels[depth - 1])
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        starts = coarse.select(
-            *group,
-            *[F.coalesce(F.sum(f"__t_{n}").over(earlier), F.lit(0)).alias(f"__{depth}_{n}") for n in names],
-        )
-        out = out.join(starts, group)
-
-    def added(name: str) -> Column:
-        parts = [F.col(f"__{depth}_{name}") for depth in range(len(levels) + 1)]
-        result = parts[0]
-        for part in parts[1:]:
-            result = result + part
-        return result
-
-    return out.select(*rows.columns, *[added(n).alias(n) for n in names])
+    chunked = in_chunks(rows, [*keys, *levels, *order])
+    return totals_in_chunks(chunked, keys, [*levels, *order], totals).drop(CHUNK)
 
 
 def occurrence_number(
@@ -87,18 +90,19 @@ def neighbour_values(
     """Add `previous_<c>` or `next_<c>`: the values of the neighbouring row of the same key.
 
     Inside a chunk this is lag or lead; the first (last) row of a chunk takes the
-    last (first) row of the nearest other chunk, found over one row per chunk.
+    last (first) row of the key's nearest other chunk, found over one row per chunk.
     """
     if side not in ("previous", "next"):
         raise ValueError("side is 'previous' or 'next'")
-    keys, levels, order, columns = list(keys), list(levels), list(order), list(columns)
+    keys, order, columns = list(keys), [*levels, *order], list(columns)
     step, edge = (F.lag, F.max_by) if side == "previous" else (F.lead, F.min_by)
+    chunked = in_chunks(rows, [*keys, *order])
     values = F.struct(*columns)
-    inside = Window.partitionBy(*keys, *levels).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(*levels)
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    across = Window.partitionBy(*keys).orderBy(CHUNK)
 
-    edges = rows.groupBy(*keys, *levels).agg(edge(values, F.struct(*order)).alias("__edge"))
-    carried = edges.select(*keys, *levels, step("__edge").over(across).alias("__carry"))
-    near = rows.select("*", step(values).over(inside).alias("__near")).join(carried, keys + levels)
+    edges = chunked.groupBy(*keys, CHUNK).agg(edge(values, F.struct(*order)).alias("__edge"))
+    carried = edges.select(*keys, CHUNK, step("__edge").over(across).alias("__carry"))
+    near = chunked.select("*", step(values).over(inside).alias("__near"))
     found = F.coalesce("__near", "__carry")
-    return near.select(*rows.columns, *[found[c].alias(f"{side}_{c}") for c in columns])
+    return _join_chunks(near, carried, keys).select(*rows.columns, *[found[c].alias(f"{side}_{c}") for c in columns])

@@ -282,8 +282,10 @@ def validate_returns(
     else:
         joined = joined.withColumn("__used", F.lit(0).cast(QUANTITY))
     reason = first_failure(
+        (F.col("quantity").isNull(), "missing_quantity"),
         (F.col("quantity") <= 0, "quantity_not_positive"),
         (F.col("sold_quantity").isNull(), "unknown_order_line"),
+        (F.col("return_date").isNull(), "missing_date"),
         (~F.coalesce(F.col("order_status").isin("fulfilled", "invoiced", "paid"), F.lit(False)), "order_not_delivered"),
         (F.col("return_date") < F.col("order_date"), "before_order_date"),
     )

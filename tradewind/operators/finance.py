@@ -82,8 +82,10 @@ def settle_payments(payments: DataFrame, invoices: DataFrame) -> DataFrame:
     )
     asked = payments.select("payment_id", "invoice_id", "payment_date", "payment_method", "amount_paid")
     reason = first_failure(
+        (F.col("amount_paid").isNull(), "missing_amount"),
         (F.col("amount_paid") <= 0, "amount_not_positive"),
         (F.col("outstanding").isNull(), "unknown_invoice"),
+        (F.col("payment_date").isNull(), "missing_date"),
         (F.col("payment_date") < F.col("invoice_date"), "before_invoice_date"),
     )
     # read once for the refused and three times for the open payments: written, not joined again

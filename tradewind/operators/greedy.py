@@ -4,31 +4,30 @@ A running sum alone is wrong after the first refusal. Both operators below
 bound what an item finds used up: at least the earlier items already accepted,
 at most the earlier items not yet refused. An item that fits under the upper
 bound is accepted, one that fails under the lower bound is refused, and the
-earliest undecided item always meets one of the two, so the rounds end. The
-sums are chunked (`totals_before`), so a hot key is spread over many tasks.
+earliest undecided item always meets one of the two, so the rounds end. Rows
+are cut into chunks once and every round adds up inside them
+(`totals_in_chunks`), so a hot key is spread over many tasks, and all keys go
+the same way.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tradewind.functions import totals_before
-from tradewind.session import cut_lineage
+from tradewind.functions import in_chunks, totals_in_chunks
+from tradewind.session import cut_lineage, discard
 
 log = logging.getLogger(__name__)
 
-# a key with no more undecided items than this is finished by one in-order pass
-FOLD_ROWS = 100_000
 
-
-def _bounds(items: DataFrame, keys: Sequence[str], levels: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _bounds(items: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     verdict, amount = F.col("__verdict"), F.col("__amount")
-    return totals_before(
-        items, keys, levels, order,
+    return totals_in_chunks(
+        items, keys, order,
         {"__low": F.when(verdict, amount), "__high": F.when(F.coalesce(verdict, F.lit(True)), amount)},
     )
 
@@ -41,6 +40,10 @@ def _fails_low() -> Column:
     return F.col("__low") + F.col("__amount") > F.col("__limit")
 
 
+def _known(*columns: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def accept_in_order(
     items: DataFrame,
     keys: Sequence[str],
@@ -48,17 +51,18 @@ def accept_in_order(
     order: Sequence[str],
     amount: Column,
     limit: Column,
-    fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
     """Add `accepted` to items that each draw on one key; `limit` is the same on all rows of a key.
 
-    Amounts must be positive, with at most three decimals. A key whose total
-    fits needs no ordering at all. Of the other keys, one with many undecided
-    items goes through rounds over chunked sums until few are left, and few
-    items are decided by one in-order pass.
+    Amounts must be positive. An item whose key, place in the order, amount or
+    limit is NULL is refused and uses nothing up. A key whose total fits needs
+    no ordering at all; the other keys go through rounds until all is decided.
     """
-    keys = list(keys)
+    keys, order = list(keys), [*levels, *order]
     valued = items.withColumn("__amount", amount).withColumn("__limit", limit)
+    known = _known(*keys, *order, "__amount", "__limit")
+    unknown = valued.where(~known).select(*items.columns, F.lit(False).alias("accepted"))
+    valued = valued.where(known)
     over = (
         valued.groupBy(*keys)
         .agg(F.sum("__amount").alias("__sum"), F.max("__limit").alias("__cap"))
@@ -68,56 +72,17 @@ def accept_in_order(
     easy = valued.join(over, keys, "left_anti").select(*items.columns, F.lit(True).alias("accepted"))
     hard = valued.join(over, keys, "left_semi").withColumn("__verdict", F.lit(None).cast("boolean"))
 
-    state, rounds = cut_lineage(hard), 0
-    while _has_large_key(state, keys, fold_rows):
+    state, rounds = in_chunks(hard, [*keys, *order]), 0
+    while not state.where("__verdict IS NULL").isEmpty():
         rounds += 1
         decided = F.coalesce("__verdict", F.when(_fits_high(), True).when(_fails_low(), False))
-        state = cut_lineage(
-            _bounds(state, keys, levels, order).withColumn("__verdict", decided).drop("__low", "__high")
+        before, state = state, cut_lineage(
+            _bounds(state, keys, order).withColumn("__verdict", decided).drop("__low", "__high")
         )
-    log.info("accept_in_order: %d round(s) before the in-order pass", rounds)
-
-    if rounds:
-        state = _bounds(state, keys, levels, order).drop("__high")
-    else:
-        state = state.withColumn("__low", F.lit(0).cast(state.schema["__amount"].dataType))
-    done = state.where("__verdict IS NOT NULL").select(*items.columns, F.col("__verdict").alias("accepted"))
-    rest = _decide_in_order(state.where("__verdict IS NULL"), keys, [*levels, *order])
-    return easy.unionByName(done).unionByName(rest.select(*items.columns, "accepted"))
-
-
-def _has_large_key(state: DataFrame, keys: Sequence[str], rows: int) -> bool:
-    sizes = state.where("__verdict IS NULL").groupBy(*keys).count()
-    return bool(sizes.where(F.col("count") > rows).limit(1).count())
-
-
-def _decide_in_order(items: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One pass over items sorted by key and order, on top of what the accepted items use (`__low`).
-
-    Keys are spread over all tasks; the caller has checked how many items one key holds.
-    """
-    thousandths = lambda c: (c * 1000).cast("bigint")
-    sized = items.withColumn("__size", thousandths(F.col("__amount"))).withColumn(
-        "__room", thousandths(F.col("__limit") - F.col("__low"))
-    )
-    ordered = sized.repartition(*keys).sortWithinPartitions(*keys, *order)
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, used = None, 0
-        for batch in batches:
-            verdicts = []
-            values = [batch.column(name).to_pylist() for name in ("__size", "__room", *keys)]
-            for size, room, *key in zip(*values):
-                if key != current:
-                    current, used = key, 0
-                fits = used + size <= room
-                used += size if fits else 0
-                verdicts.append(fits)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(verdicts, pa.bool_())], [*batch.schema.names, "accepted"]
-            )
-
-    return ordered.mapInArrow(walk, T.StructType([*ordered.schema.fields, T.StructField("accepted", T.BooleanType())]))
+        discard(before)
+    log.info("accept_in_order: %d round(s)", rounds)
+    done = state.select(*items.columns, F.col("__verdict").alias("accepted"))
+    return easy.unionByName(done).unionByName(unknown)
 
 
 def accept_groups_in_order(
@@ -132,9 +97,10 @@ def accept_groups_in_order(
 
     `demand` holds one row per (group, key) with the amount asked and the limit
     of the key (NULL: unknown key, the group is refused). Groups are served in
-    the order of `levels`, then `group_id`.
+    the order of `levels`, then `group_id`; a group without a place in it, or
+    without an amount, is refused.
     """
-    keys = list(keys)
+    keys, order = list(keys), [*levels, group_id]
     # read four times below: written once
     rows = cut_lineage(
         demand.select(group_id, *keys, *levels, F.col(amount).alias("__amount"), F.col(limit).alias("__limit"))
@@ -142,16 +108,16 @@ def accept_groups_in_order(
     totals = rows.groupBy(*keys).agg(F.sum("__amount").alias("__sum"), F.max("__limit").alias("__cap"))
     contested = totals.where("__cap IS NULL OR __sum > __cap").select(*keys)
     # a group that asks for an unknown key is refused before any round
-    refused = [rows.where("__limit IS NULL").select(group_id).distinct()]
+    refused = [rows.where(~_known(*keys, *levels, "__amount", "__limit")).select(group_id).distinct()]
     hard = rows.join(contested, keys, "left_semi").select(group_id, *keys, *levels, "__amount", "__limit")
-    state = cut_lineage(
-        hard.join(refused[0], group_id, "left_anti").withColumn("__verdict", F.lit(None).cast("boolean"))
+    state = in_chunks(
+        hard.join(refused[0], group_id, "left_anti").withColumn("__verdict", F.lit(None).cast("boolean")), [*keys, *order]
     )
     rounds = 0
-    while state.where("__verdict IS NULL").limit(1).count():
+    while not state.where("__verdict IS NULL").isEmpty():
         rounds += 1
         tests = (
-            _bounds(state, keys, levels, [group_id])
+            _bounds(state, keys, order)
             .where("__verdict IS NULL")
             .groupBy(group_id)
             .agg(F.bool_and(_fits_high()).alias("__all"), F.bool_or(_fails_low()).alias("__any"))
@@ -168,7 +134,8 @@ def accept_groups_in_order(
             .where("__verdict IS NULL OR __verdict")
         )
         open_keys = updated.where("__verdict IS NULL").select(*keys).distinct()
-        state = cut_lineage(updated.join(open_keys, keys, "left_semi"))
+        before, state = state, cut_lineage(updated.join(open_keys, keys, "left_semi"))
+        discard(before)
     log.info("accept_groups_in_order: %d round(s)", rounds)
 
     none = refused[0]

@@ -89,9 +89,10 @@ def reserve_orders(orders: DataFrame, lines: DataFrame, balances: DataFrame) ->
     served = accept_groups_in_order(demand, "order_id", STOCK_KEY, ["order_date"], "quantity", "available_qty")
     reason = first_failure(
         (F.col("accepted").isNull(), "no_order_lines"),
+        (F.col("order_date").isNull(), "missing_date"),
         (~F.col("accepted"), "insufficient_stock"),
     )
-    return orders.select("order_id").join(served, "order_id", "left").select("order_id", reason.alias("reject_reason"))
+    return orders.select("order_id", "order_date").join(served, "order_id", "left").select("order_id", reason.alias("reject_reason"))
 
 
 def reservation_moves(outcome: DataFrame, orders: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame:

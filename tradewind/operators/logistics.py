@@ -81,14 +81,30 @@ def validate_attempts(attempts: DataFrame, shipments: DataFrame) -> DataFrame:
     return attempts.join(planned, "shipment_id", "left").select(*attempts.columns, reason.alias("reject_reason"))
 
 
-def number_attempts(accepted: DataFrame) -> DataFrame:
+def number_attempts(accepted: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Attempt number per shipment in the order of recording (the attempt id, not the date).
 
-    Rows are chunked by blocks of ids, so a shipment with very many attempts is spread out.
+    Numbers go on after those of the `stored` attempts of a shipment.
     """
-    blocks = accepted.withColumn("__block", F.call_function("div", F.col("delivery_attempt_id"), F.lit(1 << 20)))
-    numbered = occurrence_number(blocks, ["shipment_id"], ["__block"], ["delivery_attempt_id"], "attempt_number")
-    return numbered.drop("__block")
+    numbered = occurrence_number(accepted, ["shipment_id"], [], ["delivery_attempt_id"], "attempt_number")
+    if stored is None:
+        return numbered
+    last = stored.groupBy("shipment_id").agg(F.max("attempt_number").alias("__last"))
+    number = F.col("attempt_number") + F.coalesce("__last", F.lit(0))
+    return numbered.join(last, "shipment_id", "left").select(*accepted.columns, number.alias("attempt_number"))
+
+
+def first_attempts(shipments: DataFrame) -> DataFrame:
+    """The attempt that comes with each sent shipment: number 1, delivered, nothing collected."""
+    sent = shipments.where("reject_reason IS NULL") if "reject_reason" in shipments.columns else shipments
+    return sent.select(
+        "shipment_id",
+        F.lit(1).cast("bigint").alias("attempt_number"),
+        F.col("actual_delivery_date").alias("attempt_date"),
+        F.lit("delivered").alias("attempt_status"),
+        F.lit(None).cast("string").alias("failure_reason"),
+        F.lit(0).cast(MONEY).alias("cod_amount"),
+    )
 
 
 def fold_attempts(shipments: DataFrame, accepted: DataFrame) -> DataFrame:

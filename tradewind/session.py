@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
 import os
-import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+_OWN: set[str] = set()
+
 # Settings that matter at scale; every one can be overridden by spark-submit.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,28 +43,48 @@ def build_session(app: str = "tradewind", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can read: `spark.checkpoint.dir` of the session.
+    """Folder every executor can read: `spark.checkpoint.dir`, else a folder in the session's warehouse.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster a missing setting is an error, because a machine-local folder would
-    be lost together with its machine.
+    Both are settings of the deployment, and the rule is the same on every master.
     """
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if path:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(path)
-        return path.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="tradewind-")
-    context.setCheckpointDir(path)
-    return context.getCheckpointDir().rstrip("/")
+    if not path:
+        path = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "tradewind-staging")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
+    return path.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused folder below the shared one."""
-    return os.path.join(shared_dir(spark), "tradewind", f"{label}-{uuid.uuid4().hex[:12]}")
+    """A new, unused folder below the shared one; all folders of an application lie together."""
+    return os.path.join(_own_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def _own_dir(spark: SparkSession) -> str:
+    own = os.path.join(shared_dir(spark), "tradewind", spark.sparkContext.applicationId)
+    if own not in _OWN:
+        _OWN.add(own)
+        # the context may be stopped by then, so what the removal needs is taken now
+        atexit.register(_delete, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), own)
+    return own
+
+
+def _delete(jvm, configuration, path: str) -> None:
+    try:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(configuration).delete(target, True)
+    except (Py4JError, OSError) as gone:  # the JVM has ended before this process
+        log.debug("staged folder %s not removed: %s", path, gone)
+
+
+def remove_staged(spark: SparkSession, path: str | None = None) -> None:
+    """Remove a staged folder, by default all of this application; that also runs when the process ends.
+
+    An application that dies leaves its folder `tradewind/<application id>` below
+    the shared one; remove it once the application is gone.
+    """
+    _delete(spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path or _own_dir(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -78,4 +103,13 @@ def stage_table(df: DataFrame, label: str, partition_by: list[str] | None = None
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def discard(*staged: DataFrame) -> None:
+    """Remove staged tables that no later step reads."""
+    for df in staged:
+        if path := getattr(df, "_staged_at", None):
+            remove_staged(df.sparkSession, path)
