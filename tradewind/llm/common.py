@@ -55,20 +55,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     return id_and_bytes(docs).join(F.broadcast(chosen), "doc_id")
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, l2: float = 1.0, steps: int = 60) -> np.ndarray:
-    """Coefficients of a logistic regression by Newton steps; the penalty spares no column, so pass an own intercept."""
-    coef = np.zeros(x.shape[1])
-    weight = np.ones(len(y)) if weight is None else weight
-    for _ in range(steps if len(y) else 0):
-        p = sigmoid(x @ coef)
-        gradient = x.T @ (weight * (p - y)) + l2 * coef
-        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + l2 * np.eye(len(coef))
-        step = np.linalg.solve(hessian, gradient)
-        # a long step from the flat part of the curve would overshoot
-        coef -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
-        if np.abs(step).max() < 1e-7:
-            break
-    return coef
+BROADCAST_KEYS = 2_000_000
+
+
+def rows_in(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose `on` is among `keys`, a written table without repetitions.
+
+    Up to `BROADCAST_KEYS` keys go to the rows; more are joined by key, with the same result.
+    """
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(keys) if few else keys.hint("shuffle_hash"), on, "left_semi")
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -4,19 +4,23 @@ Every byte goes that is covered by a string of `LENGTH` bytes which also starts
 somewhere else, in the same document or another one.
 
 1. Candidates. Of all stretches of `ANCHOR` bytes in a string of `LENGTH` bytes, the
-   one with the smallest hash is its anchor; equal strings have equal anchors. Each
-   task lists the anchors of its documents (about one byte in 85), with a hash of
-   the whole neighbourhood that strings around this anchor can reach. Only anchors
-   that occur twice go on.
-2. Where the whole neighbourhood occurs twice, every string in it does.
-3. Where anchors agree and neighbourhoods differ, one representative of each
+   one with the smallest hash is its anchor, so equal strings have equal anchors.
+   Neighbouring strings mostly share an anchor: each task lists the anchors of its
+   documents (about one byte in 85) with the range of strings that each stands for
+   and a hash of all bytes of these strings. Only anchors that occur twice go on.
+2. Where all bytes around an anchor agree, all its strings are repeats.
+3. Where anchors agree and the bytes around them differ, one representative of each
    neighbourhood is fetched, and blocks of whole anchor groups are sorted: the type
    of a suffix says whether it is smaller than its successor; only those suffixes
    are sorted directly, and the others follow by one scan over the buckets of the
    first byte. Neighbours in the suffix array with a common prefix of `LENGTH` bytes
    are repeats.
 4. A group with more than `GROUP` different neighbourhoods does not enter one task:
-   its strings are counted by hash, which combines before it moves.
+   its strings are counted by hash, which combines before it moves; strings whose
+   inner bytes stand nowhere else are left out first.
+
+Sets of at most `BROADCAST_KEYS` hashes are broadcast to the rows that they select;
+larger ones are joined by key, with the same result.
 
 Hashes have 64 bits, and two strings are taken for equal only if the hashes of
 their anchor and of their whole neighbourhood or string agree as well.
@@ -28,18 +32,20 @@ Null and empty texts have no bytes and no repeats, as have texts shorter than
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradewind.llm.common import Columns, map_columns, utf8_bytes
+from tradewind.llm.common import BROADCAST_KEYS, Columns, map_columns, rows_in, utf8_bytes
 from tradewind.session import stage_table
 
 LENGTH = 200
 ANCHOR = 32
 GROUP = 2_000
+CLASSES = 4  # of offsets, within which strings are tested together in a large group
 BLOCK = 1_000  # neighbourhoods of a block, at least, and fewer than that plus GROUP
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -64,26 +70,25 @@ def rolling(data: np.ndarray, size: int) -> np.ndarray:
     return h ^ (h >> _U(29))
 
 
-def _sliding(values: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.ndarray:
-    """`pick` over every window of `width` values: a running pick inside blocks from the left and from the right."""
+def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of every `width` neighbours: running minima inside blocks, from the left and from the right."""
     n = len(values)
-    padded = np.full(-(-n // width) * width, fill, values.dtype)
+    padded = np.full(-(-n // width) * width, np.iinfo(values.dtype).max, values.dtype)
     padded[:n] = values
     blocks = padded.reshape(-1, width)
-    left = pick.accumulate(blocks, axis=1).ravel()
-    right = pick.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return pick(right[:n - width + 1], left[width - 1:n])
+    left = np.minimum.accumulate(blocks, axis=1).ravel()
+    right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(right[:n - width + 1], left[width - 1:n])
 
 
-def anchors(data: np.ndarray, length: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the stretches that are smallest in some string of `length` bytes, and their hashes."""
+def anchors(data: np.ndarray, length: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per anchor its position, its hash, and the first and last start of the strings that have it; the ranges tile all starts."""
     h = rolling(data, size)
-    width = length - size + 1
-    least = _sliding(h, width, np.minimum, np.iinfo(_U).max)
-    edge = np.zeros(width - 1, _U)
-    most = _sliding(np.concatenate([edge, least, edge]), width, np.maximum, 0)
-    at = np.flatnonzero(most == h)
-    return at, h[at]
+    placed = (h & _U(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=_U)  # of equal ones the leftmost
+    at = (_sliding_min(placed, length - size + 1) & _U(0xFFFFFFFF)).astype(np.int64)
+    first = np.append(0, np.flatnonzero(np.diff(at)) + 1)
+    last = np.append(first[1:] - 1, len(at) - 1)
+    return at[first], h[at[first]], first, last
 
 
 def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
@@ -124,53 +129,52 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """Bytes that each suffix of `order` shares with the one before it, up to `depth`."""
-    words = -(-depth // 8)
-    padded = np.concatenate([data, np.zeros(8 * words, np.uint8)])
-    view = np.lib.stride_tricks.as_strided(padded, (len(data) + 1, 8), (1, 1))
+def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int, exact: bool = True) -> np.ndarray:
+    """Bytes that each suffix of `order` shares with the one before it, up to `depth`; not `exact`: 0 where they are fewer."""
+    padded = np.concatenate([data, np.zeros(depth + 8, np.uint8)])
     shared = np.zeros(len(order), np.int64)
-    alive = np.arange(1, len(order))
-    for word in range(words):
-        a, b = (np.ascontiguousarray(view[np.minimum(order[x] + 8 * word, len(data))]).view("<u8").ravel() for x in (alive, alive - 1))
+    whole = np.lib.stride_tricks.as_strided(padded, (len(data) + 1, depth), (1, 1))
+    for at in range(1, len(order), 1 << 18):  # bounds the copies
+        part = np.ascontiguousarray(whole[order[at - 1:at + (1 << 18)]]).view(f"S{depth}").ravel()
+        shared[at:at + (1 << 18)] = np.where(part[1:] == part[:-1], depth, 0)
+    if not exact:
+        return shared
+    left = np.flatnonzero(shared == 0)
+    left = left[left > 0]
+    end = len(data) - np.maximum(order[left], order[left - 1])  # a suffix ends with the data
+    shared[left] = np.minimum(end, depth)
+    words = np.lib.stride_tricks.as_strided(padded, (len(data) + 1, 8), (1, 1))
+    for word in range(-(-depth // 8)):
+        a, b = (np.ascontiguousarray(words[np.minimum(order[x] + 8 * word, len(data))]).view("<u8").ravel() for x in (left, left - 1))
         differ = a ^ b
-        equal = differ == 0
-        lowest = differ[~equal] & (~differ[~equal] + _U(1))
-        shared[alive[~equal]] += (np.log2(lowest.astype(np.float64)) // 8).astype(np.int64)
-        alive = alive[equal]
-        shared[alive] += 8
-        if not len(alive):
-            break
-    return np.minimum(shared, depth)
-
+        lowest = differ & (~differ + _U(1))
+        found = differ != 0
+        shared[left[found]] = np.minimum(shared[left[found]], 8 * word + (np.log2(lowest[found].astype(np.float64)) // 8).astype(np.int64))
+        left = left[~found]
+    ends = len(data) - np.maximum(order[1:], order[:-1])
+    shared[1:] = np.minimum(shared[1:], ends)
+    return shared
 
-def repeated_starts(contexts: list[bytes], absolute: np.ndarray, counts: np.ndarray, length: int) -> list[np.ndarray]:
-    """Per context the offsets whose string of `length` bytes also starts elsewhere.
 
-    `absolute` tells where in the corpus a context starts, so that a place seen in two
-    contexts is one place; a context that stands for several places repeats by itself.
-    """
+def repeated_starts(contexts: list[bytes], counts: np.ndarray, length: int) -> list[np.ndarray]:
+    """Per context the offsets whose string of `length` bytes also starts in another one, or in one that counts more than once."""
     sizes = np.array([len(c) for c in contexts], np.int64)
     data = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8)
     begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     order = suffix_array(data, length)
-    owner = np.searchsorted(begins, order, "right") - 1
-    inside = order - begins[owner]
-    whole = inside + length <= sizes[owner]
-    order, owner, inside = order[whole], owner[whole], inside[whole]
+    last_start = np.repeat(begins + sizes - length, sizes + 1)
+    order = order[order <= last_start[order]]  # whole strings only
     if not len(order):
         return [np.zeros(0, np.int64) for _ in contexts]
-    first = common_prefixes(data, order, length) < length
+    first = common_prefixes(data, order, length, exact=False) < length
     first[0] = True
     heads = np.flatnonzero(first)
-    place = absolute[owner] + inside.astype(_U)
-    several = np.minimum.reduceat(place, heads) != np.maximum.reduceat(place, heads)
+    owner = np.repeat(np.arange(len(contexts)), sizes + 1)[order]
+    several = np.diff(np.append(heads, len(order))) > 1
     several |= np.maximum.reduceat(counts[owner], heads) > 1
-    marked = several[np.cumsum(first) - 1]
-    owner, inside = owner[marked], inside[marked]
-    by = np.lexsort((inside, owner))
-    cuts = np.searchsorted(owner[by], np.arange(len(contexts) + 1))
-    return [inside[by[cuts[i]:cuts[i + 1]]] for i in range(len(contexts))]
+    marked = np.sort(order[several[np.cumsum(first) - 1]])
+    cuts = np.searchsorted(marked, np.append(begins, len(data)))
+    return [marked[a:b] - start for a, b, start in zip(cuts[:-1], cuts[1:], begins)]
 
 
 def _ranges(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,39 +193,42 @@ def _row_key() -> Column:
 
 
 def _occurrences(docs: DataFrame, length: int, size: int) -> DataFrame:
-    """One row per anchor, neighbourhood and document row: `hash`, `context`, `key`, `pos`, `n`.
+    """One row per anchor, neighbourhood and document row: `hash`, `context`, `key`, `n` and the starts `pos` to `last`.
 
-    Neighbourhoods that repeat inside a document are settled there: rows without `hash` are ranges of starts.
+    Neighbourhoods that repeat inside a document are settled there: rows without `hash` are ranges of repeated starts.
     """
-    reach = length - size
 
     def task(batches: Iterator[Columns]) -> Iterator[dict]:
         for batch in batches:
             texts, keys = batch["text"], batch["key"].to_numpy()
             for at in range(0, len(texts), 200):
-                out: dict[str, list] = {k: [] for k in ("key", "hash", "context", "pos", "n", "last")}
+                out: dict[str, list] = {k: [] for k in ("key", "hash", "context", "n", "pos", "last")}
+                settled: dict[str, list] = {k: [] for k in out}
                 for key, text in zip(keys[at:at + 200], texts.slice(at, 200).to_pylist()):
                     if len(text) < length:
                         continue
-                    pos, h = anchors(np.frombuffer(text, np.uint8), length, size)
-                    low = np.maximum(pos - reach, 0)
+                    pos, h, first, last = anchors(np.frombuffer(text, np.uint8), length, size)
                     context = np.fromiter(
-                        (xxhash.xxh3_64_intdigest(text[a:p + length], p - a) for a, p in zip(low.tolist(), pos.tolist())), _U, len(pos)
+                        map(xxhash.xxh3_64_intdigest, [text[a:b] for a, b in zip(first.tolist(), (last + length).tolist())], (pos - first).tolist()), _U, len(pos)
                     )
-                    _, first, group, n = np.unique(np.stack([h, context]), axis=1, return_index=True, return_inverse=True, return_counts=True)
-                    if len(first) < len(pos):
-                        again = n[group.ravel()] > 1
-                        # the starts around each repeated anchor, joined
-                        starts = _covered(low[again], np.minimum(pos[again], len(text) - length))
-                        for a, b in zip(*_ranges(starts)):
-                            for k, v in zip(out, (key, None, None, int(a), 2, int(b))):
-                                out[k].append(v)
-                    for k, v in zip(out, (np.full(len(first), key), _signed(h)[first], _signed(context)[first], pos[first], n, pos[first])):
-                        out[k].extend(v.tolist())
-                yield out
+                    both = h * _U(_BASE) ^ context
+                    n = np.ones(len(pos), np.int64)
+                    if len(set(both.tolist())) < len(both):
+                        _, one, group, n = np.unique(both, return_index=True, return_inverse=True, return_counts=True)
+                        again = n[group] > 1
+                        for a, b in zip(*_ranges(_covered(first[again], last[again]))):
+                            for k, v in zip(settled, (key, None, None, 2, int(a), int(b))):
+                                settled[k].append(v)
+                        h, context, first, last = h[one], context[one], first[one], last[one]
+                    for k, v in zip(out, (np.full(len(h), key), _signed(h), _signed(context), n, first, last)):
+                        out[k].append(v)
+                if out["key"]:
+                    yield {k: np.concatenate(v) for k, v in out.items()}
+                if settled["key"]:
+                    yield settled
 
     rows = docs.select(_row_key().alias("key"), utf8_bytes().alias("text"))
-    return map_columns(rows, "key bigint, hash bigint, context bigint, pos int, n int, last int", task)
+    return map_columns(rows, "key bigint, hash bigint, context bigint, n int, pos int, last int", task)
 
 
 def _covered(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -231,27 +238,28 @@ def _covered(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.cumsum(depth) > 0)
 
 
-def _contexts(picked: DataFrame, docs: DataFrame, length: int, size: int) -> DataFrame:
-    """The bytes around the picked anchors (`key`, `hash`, `pos`, `n`, `kinds`): adds `low` and `bytes`."""
-    reach = length - size
-    wanted = picked.groupBy("key").agg(F.collect_list(F.struct("hash", "pos", "n", "kinds")).alias("at"))
-    texts = docs.select(_row_key().alias("key"), utf8_bytes().alias("text"))
+def _contexts(picked: DataFrame, docs: DataFrame, length: int) -> DataFrame:
+    """The bytes of all strings of the picked anchors: `key`, `hash`, `n`, `pos`, `bytes`."""
+    wanted = picked.groupBy("key").agg(F.collect_list(F.struct("hash", "pos", "last", "n")).alias("at"))
+    keys = stage_table(picked.select("key").distinct(), "context-keys")
+    texts = rows_in(docs.select(_row_key().alias("key"), utf8_bytes().alias("text")), keys, ["key"])
     joined = texts.join(wanted.hint("shuffle_hash"), "key")
 
     def task(batches: Iterator[Columns]) -> Iterator[dict]:
         for batch in batches:
-            keys = batch["key"].to_pylist()
-            for at in range(0, len(keys), 200):
-                out: dict[str, list] = {k: [] for k in ("key", "hash", "n", "kinds", "low", "anchor", "bytes")}
-                rows = zip(keys[at:at + 200], batch["text"].slice(at, 200).to_pylist(), batch["at"].slice(at, 200).to_pylist())
-                for key, text, places in rows:
-                    for place in places:
-                        low = max(place["pos"] - reach, 0)
-                        for k, v in zip(out, (key, place["hash"], place["n"], place["kinds"], low, place["pos"] - low, text[low:place["pos"] + length])):
+            for at in range(0, len(batch["key"]), 200):
+                out: dict[str, list] = {k: [] for k in ("key", "hash", "n", "pos", "bytes")}
+                lists = batch["at"].slice(at, 200)
+                inner = [x.to_numpy().tolist() for x in (lists.flatten().field(k) for k in ("hash", "pos", "last", "n"))]
+                lengths = np.diff(lists.offsets.to_numpy()).tolist()
+                places = iter(zip(*inner))
+                for key, text, size in zip(batch["key"].slice(at, 200).to_pylist(), batch["text"].slice(at, 200).to_pylist(), lengths):
+                    for h, pos, last, n in islice(places, size):
+                        for k, v in zip(out, (key, h, n, pos, text[pos:last + length])):
                             out[k].append(v)
                 yield out
 
-    return map_columns(joined, "key bigint, hash bigint, n bigint, kinds bigint, low int, anchor int, bytes binary", task)
+    return map_columns(joined, "key bigint, hash bigint, n bigint, pos int, bytes binary", task)
 
 
 def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
@@ -259,80 +267,106 @@ def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
 
     def solve(block: list[tuple]) -> dict:
         keys, lows, counts, data = zip(*block)
-        absolute = np.array(keys, np.int64).view(_U) * _U(_BASE) + np.array(lows, _U)
         out: dict[str, list] = {"key": [], "pos": [], "last": []}
-        for key, low, n, starts in zip(keys, lows, counts, repeated_starts(list(data), absolute, np.array(counts), length)):
+        for key, low, n, starts in zip(keys, lows, counts, repeated_starts(list(data), np.array(counts), length)):
             if n == 1 and len(starts):  # one that stands for several is known to repeat throughout
                 for a, b in zip(*_ranges(starts)):
                     out["key"].append(key), out["pos"].append(low + int(a)), out["last"].append(low + int(b))
         return out
 
     def task(batches: Iterator[Columns]) -> Iterator[dict]:
-        block, last = [], None
+        block, group, before = [], None, None
         for batch in batches:
-            columns = [batch[k].to_pylist() for k in ("hash", "key", "low", "n", "bytes")]
+            columns = [batch[k].to_pylist() for k in ("hash", "key", "pos", "n", "bytes")]
             for h, *row in zip(*columns):
-                if h != last and len(block) >= BLOCK:
+                if (h, *row[:2]) == before:
+                    continue  # rows that share a key give the same context
+                before = (h, *row[:2])
+                if h != group and len(block) >= BLOCK:
                     yield solve(block)
                     block = []
-                last = h
+                group = h
                 block.append(tuple(row))
         if block:
             yield solve(block)
 
-    together = contexts.repartition("hash").sortWithinPartitions("hash", "key", "low")
-    return map_columns(together.select("hash", "key", "low", "n", "bytes"), "key bigint, pos int, last int", task)
+    together = contexts.repartition("hash").sortWithinPartitions("hash", "key", "pos")
+    return map_columns(together.select("hash", "key", "pos", "n", "bytes"), "key bigint, pos int, last int", task)
 
 
-def _counted(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for groups too large for a block: strings are counted per anchor, offset and hash."""
+def _counted(contexts: DataFrame, length: int, size: int) -> DataFrame:
+    """The same for groups too large for a block: strings are counted by anchor and hash."""
+    width = -(-(length - size + 1) // CLASSES)  # offsets of a class
 
-    def task(batches: Iterator[Columns]) -> Iterator[dict]:
+    def classes(data: bytes) -> Iterator[tuple[int, int, int, int]]:
+        """Class, first and last start in the context, and the hash of the bytes that all strings of the class share."""
+        pos = int(anchors(np.frombuffer(data[:length], np.uint8), length, size)[0][0])
+        for c in range(CLASSES):
+            low, high = max(pos - (c + 1) * width + 1, 0), min(pos - c * width, len(data) - length)
+            if low <= high:
+                inner = data[pos - c * width:pos - (c + 1) * width + 1 + length]
+                yield c, low, high, xxhash.xxh3_64_intdigest(inner, c) - (1 << 63)
+
+    def split(batches: Iterator[Columns]) -> Iterator[dict]:
         for batch in batches:
             for at in range(0, len(batch["key"]), 500):
-                part = {k: batch[k].slice(at, 500).to_pylist() for k in ("key", "hash", "n", "low", "anchor", "bytes")}
-                out: dict[str, list] = {k: [] for k in ("key", "hash", "n", "pos", "offset", "string")}
-                for key, h, n, low, anchor, data in zip(*part.values()):
-                    if len(data) < length:
-                        continue
-                    string = _signed(rolling(np.frombuffer(data, np.uint8), length))
-                    string = string[:anchor + 1]
-                    for k, v in zip(out, ([key] * len(string), [h] * len(string), [n] * len(string), range(low, low + len(string)), range(anchor, anchor - len(string), -1), string.tolist())):
+                part = {k: batch[k].slice(at, 500).to_pylist() for k in ("key", "hash", "n", "pos", "bytes")}
+                out: dict[str, list] = {k: [] for k in ("key", "hash", "n", "pos", "inner", "bytes")}
+                for key, h, n, pos, data in zip(*part.values()):
+                    for _, low, high, inner in classes(data):
+                        for k, v in zip(out, (key, h, n, pos + low, inner, data[low:high + length])):
+                            out[k].append(v)
+                yield out
+
+    def strings(batches: Iterator[Columns]) -> Iterator[dict]:
+        for batch in batches:
+            for at in range(0, len(batch["key"]), 500):
+                part = {k: batch[k].slice(at, 500).to_pylist() for k in ("key", "hash", "n", "pos", "bytes")}
+                out: dict[str, list] = {k: [] for k in ("key", "hash", "n", "pos", "string")}
+                for key, h, n, pos, data in zip(*part.values()):
+                    found = _signed(rolling(np.frombuffer(data, np.uint8), length)).tolist()
+                    for k, v in zip(out, ([key] * len(found), [h] * len(found), [n] * len(found), range(pos, pos + len(found)), found)):
                         out[k].extend(v)
                 yield out
 
-    strings = map_columns(contexts, "key bigint, hash bigint, n bigint, pos int, offset int, string bigint", task)
-    same = ["hash", "offset", "string"]
-    often = strings.groupBy(*same).agg(F.sum("n").alias("__all")).where("__all > 1")
-    return strings.where("n = 1").join(often, same, "left_semi").select("key", "pos", F.col("pos").alias("last"))
+    parts = stage_table(map_columns(contexts.dropDuplicates(["hash", "key", "pos"]), "key bigint, hash bigint, n bigint, pos int, inner bigint, bytes binary", split), "large-groups")
+    alive = stage_table(parts.groupBy("hash", "inner").agg(F.sum("n").alias("__all")).where("__all > 1").select("hash", "inner"), "alive")
+    rows = stage_table(map_columns(rows_in(parts, alive, ["hash", "inner"]), "key bigint, hash bigint, n bigint, pos int, string bigint", strings), "strings")
+    often = stage_table(rows.groupBy("hash", "string").agg(F.sum("n").alias("__all")).where("__all > 1").select("hash", "string"), "repeated-strings")
+    return rows_in(rows.where("n = 1"), often, ["hash", "string"]).select("key", "pos", F.col("pos").alias("last"))
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, group: int = GROUP) -> DataFrame:
     """`key` (of a row) and ranges of starts, `pos` to `last`, of strings that also start elsewhere."""
     found = stage_table(_occurrences(docs, length, size), "anchors")
     often = found.where("hash IS NOT NULL").groupBy("hash").agg(F.sum("n").alias("__all")).where("__all > 1").select("hash")
-    again = stage_table(found.join(often, "hash", "left_semi"), "repeated-anchors")
-    kinds = again.groupBy("hash", "context").agg(F.sum("n").alias("n"), F.min(F.struct("key", "pos")).alias("at"))
+    again = stage_table(rows_in(found, stage_table(often, "repeated-hashes"), ["hash"]), "repeated-anchors")
+    kinds = again.groupBy("hash", "context").agg(F.sum("n").alias("n"), F.min(F.struct("key", "pos", "last")).alias("at"))
     kinds = stage_table(kinds, "neighbourhoods")
-    reach = length - size
-    whole = again.join(kinds.where("n > 1").select("hash", "context"), ["hash", "context"], "left_semi")
-    whole = whole.select("key", F.greatest(F.col("pos") - reach, F.lit(0)).alias("pos"), F.col("pos").alias("last"))
+    whole = rows_in(again, stage_table(kinds.where("n > 1").select("hash", "context"), "repeated-neighbourhoods"), ["hash", "context"])
 
     mixed = kinds.groupBy("hash").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    picked = kinds.join(mixed, "hash").select("hash", "at.key", "at.pos", "n", "kinds")
-    contexts = stage_table(_contexts(picked, docs, length, size).distinct(), "contexts")
-    own = found.where("hash IS NULL").select("key", "pos", "last")
-    parts = own.union(whole).union(_sorted_blocks(contexts.where(F.col("kinds") <= group), length))
-    if not contexts.where(F.col("kinds") > group).isEmpty():
-        parts = parts.union(_counted(contexts.where(F.col("kinds") > group), length))
-    return parts
+    picked = kinds.join(mixed, "hash").select("hash", "at.key", "at.pos", "at.last", "n", "kinds")
+    picked = stage_table(picked, "mixed-neighbourhoods")
+    parts = found.where("hash IS NULL").select("key", "pos", "last").union(whole.select("key", "pos", "last"))
+    parts = parts.union(_sorted_blocks(_contexts(picked.where(F.col("kinds") <= group), docs, length), length))
+    large = picked.where(F.col("kinds") > group)
+    return parts if large.isEmpty() else parts.union(_counted(_contexts(large, docs, length), length, size))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, group: int = GROUP) -> DataFrame:
     """Per document row: `doc_id`, `n_bytes`, the removed `spans` (first and last byte, maximal, ascending) and the `kept` bytes."""
-    parts = repeated_ranges(docs, length, size, group)
+    parts = stage_table(repeated_ranges(docs, length, size, group), "repeats")
     ranges = parts.groupBy("key").agg(F.collect_list(F.struct("pos", "last")).alias("ranges"))
-    rows = docs.select("doc_id", _row_key().alias("key"), utf8_bytes().alias("text")).join(ranges.hint("shuffle_hash"), "key", "left")
+    rows = docs.select("doc_id", _row_key().alias("key"), utf8_bytes().alias("text"))
+    keys = stage_table(parts.select("key").distinct(), "repeat-keys")
+    if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        # documents without repeats need no exchange
+        touched = rows.join(F.broadcast(keys), "key", "left_semi").join(ranges.hint("shuffle_hash"), "key")
+        others = rows.join(F.broadcast(keys), "key", "left_anti").withColumn("ranges", F.lit(None).cast(ranges.schema["ranges"].dataType))
+        rows = touched.unionByName(others)
+    else:
+        rows = rows.join(ranges.hint("shuffle_hash"), "key", "left")
 
     def task(batches: Iterator[Columns]) -> Iterator[dict]:
         for batch in batches:
@@ -346,7 +380,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, gr
                     if lists[i].is_valid:
                         inner = lists[i].values
                         first = inner.field("pos").to_numpy()
-                        last = np.minimum(inner.field("last").to_numpy(), len(text) - length) + length - 1
+                        last = inner.field("last").to_numpy() + length - 1
                         a, b = _ranges(_covered(first, last))
                         spans = [{"first": x, "last": y} for x, y in zip(a.tolist(), b.tolist())]
                         cuts = [0, *(x for s in spans for x in (s["first"], s["last"] + 1)), len(text)]
