@@ -195,7 +195,7 @@ def _scenario(c: Canonical):
         F.lit(None).cast("decimal(18,2)").alias("unit_price"), F.lit(0).cast("decimal(18,2)").alias("discount_amount"),
         F.lit(None).cast("bigint").alias("promotion_id"),
     )
-    sent = c.sales_orders.select("order_id", F.date_add("order_date", 2).alias("fulfillment_date"), (F.col("order_id") % 5 + 1).alias("carrier_id"))
+    sent = c.sales_orders.select("order_id", F.date_add("order_date", 2).alias("fulfillment_date"), (F.col("order_id") % 25 + 1).alias("carrier_id"))
     bills = c.sales_orders.select("order_id", F.date_add("order_date", 2).alias("invoice_date"), F.lit(15).alias("due_days"))
     pays = c.sales_orders.select(
         F.concat(F.lit("P-"), "order_id").alias("payment_id"), "order_id", F.col("order_id").alias("invoice_id"),

@@ -50,6 +50,11 @@ def _orders_taken(c: Canonical):
     return c.sales_orders.withColumn("order_status", status)
 
 
+def _sold_pairs(c):
+    heads = c.sales_orders.select("order_id", "channel_id")
+    return c.sales_order_lines.select("order_id", "product_id").join(heads, "order_id").select("product_id", "channel_id").distinct()
+
+
 def _priced(c: Canonical):
     return commerce.price_lines(_line_requests(c), _orders_taken(c), c.products, c.price_lists, c.promotions)
 
@@ -260,9 +265,10 @@ QUERIES: dict[str, Query] = {
         (('draft', 'confirmed'), ('confirmed', 'fulfilled'), ('confirmed', 'invoiced'), ('fulfilled', 'invoiced'), ('invoiced', 'paid')), FALSE))""",
     ),
     "c08_price_matrix": Query(
-        lambda c: commerce.price_matrix(c.products, c.sales_channels),
+        lambda c: commerce.price_matrix(_sold_pairs(c), c.products, c.sales_channels),
         "product_id:i channel_id:i channel_code:s unit_price:n",
-        "SELECT * FROM price_matrix",
+        """SELECT * FROM price_matrix SEMI JOIN (SELECT product_id, channel_id FROM sales_order_lines JOIN sales_orders USING (order_id))
+        USING (product_id, channel_id)""",
     ),
     "c09_validate_returns": Query(
         _returns,
@@ -355,12 +361,12 @@ QUERIES: dict[str, Query] = {
             c.sales_orders.select(
                 "order_id",
                 F.date_add("order_date", (F.col("order_id") % 4 + 1).cast("int")).alias("fulfillment_date"),
-                (F.col("order_id") % 6 + 1).alias("carrier_id"),
+                (F.col("order_id") % 26 + 1).alias("carrier_id"),
             ),
         ),
         "order_id:i warehouse_id:i carrier_id:i planned_ship_date:d actual_ship_date:d planned_delivery_date:d "
         "actual_delivery_date:d shipment_status:s shipping_fee:n reject_reason:s",
-        """SELECT o.order_id, s.warehouse_id, o.order_id % 6 + 1 AS carrier_id, order_date + 1 AS planned_ship_date,
+        """SELECT o.order_id, s.warehouse_id, o.order_id % 26 + 1 AS carrier_id, order_date + 1 AS planned_ship_date,
         order_date + CAST(o.order_id % 4 + 1 AS INTEGER) AS actual_ship_date,
         order_date + CASE service_level WHEN 'same_day' THEN 1 WHEN 'express' THEN 2 ELSE 3 END AS planned_delivery_date,
         order_date + CAST(o.order_id % 4 + 1 AS INTEGER) + CASE service_level WHEN 'same_day' THEN 0 ELSE 1 END AS actual_delivery_date,
@@ -368,13 +374,13 @@ QUERIES: dict[str, Query] = {
         CASE service_level WHEN 'same_day' THEN 45000 WHEN 'express' THEN 35000 WHEN 'b2b_freight' THEN 120000 ELSE 25000 END AS shipping_fee,
         CASE WHEN order_status <> 'confirmed' THEN 'order_not_confirmed' WHEN service_level IS NULL THEN 'invalid_carrier'
         WHEN s.warehouse_id IS NULL THEN 'no_order_lines' END AS reject_reason
-        FROM sales_orders o LEFT JOIN order_sums s ON s.order_id = o.order_id LEFT JOIN carriers c ON c.carrier_id = o.order_id % 6 + 1""",
+        FROM sales_orders o LEFT JOIN order_sums s ON s.order_id = o.order_id LEFT JOIN carriers c ON c.carrier_id = o.order_id % 26 + 1""",
     ),
     "l02_shipping_fee": Query(
         lambda c: c.shipments.groupBy("carrier_id").agg(F.count("*").alias("shipments"), F.sum("shipping_fee").alias("shipping_fee")),
         "carrier_id:i shipments:i shipping_fee:n",
-        """SELECT carrier_id, count(*) AS shipments, sum(CASE carrier_id WHEN 4 THEN 45000 WHEN 2 THEN 35000 WHEN 5 THEN 120000 ELSE 25000 END) AS shipping_fee
-        FROM (SELECT s.carrier_id FROM shipments s) GROUP BY carrier_id""",
+        """SELECT carrier_id, count(*) AS shipments, sum(CASE service_level WHEN 'same_day' THEN 45000 WHEN 'express' THEN 35000 WHEN 'b2b_freight' THEN 120000 ELSE 25000 END) AS shipping_fee
+        FROM shipments JOIN carriers USING (carrier_id) GROUP BY carrier_id""",
     ),
     "l03_number_attempts": Query(
         lambda c: logistics.number_attempts(_good_attempts(c)),

@@ -12,7 +12,8 @@ from tradewind.streaming import events as ev, metrics, run
 
 
 def _stream(c: Canonical, table: str) -> DataFrame:
-    return run.read_stream(c.spark, c.folder, table, c.raw(table).schema)
+    # a pattern, because the table may be one file or a folder of files
+    return run.read_stream(c.spark, f"{c.folder}/{table}.parque[t]", c.raw(table).schema)
 
 
 def _events(c: Canonical) -> DataFrame:
@@ -43,25 +44,19 @@ def _distinct(c: Canonical) -> DataFrame:
     repeated = _events(c).withColumn(
         "copy", F.explode(F.when(F.col("event_id") % 5 == 0, F.array(F.lit(1), F.lit(2), F.lit(3))).otherwise(F.array(F.lit(1))))
     )
-    kept = ev.first_of_each(repeated, "1 day").select("event_id", "event_type", "event_time", "value")
-    return run.drain_append(kept, run.new_run(c.spark, "distinct"))
+    return ev.first_of_each(repeated.select("event_id", "event_type", "event_time", "value"), run.new_run(c.spark, "distinct"))
 
 
 def _tumbling(c: Canonical) -> DataFrame:
-    return run.drain_updates(
-        metrics.windowed_metrics(_events(c), "1 hour", "1 hour"), run.new_run(c.spark, "tumbling"), ["window_start", "window_end", "event_type"]
-    )
+    return metrics.running_windows(_events(c), run.new_run(c.spark, "tumbling"), "1 hour")
 
 
 def _sliding(c: Canonical) -> DataFrame:
-    return run.drain_updates(
-        metrics.windowed_metrics(_events(c), "1 hour", "2 hours", "1 hour"), run.new_run(c.spark, "sliding"), ["window_start", "window_end", "event_type"]
-    )
+    return metrics.running_windows(_events(c), run.new_run(c.spark, "sliding"), "2 hours", "1 hour")
 
 
 def _sessions(c: Canonical) -> DataFrame:
-    found = metrics.session_metrics(_events(c), "0 seconds", "6 hours", "user_id")
-    return run.drain_append(found, run.new_run(c.spark, "sessions"))
+    return metrics.running_sessions(_events(c), run.new_run(c.spark, "sessions"), "6 hours", "user_id")
 
 
 def _dead(c: Canonical) -> DataFrame:
@@ -80,7 +75,7 @@ def _late(c: Canonical) -> DataFrame:
     marked = None
     for part in (raw.where(first), raw.where(~first)):
         part.write.mode("append").parquet(inbox)
-        stream = event_view(run.read_stream(c.spark, inbox, "", raw.schema))
+        stream = event_view(run.read_stream(c.spark, inbox, raw.schema))
         marked = ev.route_late(stream, path, F.expr("INTERVAL 1 DAY"))
     return marked.groupBy("is_late", "event_type").agg(F.count("*").alias("events"))
 
@@ -113,13 +108,12 @@ def _joined(c: Canonical) -> DataFrame:
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
         F.col("l_shipdate").cast("timestamp").alias("paid_at"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
     )
-    joined = metrics.join_within(orders, paid, "ordered_at", "paid_at", "order_id", "30 DAYS", "1 day")
-    return run.drain_append(joined, run.new_run(c.spark, "join"))
+    return metrics.join_within(orders, paid, run.new_run(c.spark, "join"), "ordered_at", "paid_at", "order_id", "30 DAYS")
 
 
 def _parity(c: Canonical) -> DataFrame:
     keys = ["window_start", "event_type"]
-    batch = metrics.windowed_metrics(c.events, "1 hour", "1 hour")
+    batch = metrics.windowed_metrics(c.events, "1 hour")
     return metrics.parity(batch, _tumbling(c), keys, "value")
 
 
@@ -151,11 +145,12 @@ QUERIES: dict[str, Query] = {
         FROM event_rows, (VALUES (0), (1)) AS hs(h) GROUP BY ALL""",
     ),
     "k03_session_metrics": Query(
-        lambda c: _times(_sessions(c), "session_start"), "user_id:i session_start:s events:i value:n",
-        """SELECT user_id, strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS events, sum(value) AS value FROM
+        lambda c: _times(_sessions(c), "session_start"), "user_id:i session_start:s events:i value:n is_open:b",
+        """SELECT user_id, strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS events, sum(value) AS value,
+        max(event_time) + INTERVAL 6 HOUR > (SELECT max(event_time) FROM event_rows) AS is_open FROM
         (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS session_no FROM
         (SELECT *, CASE WHEN event_time < lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time, event_id) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM event_rows))
-        GROUP BY user_id, session_no HAVING max(event_time) + INTERVAL 6 HOUR <= (SELECT date_trunc('millisecond', max(event_time)) FROM event_rows)""",
+        GROUP BY user_id, session_no""",
     ),
     "k04_dead_letter": Query(
         _dead, "side:s events:i",
@@ -180,6 +175,9 @@ QUERIES: dict[str, Query] = {
     ),
     "k08_batch_stream_parity": Query(
         lambda c: _times(_parity(c), "window_start"), "window_start:s event_type:s batch_value:n stream_value:n is_equal:b",
-        f"""SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, value AS batch_value, value AS stream_value, TRUE AS is_equal FROM ({_TUMBLING})""",
+        f"""SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, a.value AS batch_value, b.value AS stream_value,
+        a.value IS NOT DISTINCT FROM b.value AS is_equal FROM ({_TUMBLING}) a FULL JOIN
+        (SELECT make_timestamp(CAST(floor(epoch_us(event_time) / 3600000000) AS BIGINT) * 3600000000) AS window_start, event_type, sum(value) AS value
+        FROM event_rows GROUP BY ALL) b USING (window_start, event_type)""",
     ),
 }

@@ -7,6 +7,7 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
+from tradewind import contracts
 from tradewind.operators import commerce, finance, inventory, logistics
 
 
@@ -30,18 +31,14 @@ class Seed:
              (4, "B2B", "B2B Sales", "direct_sales", True), (5, "SOCIAL", "Social Commerce", "online", True)],
             "channel_id int, channel_code string, channel_name string, channel_type string, is_active boolean",
         )
+        # one carrier per service level
         self.carriers = make(
-            [(1, "STD-1", "One", "standard", True), (2, "EXP-2", "Two", "express", True), (3, "STD-3", "Three", "standard", True),
-             (4, "DAY-4", "Four", "same_day", True), (5, "B2B-5", "Five", "b2b_freight", True)],
+            [(i, level.upper(), f"Carrier {i}", level, True) for i, level in enumerate(contracts.DOMAINS["carriers", "service_level"], 1)],
             "carrier_id int, carrier_code string, carrier_name string, service_level string, is_active boolean",
         )
-        self.customer_segments = make(
-            [(1, "NEW", "New"), (2, "RETURNING", "Returning"), (3, "VIP", "VIP"), (4, "B2B", "B2B"), (5, "WHOLESALE", "Wholesale")],
-            "segment_id int, segment_code string, segment_name string",
-        )
+        self.customer_segments = make([(i, f"SEG-{i}", f"Segment {i}") for i in range(1, 6)], "segment_id int, segment_code string, segment_name string")
         self.customers = make(
-            [(1, 3, "CUS-00001", "A", "individual", "Ha Noi", "North", True), (2, 2, "CUS-00002", "B", "individual", "Ho Chi Minh City", "South", True),
-             (3, 4, "CUS-00003", "C", "business", "Da Nang", "Central", True), (4, 5, "CUS-00004", "D", "business", "Can Tho", "South", True)],
+            [(i, i, f"CUS-{i:05}", f"Customer {i}", "business" if i > 2 else "individual", f"City {i}", f"Region {i}", True) for i in range(1, 5)],
             "customer_id int, segment_id int, customer_code string, customer_name string, customer_type string, city string, region string, is_active boolean",
         )
         self.product_categories = make(
@@ -49,24 +46,26 @@ class Seed:
              (5, 4, "BISCUIT", "Biscuits", 2)],
             "category_id int, parent_category_id int, category_code string, category_name string, level int",
         )
+        # fixed values of the worked results: sku, cost, list price, shelf life
+        fixed = [("TEA-LEM-330", 4500, 10000, 365), ("TEA-PEA-330", 4800, 11000, 365), ("JUI-ORA-500", 9000, 21000, 180),
+                 ("BIS-OAT-120", 7000, 18000, 270), ("BIS-CHO-120", 7600, 19000, 270)]
         self.products = make(
-            [(1, 2, "TEA-LEM-330", "Lemon Tea", "HOUSE", "bottle", D(4500), D(10000), 365, True),
-             (2, 2, "TEA-PEA-330", "Peach Tea", "HOUSE", "bottle", D(4800), D(11000), 365, True),
-             (3, 3, "JUI-ORA-500", "Orange Juice", "HOUSE", "bottle", D(9000), D(21000), 180, True),
-             (4, 5, "BIS-OAT-120", "Oat Biscuit", "HOUSE", "pack", D(7000), D(18000), 270, True),
-             (5, 5, "BIS-CHO-120", "Chocolate Biscuit", "HOUSE", "pack", D(7600), D(19000), 270, True)],
+            [(i, (2, 2, 3, 5, 5)[i - 1], sku, f"Product {i}", "OWN", "each", D(cost), D(price), days, True)
+             for i, (sku, cost, price, days) in enumerate(fixed, 1)],
             "product_id int, category_id int, sku string, product_name string, brand string, unit_of_measure string, "
             "standard_cost decimal(18,2), list_price decimal(18,2), shelf_life_days int, is_active boolean",
         )
         year = [F.lit("2026-01-01").cast("date").alias("valid_from"), F.lit("2026-12-31").cast("date").alias("valid_to")]
-        self.price_lists = commerce.price_matrix(self.products, self.sales_channels).select(
+        self.price_lists = commerce.price_matrix(
+            self.products.select("product_id", F.explode(F.array(*map(F.lit, range(1, 6)))).alias("channel_id")), self.products, self.sales_channels
+        ).select(
             (F.col("product_id") * 10 + F.col("channel_id")).alias("price_list_id"), "product_id", "channel_id", *year, "unit_price",
             F.lit(True).alias("is_active"),
         )
         august = (date(2026, 8, 1), date(2026, 8, 31))
+        # fixed values of the worked results: ten percent in channel 2, five percent in channel 4
         self.promotions = make(
-            [(1, "WEB-TEA-AUG10", 2, *august, "percent", D(10), True), (2, "MKT-SNACK-FS5K", 3, *august, "fixed_amount", D(5000), True),
-             (3, "B2B-BULK-AUG5", 4, *august, "percent", D(5), True)],
+            [(1, "TEN", 2, *august, "percent", D(10), True), (2, "FLAT", 3, *august, "fixed_amount", D(5000), True), (3, "FIVE", 4, *august, "percent", D(5), True)],
             "promotion_id int, promotion_code string, channel_id int, start_date date, end_date date, discount_type string, "
             "discount_value decimal(18,2), is_active boolean",
         )
@@ -85,7 +84,7 @@ class Seed:
             "order_line_id int, order_id int, product_id int, warehouse_id int, quantity decimal(18,3), unit_price decimal(18,2), "
             "discount_amount decimal(18,2), promotion_id int",
         )
-        self.fulfilments = make([(1, date(2026, 8, 2), 2), (2, date(2026, 8, 4), 5)], "order_id int, fulfillment_date date, carrier_id int")
+        self.fulfilments = make([(1, date(2026, 8, 2), 2), (2, date(2026, 8, 4), 4)], "order_id int, fulfillment_date date, carrier_id int")
         self.invoice_requests = make([(1, date(2026, 8, 2), 15), (2, date(2026, 8, 4), 30)], "order_id int, invoice_date date, due_days int")
         self.payment_requests = make(
             [("p1", 1, date(2026, 8, 3), "e_wallet", D(100000)), ("p2", 2, date(2026, 8, 5), "bank_transfer", D(300000))],

@@ -57,7 +57,7 @@ def test_shipments(house):
         (2, day(3), day(5), day(4), day(5), 120000, 2, 3, True),
     ]
     assert rows(house.mart_logistics_performance, "carrier_code", "shipments", "avg_fulfillment_lead_days", "avg_delivery_lead_days",
-                "on_time_delivery_rate", "shipping_fee") == [("B2B-5", 1, 2, 3, 1, 120000), ("EXP-2", 1, 1, 2, 1, 35000)]
+                "on_time_delivery_rate", "shipping_fee") == [("B2B_FREIGHT", 1, 2, 3, 1, 120000), ("EXPRESS", 1, 1, 2, 1, 35000)]
 
 
 def test_marts(house):

@@ -28,8 +28,6 @@ LEGAL_TRANSITIONS = [
     ("invoiced", "paid"),
 ]
 
-MAX_CHANNELS = 1000
-
 
 def first_failure(*tests: tuple[Column, str]) -> Column:
     """Name of the first test that holds, else NULL."""
@@ -225,29 +223,15 @@ def illegal_transitions(status_log: DataFrame) -> DataFrame:
     return seen.where(~F.coalesce(legal, F.lit(False)))
 
 
-def price_matrix(products: DataFrame, channels: DataFrame) -> DataFrame:
-    """List price times the channel's factor for every product and channel.
-
-    The channel master is a handful of rows: it is read as one array, refused
-    beyond MAX_CHANNELS, and exploded next to each product.
-    """
-    known = F.collect_list(F.struct("channel_id", "channel_code"))
-    master = channels.agg(
-        F.when(F.count("*") <= MAX_CHANNELS, known)
-        .otherwise(F.raise_error(F.lit("too many channels for a price matrix")))
-        .alias("channels")
-    )
-    each = products.select(
-        "product_id", "list_price", F.explode(master.scalar()).alias("channel")
-    )
-    code = F.col("channel.channel_code")
+def price_matrix(pairs: DataFrame, products: DataFrame, channels: DataFrame) -> DataFrame:
+    """List price times the channel's factor for the given (product, channel) pairs, however many channels there are."""
+    code = F.col("channel_code")
     factor = F.lit(OTHER_PRICE_FACTOR)
     for name, value in PRICE_FACTORS.items():
         factor = F.when(code == name, value).otherwise(factor)
-    return each.select(
-        "product_id",
-        F.col("channel.channel_id").alias("channel_id"),
-        code.alias("channel_code"),
+    priced = pairs.select("product_id", "channel_id").join(products.select("product_id", "list_price"), "product_id")
+    return priced.join(channels.select("channel_id", "channel_code"), "channel_id").select(
+        "product_id", "channel_id", "channel_code",
         round_money(F.col("list_price") * factor.cast("decimal(4,2)")).alias("unit_price"),
     )
 

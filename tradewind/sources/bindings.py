@@ -7,7 +7,6 @@ columns, which costs no shuffle and stays the same on every read.
 
 from __future__ import annotations
 
-import os
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -24,15 +23,6 @@ CHANNELS = [
     (5, "SOCIAL", "Social Commerce", "online"),
 ]
 
-# fixed values: carriers (id, code, name, service level)
-CARRIERS = [
-    (1, "STD-1", "Standard One", "standard"),
-    (2, "EXP-2", "Express Two", "express"),
-    (3, "STD-3", "Standard Three", "standard"),
-    (4, "DAY-4", "Same Day Four", "same_day"),
-    (5, "B2B-5", "Freight Five", "b2b_freight"),
-]
-
 # fixed values: categories (id, parent, code, name, level)
 CATEGORIES = [
     (1, None, "CORE", "Core range", 1),
@@ -53,13 +43,6 @@ SEGMENTS = [
     (5, "MACHINERY", "Machinery"),
 ]
 
-# fixed values: promotions (id, code, name, channel, type, value), all valid in 1998
-PROMOTIONS = [
-    (1, "WEB-98-10", "Web ten percent", 2, "percent", 10),
-    (2, "MKT-98-5K", "Marketplace fixed", 3, "fixed_amount", 5000),
-    (3, "B2B-98-5", "B2B five percent", 4, "percent", 5),
-]
-
 _SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 
 
@@ -88,17 +71,6 @@ class Canonical:
             _SCHEMAS[key] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
-    def spread(self, name: str, key: str) -> DataFrame:
-        """Scan of a large table; one local file, which one task would read, is hashed over the cores.
-
-        A table that is a folder of files keeps the splits of its scan. The key is
-        the one that the next join or aggregate needs, so that step shuffles no more.
-        """
-        rows = self.raw(name)
-        if not os.path.isfile(f"{self.folder.removeprefix('file://')}/{name}.parquet"):
-            return rows
-        return rows.repartition(self.spark.sparkContext.defaultParallelism, key)
-
     def _inline(self, rows: list[tuple], ddl: list[tuple[str, T.DataType]]) -> DataFrame:
         return inline_values(self.spark, rows, T.StructType([T.StructField(n, t) for n, t in ddl]))
 
@@ -119,9 +91,15 @@ class Canonical:
 
     @cached_property
     def carriers(self) -> DataFrame:
-        text = T.StringType()
-        columns = [("carrier_id", T.LongType()), ("carrier_code", text), ("carrier_name", text), ("service_level", text)]
-        return self._inline(CARRIERS, columns).withColumn("is_active", F.lit(True))
+        """One carrier per nation; the service level goes by its number."""
+        level = F.get(F.array(F.lit("standard"), F.lit("same_day"), F.lit("b2b_freight"), F.lit("express")), (F.col("n_nationkey") % 4).cast("int"))
+        return self.raw("nation").select(
+            (_id("n_nationkey") + 1).alias("carrier_id"),
+            F.concat(F.lit("CAR-"), "n_nationkey").alias("carrier_code"),
+            F.concat("n_name", F.lit(" Lines")).alias("carrier_name"),
+            level.alias("service_level"),
+            F.lit(True).alias("is_active"),
+        )
 
     @cached_property
     def customer_segments(self) -> DataFrame:
@@ -136,14 +114,19 @@ class Canonical:
 
     @cached_property
     def promotions(self) -> DataFrame:
-        columns = [("promotion_id", T.LongType()), ("promotion_code", T.StringType()), ("promotion_name", T.StringType()),
-                   ("channel_id", T.LongType()), ("discount_type", T.StringType()), ("value", T.IntegerType())]
-        return self._inline(PROMOTIONS, columns).select(
-            "promotion_id", "promotion_code", "promotion_name", "channel_id",
-            F.lit("1998-01-01").cast("date").alias("start_date"),
-            F.lit("1998-12-31").cast("date").alias("end_date"),
-            "discount_type",
-            F.col("value").cast(MONEY).alias("discount_value"),
+        """One promotion per region, each in a channel and a stretch of time of its own."""
+        number = F.col("r_regionkey").cast("int")
+        start = F.date_add(F.lit("1995-07-01").cast("date"), number * 150)
+        percent = number % 2 == 0
+        return self.raw("region").select(
+            (_id("r_regionkey") + 1).alias("promotion_id"),
+            F.concat(F.lit("PRO-"), "r_regionkey").alias("promotion_code"),
+            F.concat("r_name", F.lit(" offer")).alias("promotion_name"),
+            (_id("r_regionkey") % 5 + 1).alias("channel_id"),
+            start.alias("start_date"),
+            F.date_add(start, 700).alias("end_date"),
+            F.when(percent, "percent").otherwise("fixed_amount").alias("discount_type"),
+            F.when(percent, 4 + 3 * number).otherwise(700 + 150 * number).cast(MONEY).alias("discount_value"),
             F.lit(0).cast(MONEY).alias("budget_amount"),
             F.lit(True).alias("is_active"),
         )
@@ -226,7 +209,8 @@ class Canonical:
         """One price per product, channel and year, and a cheaper second half on every third product."""
         from tradewind.operators.commerce import price_matrix
 
-        base = price_matrix(self.products.select("product_id", "list_price"), self.sales_channels)
+        sold_in = F.explode(F.array(*[F.lit(channel).cast("bigint") for channel, *_ in CHANNELS]))
+        base = price_matrix(self.products.select("product_id", sold_in.alias("channel_id")), self.products, self.sales_channels)
         spans = (
             base.withColumn("year", F.explode(F.sequence(F.lit(1995), F.lit(2001))))
             .where((F.col("year") != 2001) | (F.col("product_id") % 7 != 0))
@@ -274,13 +258,13 @@ class Canonical:
         cents = (gross * 100).cast("bigint")
         discount = round_money(gross * F.abs("l_discount").cast("decimal(4,2)"))
         quantity = F.col("l_quantity").cast(QUANTITY)
-        return self.spread("lineitem", "l_orderkey").select(
+        return self.raw("lineitem").select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("order_line_id"),
             _id("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line_no"),
             _id("l_partkey").alias("product_id"),
             _id("l_suppkey").alias("warehouse_id"),
-            F.nullif(F.col("l_linenumber") % 4, F.lit(0)).cast("bigint").alias("promotion_id"),
+            F.nullif(F.col("l_linenumber") % 6, F.lit(0)).cast("bigint").alias("promotion_id"),
             quantity.alias("quantity"),
             gross.alias("gross_amount"),
             discount.alias("discount_amount"),
@@ -330,7 +314,7 @@ class Canonical:
         return self.sales_orders.where(F.col("order_status").isin("paid", "fulfilled")).select(
             "order_id",
             F.date_add("order_date", (F.col("order_id") % 4 + 1).cast("int")).alias("fulfillment_date"),
-            (F.col("order_id") % 5 + 1).alias("carrier_id"),
+            (F.col("order_id") % 25 + 1).alias("carrier_id"),
         )
 
     @cached_property

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tradewind.operators.commerce import first_failure
-from tradewind.streaming.run import drain_batches
+from tradewind.streaming.run import drain_batches, drain_with_earlier
 
 # fixed values: the envelope of every event
 ENVELOPE = T.StructType(
@@ -39,9 +39,22 @@ def parse_envelope(messages: DataFrame, column: str = "value") -> DataFrame:
     return flat.select("message", *ENVELOPE.names, reason.alias("reject_reason"))
 
 
-def first_of_each(events: DataFrame, delay: str, key: str = "event_id") -> DataFrame:
-    """Repeats of an event within the watermark dropped; the state is bounded by the watermark."""
-    return events.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([key])
+def first_of_each(events: DataFrame, path: str, key: str = "event_id", time: str = "event_time") -> DataFrame:
+    """Run a stream and keep one row per event, however far apart its repeats arrive.
+
+    A repeat has the time of its event, so a batch is compared with the earlier
+    rows of the stretch of time that it covers, and with no others.
+    """
+
+    def part(batch: DataFrame, earlier: DataFrame | None) -> DataFrame:
+        once = batch.dropDuplicates([key])
+        if earlier is None:
+            return once
+        ends = batch.agg(F.min(time).alias("low"), F.max(time).alias("high")).first()
+        seen = earlier.where(F.col(time).between(ends["low"], ends["high"]) | F.col(time).isNull()).select(key)
+        return once.join(seen, key, "left_anti").select(*batch.columns)
+
+    return drain_with_earlier(events, path, part)
 
 
 def split_dead_letters(checked: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:

@@ -4,30 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tradewind.operators.inventory import STOCK_KEY, on_hand_effect
+from tradewind.streaming.run import drain_parts, drain_with_earlier
 
 
-def windowed_metrics(events: DataFrame, delay: str, length: str, slide: str | None = None) -> DataFrame:
-    """Count and value per type and time window; works on a stream and on a table alike."""
+def windowed_metrics(events: DataFrame, length: str, slide: str | None = None) -> DataFrame:
+    """Count and value per type and time window of a table or of one batch."""
     window = F.window("event_time", length, slide) if slide else F.window("event_time", length)
-    kept = events.withWatermark("event_time", delay) if events.isStreaming else events
-    return kept.groupBy(window.alias("w"), "event_type").agg(
+    return events.groupBy(window.alias("w"), "event_type").agg(
         F.count("*").alias("events"), F.sum("value").alias("value")
     ).select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", "events", "value"
     )
 
 
-def session_metrics(events: DataFrame, delay: str, gap: str, key: str) -> DataFrame:
-    """Sessions per key that end after `gap` without an event."""
-    kept = events.withWatermark("event_time", delay) if events.isStreaming else events
-    return kept.groupBy(F.session_window("event_time", gap).alias("w"), key).agg(
+def running_windows(events: DataFrame, path: str, length: str, slide: str | None = None) -> DataFrame:
+    """The windows of a stream run: each batch adds its part, so a late event corrects the window that it belongs to."""
+    parts = drain_parts(events, path, lambda batch: windowed_metrics(batch, length, slide))
+    return parts.groupBy("window_start", "window_end", "event_type").agg(F.sum("events").alias("events"), F.sum("value").alias("value"))
+
+
+def session_parts(events: DataFrame, gap: str, key: str) -> DataFrame:
+    """Sessions per key among the given events: they end after `gap` without an event."""
+    return events.groupBy(F.session_window("event_time", gap).alias("w"), key).agg(
         F.count("*").alias("events"), F.sum("value").alias("value")
     ).select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "events", "value")
 
 
+def running_sessions(events: DataFrame, path: str, gap: str, key: str) -> DataFrame:
+    """The sessions of a stream run: parts of one session from different batches are joined, at any distance of arrival.
+
+    `is_open`: an event newer than all seen so far may still belong to the session.
+    """
+    parts = drain_parts(events, path, lambda batch: session_parts(batch, gap, key))
+    before = Window.partitionBy(key).orderBy("session_start", "session_end").rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.coalesce(F.col("session_start") >= F.max("session_end").over(before), F.lit(True))
+    running = Window.partitionBy(key).orderBy("session_start", "session_end").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = parts.withColumn("__opens", opens.cast("int")).withColumn("__session", F.sum("__opens").over(running))
+    merged = numbered.groupBy(key, "__session").agg(
+        F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
+        F.sum("events").alias("events"), F.sum("value").alias("value"),
+    )
+    # a session ends a gap after its last event, so the newest end stands for the newest event
+    newest = parts.agg((F.max("session_end") - F.expr(f"INTERVAL {gap}")).alias("newest")).first()["newest"]
+    return merged.drop("__session").withColumn("is_open", F.col("session_end") > F.lit(newest))
+
+
 def running_stock(moves: DataFrame) -> DataFrame:
     """On-hand change per (warehouse, product) from movement events, kept up to date by each batch."""
     return moves.groupBy(*STOCK_KEY).agg(
@@ -36,18 +60,42 @@ def running_stock(moves: DataFrame) -> DataFrame:
 
 
 def join_within(
-    orders: DataFrame, payments: DataFrame, order_time: str, payment_time: str, key: str, within: str, delay: str
+    orders: DataFrame, payments: DataFrame, path: str, order_time: str, payment_time: str, key: str, within: str
 ) -> DataFrame:
-    """Payments of an order that come within a time after it; both sides' state ends with that time."""
-    left = orders.withWatermark(order_time, delay).alias("o")
-    right = payments.withWatermark(payment_time, delay).alias("p")
+    """Run two streams and pair each order with its payments that come within a time after it, in whatever order they arrive.
+
+    Both sides run as one stream, so that a batch holds rows of either. What a
+    batch brings is kept, and it meets the earlier rows of the other side that
+    lie within the time of the batch.
+    """
+    left = F.struct(*[F.col(c) for c in orders.columns])
+    right = F.struct(*[F.col(c) for c in payments.columns])
+    sides = orders.select(left.alias("o")).unionByName(payments.select(right.alias("p")), allowMissingColumns=True)
     condition = (
         (F.col(f"o.{key}") == F.col(f"p.{key}"))
         & (F.col(f"p.{payment_time}") >= F.col(f"o.{order_time}"))
         & (F.col(f"p.{payment_time}") <= F.col(f"o.{order_time}") + F.expr(f"INTERVAL {within}"))
     )
-    joined = left.join(right, condition)
-    return joined.select("o.*", *[F.col(f"p.{c}") for c in payments.columns if c != key])
+
+    def of(rows: DataFrame, side: str) -> DataFrame:
+        return rows.where(F.col(side).isNotNull()).select(side)
+
+    def part(batch: DataFrame, earlier: DataFrame | None) -> DataFrame:
+        new_orders, new_payments = of(batch, "o"), of(batch, "p")
+        pairs = new_orders.join(new_payments, condition)
+        if earlier is not None:
+            kept = earlier.where("o IS NULL OR p IS NULL")
+            reach = batch.agg(
+                F.min(f"o.{order_time}").alias("o_low"), (F.max(f"o.{order_time}") + F.expr(f"INTERVAL {within}")).alias("o_high"),
+                (F.min(f"p.{payment_time}") - F.expr(f"INTERVAL {within}")).alias("p_low"), F.max(f"p.{payment_time}").alias("p_high"),
+            ).first()
+            old_payments = of(kept, "p").where(F.col(f"p.{payment_time}").between(reach["o_low"], reach["o_high"]))
+            old_orders = of(kept, "o").where(F.col(f"o.{order_time}").between(reach["p_low"], reach["p_high"]))
+            pairs = pairs.unionByName(new_orders.join(old_payments, condition)).unionByName(old_orders.join(new_payments, condition))
+        return batch.unionByName(pairs)
+
+    found = drain_with_earlier(sides, path, part).where("o IS NOT NULL AND p IS NOT NULL")
+    return found.select("o.*", *[F.col(f"p.{c}") for c in payments.columns if c != key])
 
 
 def parity(batch: DataFrame, stream: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

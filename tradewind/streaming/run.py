@@ -11,12 +11,13 @@ from tradewind.session import scratch_path
 from tradewind.sources.tables import latest_per_key
 
 
-def read_stream(spark: SparkSession, folder: str, table: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
-    """Stream over the Parquet files of one table in a folder."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet" if table else "*.parquet")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+# a batch takes at most so many files, so that a table of any size arrives in bounded steps
+FILES_PER_BATCH = 64
+
+
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """Stream over the Parquet files at `path`, a folder, a file or a pattern."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files or FILES_PER_BATCH).parquet(path)
 
 
 def drain_append(stream: DataFrame, path: str) -> DataFrame:
@@ -62,5 +63,29 @@ def drain_updates(stream: DataFrame, path: str, keys: Sequence[str]) -> DataFram
     return latest_per_key(written, keys, [F.col("batch_id")]).drop("batch_id")
 
 
+def drain_parts(stream: DataFrame, path: str, part: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Process what is available; `part` reduces each batch on its own, and what all batches wrote is returned.
+
+    For results that can be put together from parts (sums, counts, sessions): no
+    row is too late for its part, and a repeated batch replaces itself.
+    """
+    return drain_with_earlier(stream, path, lambda batch, _: part(batch))
+
+
+def drain_with_earlier(stream: DataFrame, path: str, part: Callable[[DataFrame, DataFrame | None], DataFrame]) -> DataFrame:
+    """As `drain_parts`; `part` also sees what the earlier batches wrote (None for the first)."""
+    rows = os.path.join(path, "parts")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        earlier = None
+        if batch_id > 0:
+            earlier = batch.sparkSession.read.parquet(rows).where(F.col("batch_id") < batch_id).drop("batch_id")
+        out = part(batch, earlier)
+        out.write.mode("overwrite").parquet(os.path.join(rows, f"batch_id={batch_id}"))
+
+    drain_batches(stream, path, write)
+    return stream.sparkSession.read.parquet(rows).drop("batch_id")
+
+
 def new_run(spark: SparkSession, label: str) -> str:
     return scratch_path(spark, f"stream-{label}")
