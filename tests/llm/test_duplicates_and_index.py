@@ -37,11 +37,23 @@ def test_components_equal_all_pairs(spark, width):
     assert all(got[i].n_shingles == len(cases.shingle_set(t, width)) and got[i].kept == (want[i] == i) for i, t in rows)
 
 
-def test_every_bucket_is_searched_to_the_end(spark, monkeypatch):
-    """With one band of one register nearly all sets share buckets with strangers."""
-    rows = near_rows(11, groups=6, size=6)
+@pytest.mark.parametrize("small", [32, 2])
+def test_every_bucket_is_searched_to_the_end(spark, monkeypatch, small):
+    """With bands of one register many sets share buckets with strangers; variants of one text come in all distances."""
+    rng = random.Random(11)
+    base = cases.words(rng, 60, 5000)
+    spots = [(rng.randrange(60), f"m{k}") for k in range(12)]
+    texts = [t for _, t in near_rows(11, groups=4, size=6)]
+    for _ in range(70):
+        w = list(base)
+        for at, word in rng.sample(spots, rng.randrange(0, 7)):
+            w[at] = word
+        texts.append(" ".join(w))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    monkeypatch.setattr(setsketch, "FIRST_CENTRES", 1)
+    monkeypatch.setattr(setsketch, "SMALL_BUCKET", small)
+    monkeypatch.setattr(setsketch, "BLOCK_SHINGLES", 500)
     monkeypatch.setattr(setsketch, "BANDS", 32)
     monkeypatch.setattr(setsketch, "ROWS", 1)
     assert {r.doc_id: r.component_id for r in setsketch.near_duplicates(docs, 4, 80).collect()} == cases.near_components(rows, 4, 80)

@@ -13,10 +13,14 @@ they share shingles.
    by maximum likelihood; a pair for which the asked similarity is out of the
    question is dropped, and the others are confirmed on the full sets.
 4. Confirmed links merge into components. A bucket that still holds several
-   components is then searched to the end: members outside the component of its
-   smallest member become centres in turn, more in each round, and meet every
-   member of another component. So no link between two members of a bucket is lost, and
-   buckets whose members all ended up together, the large ones, cost nothing more.
+   components is then searched to the end. First each member's shingles are counted
+   that only its own component has: they bound its similarity to all others from
+   above, and most members drop out without a comparison. What is left of a small
+   bucket is paired up. In large ones, the members outside the component of the
+   smallest member are dealt into blocks; each block meets all members, a part of
+   them at a time, through a list of its shingles, so overlaps are exact and no
+   pair is ever written that is no link. So no link between two members of a bucket
+   is lost, and buckets whose members all ended up together cost nothing more.
 
 Two sets with similarity 0.8 share none of the 32 bands of 5 registers with
 probability 3e-6.
@@ -33,15 +37,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tradewind.llm.common import Columns, id_and_bytes, map_columns
+from tradewind.llm.common import Columns, id_and_bytes, map_columns, rows_in
 from tradewind.session import stage_table
 
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 BASE, TOP = 1.001, 65534
-FIRST_CENTRES = 16
+SMALL_BUCKET = 32
+BLOCK_SHINGLES = 200_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SEEDS = np.random.default_rng(6).integers(1, 1 << 63, REGISTERS, np.uint64) | np.uint64(1)
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -127,7 +132,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
 def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The texts of the documents in `pairs`, written once: all joins after this one move only these."""
     needed = stage_table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "needed")
-    return stage_table(id_and_bytes(docs).join(needed.hint("shuffle_hash"), "doc_id", "left_semi"), "needed-texts")
+    return stage_table(rows_in(id_and_bytes(docs), needed, ["doc_id"]), "needed-texts")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -180,20 +185,22 @@ def components(links: DataFrame) -> DataFrame:
     Smallest neighbours are aggregates, so a hub is no hot task.
     """
     edges = stage_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    while True:
+
+    def settled() -> bool:
+        """Every node is either above once and never below, or only below: each edge leads to its component."""
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+        return ends.groupBy("x").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+    while not settled():
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        after = stage_table(small, "links")
-        # done when no node is both above and below: every edge then leads to its component
-        if after.join(after.select(F.col("u").alias("v")), "v", "left_semi").isEmpty() and after.groupBy("u").count().where("count > 1").isEmpty():
-            break
-        edges = after
-    return after.select(F.col("u").alias("rep"), F.col("v").alias("component")).union(
-        after.select(F.col("v").alias("rep"), F.col("v").alias("component")).distinct()
+        edges = stage_table(small, "links")
+    return edges.select(F.col("u").alias("rep"), F.col("v").alias("component")).union(
+        edges.select(F.col("v").alias("rep"), F.col("v").alias("component")).distinct()
     )
 
 
@@ -214,39 +221,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = stage_table(same_id.where("doc_id <> rep").groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a"), F.collect_set("rep").alias("reps")).where("a <> b").select(F.explode("reps").alias("a"), "b").where("a <> b"), "same-id")
 
     tried = buckets.where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
+    tried = stage_table(tried, "tried")
     plausible = stage_table(_plausible(tried, classes, percent), "plausible")
     texts = _texts_of(plausible, docs)
-    best = plausible.groupBy("a").agg(F.max(F.struct("similar", -F.col("b"))).alias("x")).select("a", (-F.col("x.col2")).alias("b"))
-    links = stage_table(links.union(_confirm(best, texts, width, percent)), "links-1")
+    links = stage_table(links.union(_confirm(plausible.select("a", "b"), texts, width, percent)), "links-1")
     merged = stage_table(components(links), "merged")
-    rest = _apart(plausible.join(best, ["a", "b"], "left_anti"), merged)
-    rest = stage_table(rest.select("a", "b"), "rest")
-    if not rest.isEmpty():
-        links = stage_table(links.union(_confirm(rest, texts, width, percent)), "links-2")
-        merged = stage_table(components(links), "merged")
 
-    centres, done = FIRST_CENTRES, None
-    while True:
-        placed = buckets.join(merged, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed_ones = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min_by("component", "rep").alias("main")).where("x < y")
-        open_rows = placed.join(mixed_ones.select("bucket", "main"), "bucket")
-        waiting = open_rows.where("component <> main AND rep <> least")
-        if done is not None:
-            waiting = waiting.join(done, ["bucket", "rep"], "left_anti")
-        waiting = stage_table(waiting.select("bucket", "rep", "component"), "waiting")
-        if waiting.isEmpty():
-            break
-        turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "rep"), "rep"))
-        chosen = stage_table(waiting.withColumn("__turn", turn).where(F.col("__turn") <= centres).select("bucket", F.col("rep").alias("b"), F.col("component").alias("c_b")), "centres")
-        pairs = open_rows.join(chosen, "bucket").where("component <> c_b").select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
-        pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage_table(_plausible(pairs, classes, percent).select("a", "b"), "plausible")
-        found = _confirm(pairs, _texts_of(pairs, docs), width, percent)
-        links = stage_table(links.union(found), "links-n")
+    alive, sets_of = _undecided(buckets, classes, merged, docs, width, percent)
+    if not alive.isEmpty():
+        found = _pairs_of_small(alive, classes, tried, docs, width, percent).union(_links_of_large(alive, sets_of, percent))
+        links = stage_table(links.union(found), "links-2")
         merged = stage_table(components(links), "merged")
-        finished = chosen.select("bucket", F.col("b").alias("rep"))
-        done = stage_table(finished if done is None else done.union(finished), "done")
-        centres *= 2
 
     where = classes.join(merged, "rep", "left").select(*sets, F.coalesce("component", "rep").alias("component_id"))
     out = rows.drop("registers").join(where, sets, "left")
@@ -256,11 +241,125 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def _apart(pairs: DataFrame, merged: DataFrame) -> DataFrame:
-    """The pairs whose ends lie in different components."""
-    at = lambda x: merged.select(F.col("rep").alias(x), F.col("component").alias(f"c_{x}"))
-    placed = pairs.join(at("a"), "a", "left").join(at("b"), "b", "left")
-    return placed.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b"))
+def _placed(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    """Bucket members with their component, and that of the bucket's smallest member as `main`."""
+    placed = rows.join(merged, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    main = merged.select(F.col("rep").alias("least"), F.col("component").alias("main"))
+    return placed.join(main, "least", "left").withColumn("main", F.coalesce("main", "least"))
+
+
+def _undecided(buckets: DataFrame, classes: DataFrame, merged: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets with several components that may yet be linked there, and the sets of their shingles.
+
+    `bucket`, `rep`, `component`, `main`, `n`, `members` (such members of the bucket) and `common`, the
+    most shingles that the set can share with a member of another component.
+    """
+    placed = _placed(buckets, merged)
+    several = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
+    rows = stage_table(placed.join(several, "bucket", "left_semi"), "open")
+    needed = stage_table(rows.groupBy(F.col("rep").alias("doc_id")).agg(F.min("component").alias("component")), "open-ids")
+
+    def task(batches: Iterator[Columns]) -> Iterator[dict]:
+        for batch in batches:
+            for at in range(0, len(batch["text"]), 200):
+                sets = [shingles(t, width).view(np.int64) for t in batch["text"].slice(at, 200).to_pylist()]
+                yield {"rep": batch["doc_id"].slice(at, 200), "shingles": sets}
+
+    sets = map_columns(rows_in(id_and_bytes(docs), needed.select("doc_id"), ["doc_id"]), "rep bigint, shingles array<bigint>", task)
+    sets = stage_table(sets.join(needed.withColumnRenamed("doc_id", "rep"), "rep"), "open-sets")
+    owners = sets.select("rep", "component", F.explode("shingles").alias("shingle"))
+    own = owners.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x = y").select("shingle")
+    alone = owners.join(own, "shingle", "left_semi").groupBy("rep").agg(F.count("*").alias("__alone"))
+    # an id with several sets is not judged by them
+    sizes = classes.groupBy("rep").agg(F.min("n").alias("n"), F.count("*").alias("__sets")).join(alone, "rep", "left")
+    common = F.when(F.col("__sets") == 1, F.col("n") - F.coalesce("__alone", F.lit(0))).otherwise(F.col("n"))
+    sized = rows.join(sizes.select("rep", "n", common.alias("common"), "__sets"), "rep")
+    smallest = sized.groupBy("bucket").agg(F.min("n").alias("__smallest"))
+    partner = F.greatest("__smallest", "common")
+    may = (100 * F.col("common") >= percent * (partner + F.col("n") - F.col("common"))) | (F.col("__sets") > 1)
+    kept = stage_table(sized.join(smallest, "bucket").where(may).select("bucket", "rep", "component", "main", "n", "common"), "undecided")
+    left = kept.groupBy("bucket").agg(F.count("*").alias("members"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    return stage_table(kept.join(left.select("bucket", "members"), "bucket"), "undecided"), sets
+
+
+def _pairs_of_small(alive: DataFrame, classes: DataFrame, tried: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between members of buckets with at most `SMALL_BUCKET` undecided members: all their pairs that the bounds allow."""
+    rows = alive.where(F.col("members") <= SMALL_BUCKET)
+    side = lambda x: rows.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "component", "n", "common")])
+    common = F.least("common_a", "common_b")
+    possible = (F.col("component_a") != F.col("component_b")) & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
+    pairs = side("a").join(side("b"), "bucket").where((F.col("rep_a") > F.col("rep_b")) & possible)
+    pairs = pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    pairs = stage_table(_plausible(pairs, classes, percent).select("a", "b"), "plausible")
+    return _confirm(pairs, _texts_of(pairs, docs), width, percent)
+
+
+def _links_of_large(alive: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of members of the other buckets: one for each member, block and component that it is linked with there."""
+    rows = alive.where(F.col("members") > SMALL_BUCKET)
+    waits = F.bool_or(F.col("component") != F.col("main"))
+    members = stage_table(sets.join(rows.groupBy("rep").agg(waits.alias("waits"), F.max("n").alias("n")), "rep"), "members")
+    size = members.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("waits"), F.col("n"))).alias("waiting")).first()
+    blocks, parts = (max(-(-(x or 0) // BLOCK_SHINGLES), 1) for x in (size["waiting"], size["all"]))
+    deal = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.lit(n)).cast("int")
+    columns = ["block", "part", "member", "rep", "component", "shingles"]
+    centres = members.where("waits").withColumns({"block": deal(blocks, 1), "part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1))), "member": F.lit(0)})
+    others = members.withColumns({"part": deal(parts, 2), "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), "member": F.lit(1)})
+    met = centres.select(*columns).union(others.select(*columns)).repartition("block", "part").sortWithinPartitions("block", "part", "member", "rep")
+
+    def task(batches: Iterator[Columns]) -> Iterator[dict]:
+        group, block = None, None
+        for batch in batches:
+            for at in range(0, len(batch["rep"]), 500):
+                part = [batch[k].slice(at, 500) for k in columns]
+                out: dict[str, list] = {"a": [], "b": []}
+                heads = zip(*(x.to_pylist() for x in part[:5]))
+                for (b, p, is_member, rep, component), items in zip(heads, part[5]):
+                    if (b, p) != group:
+                        group, block = (b, p), _Block()
+                    items = items.values.to_numpy().view(np.uint64)
+                    if not is_member:
+                        block.add(rep, component, items)
+                        continue
+                    for other in block.linked(rep, component, items, percent):
+                        out["a"].append(max(rep, other))
+                        out["b"].append(min(rep, other))
+                if out["a"]:
+                    yield out
+
+    return map_columns(met, "a bigint, b bigint", task)
+
+
+class _Block:
+    """Centres of one block with a list of all their shingles."""
+
+    def __init__(self) -> None:
+        self.reps: list[int] = []
+        self.components: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.index: tuple[np.ndarray, np.ndarray] | None = None
+
+    def add(self, rep: int, component: int, items: np.ndarray) -> None:
+        self.reps.append(rep), self.components.append(component), self.sets.append(items)
+
+    def linked(self, rep: int, component: int, items: np.ndarray, percent: int) -> list[int]:
+        """One centre of each other component that is similar enough."""
+        if not self.sets:
+            return []
+        if self.index is None:
+            shingle = np.concatenate(self.sets)
+            order = np.argsort(shingle, kind="stable")
+            owner = np.repeat(np.arange(len(self.sets)), [len(x) for x in self.sets])
+            self.index = shingle[order], owner[order]
+            self.sizes = np.array([len(x) for x in self.sets])
+        shingle, owner = self.index
+        low, high = np.searchsorted(shingle, items, "left"), np.searchsorted(shingle, items, "right")
+        n = high - low
+        at = np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
+        common = np.bincount(owner[at], minlength=len(self.sizes))
+        similar = np.flatnonzero((common > 0) & (100 * common >= percent * (self.sizes + len(items) - common)))
+        found = {self.components[i]: self.reps[i] for i in similar.tolist() if self.components[i] != component and self.reps[i] != rep}
+        return sorted(found.values())
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
