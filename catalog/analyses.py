@@ -129,7 +129,7 @@ QUERIES: dict[str, Query] = {
         f"""SELECT *, {ratio('failed', 'attempts', 4)} AS failed_rate, {ratio('returned', 'attempts', 4)} AS returned_rate FROM
         (SELECT carrier_code, region, cod_amount > 0 AS is_cod, grouping(carrier_code, region, cod_amount > 0) AS grouping, count(*) AS attempts,
         count(*) FILTER (WHERE attempt_status = 'failed') AS failed, count(*) FILTER (WHERE attempt_status = 'returned') AS returned
-        FROM delivery_attempts a JOIN shipments s ON s.shipment_id = a.shipment_id JOIN sales_orders o ON o.order_id = s.order_id
+        FROM recorded_attempts a JOIN shipments s ON s.shipment_id = a.shipment_id JOIN sales_orders o ON o.order_id = s.order_id
         JOIN customers c ON c.customer_id = o.customer_id JOIN carriers k ON k.carrier_id = s.carrier_id
         GROUP BY CUBE (carrier_code, region, cod_amount > 0))""",
     ),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base_sql import ratio
+from catalog.base_sql import TABLES, ratio
 from catalog.query import Query
 from tradewind.functions import MONEY, QUANTITY
 from tradewind.operators import commerce, finance, inventory, logistics
@@ -142,6 +142,9 @@ _CLAIMS = f"""(SELECT *, CASE n WHEN 1 THEN 0 WHEN 2 THEN CASE WHEN q1 <= sold T
     FROM {_CLAIM_BASE})"""
 _RETURNS = f"""(SELECT *, coalesce(early, CASE WHEN quantity > sold - used THEN 'exceeds_sold_quantity' END) AS reject_reason FROM {_CLAIMS})"""
 
+TABLES["returns"] = f"""SELECT return_id, order_id, order_line_id, customer_id, product_id, return_date, return_reason, quantity,
+    {ratio('net_amount * quantity', 'sold', 2)} AS refund_amount, 'approved' AS return_status FROM {_RETURNS} WHERE reject_reason IS NULL"""
+
 # --- demand on stock: every order that was not cancelled
 
 
@@ -383,7 +386,7 @@ QUERIES: dict[str, Query] = {
         FROM shipments JOIN carriers USING (carrier_id) GROUP BY carrier_id""",
     ),
     "l03_number_attempts": Query(
-        lambda c: logistics.number_attempts(_good_attempts(c)),
+        lambda c: c.delivery_attempts,
         "delivery_attempt_id:i shipment_id:i attempt_date:d attempt_status:s attempt_number:i",
         "SELECT * FROM delivery_attempts",
     ),
@@ -398,7 +401,7 @@ QUERIES: dict[str, Query] = {
         """SELECT s.shipment_id, CASE WHEN last_status = 'rescheduled' THEN 'in_transit' ELSE coalesce(last_status, shipment_status) END AS shipment_status,
         coalesce(last_day, actual_delivery_date) AS actual_delivery_date, coalesce(n, 0) AS attempts FROM shipments s LEFT JOIN
         (SELECT shipment_id, arg_max(attempt_status, delivery_attempt_id) AS last_status, count(*) AS n,
-        arg_max(attempt_date, delivery_attempt_id) FILTER (WHERE attempt_status = 'delivered') AS last_day FROM delivery_attempts GROUP BY shipment_id) a
+        arg_max(attempt_date, delivery_attempt_id) FILTER (WHERE attempt_status = 'delivered') AS last_day FROM recorded_attempts GROUP BY shipment_id) a
         ON a.shipment_id = s.shipment_id""",
     ),
     "f05_invoice_reconcile": Query(

@@ -166,3 +166,17 @@ def test_against_sql(spark, name):
     columns = [d[0] for d in result.description]
     want = sorted((tuple(r[columns.index(c)] for c in order) for r in result.fetchall()), key=repr)
     assert sorted(columns) == order and sorted((tuple(r) for r in df.select(*order).collect()), key=repr) == want
+
+
+def test_large_baskets_meet_in_blocks(spark, monkeypatch):
+    from collections import Counter
+    from itertools import combinations
+
+    from tradewind.operators import products
+
+    monkeypatch.setattr(products, "BASKET_BLOCK", 7)
+    baskets = {1: range(60), 2: range(40, 90), 3: [5, 50], 4: [77]}
+    df = spark.createDataFrame([(o, f"i{i:02}") for o, items in baskets.items() for i in [*items, list(items)[0]]], "order_id int, sku string")
+    got = {(r.item_a, r.item_b): r.together for r in products.market_basket(df, "sku", "0.5").collect()}
+    want = Counter(p for items in baskets.values() for p in combinations(sorted({f"i{i:02}" for i in items}), 2))
+    assert got == {p: n for p, n in want.items() if n >= 2}

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradewind.functions import exact_ratio, neighbour_values
+from tradewind.session import stage_table
 
 WIDE = "decimal(20,0)"
 
@@ -59,22 +60,30 @@ def supplier_performance(receipts: DataFrame) -> DataFrame:
     )
 
 
+BASKET_BLOCK = 500
+
+
 def market_basket(lines: DataFrame, item: str, min_support: str) -> DataFrame:
     """Pairs of items bought together in at least a `min_support` share of the orders.
 
     A pair can only be that frequent if both its items are, so infrequent items
-    leave first. At most (items per order / min_support) items remain, which
-    bounds a basket of any size, and pair counts are combined inside the join's
-    own tasks before anything is shuffled.
+    leave first. The baskets are written once and read by every step. A basket of
+    more than `BASKET_BLOCK` items is cut into blocks of items that meet two by
+    two, each two under a join key of their own, and pair counts are combined
+    inside the join's own tasks before anything is shuffled.
     """
-    baskets = lines.select("order_id", F.col(item).alias("item")).distinct()
-    orders = lines.select("order_id").distinct().agg(F.count("*").alias("n")).scalar()
+    baskets = stage_table(lines.select("order_id", F.col(item).alias("item")).distinct(), "baskets")
+    orders = baskets.select("order_id").distinct().agg(F.count("*").alias("n")).scalar()
     threshold = F.greatest(F.ceil(orders * F.lit(min_support).cast("decimal(12,10)")), F.lit(1))
     frequent = baskets.groupBy("item").agg(F.count("*").alias("orders_with")).where(F.col("orders_with") >= threshold)
     kept = baskets.join(frequent.select("item"), "item", "left_semi")
+    blocks = kept.groupBy("order_id").agg(F.ceil(F.count("*") / BASKET_BLOCK).cast("int").alias("blocks"))
+    kept = kept.join(blocks, "order_id").withColumn("own", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = kept.select("order_id", F.col("item").alias("item_a"), F.col("own").alias("block_a"), every.alias("block_b"))
+    right = kept.select("order_id", F.col("item").alias("item_b"), every.alias("block_a"), F.col("own").alias("block_b"))
     pairs = (
-        kept.withColumnRenamed("item", "item_a")
-        .join(kept.withColumnRenamed("item", "item_b"), "order_id")
+        left.join(right, ["order_id", "block_a", "block_b"])
         .where("item_a < item_b")
         .groupBy("item_a", "item_b")
         .agg(F.count("*").alias("together"))

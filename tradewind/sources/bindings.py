@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tradewind.functions import MONEY, QUANTITY, round_money
+from tradewind.session import stage_table
 from tradewind.sources.tables import inline_values
 
 # fixed values: sales channels (id, code, name, type)
@@ -71,6 +72,11 @@ class Canonical:
             _SCHEMAS[key] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
+    def with_lines_staged(self) -> Canonical:
+        """Write the order lines once; every table derived from them then reads the copy and not the given table."""
+        self.__dict__["_lines_only"] = stage_table(self._lines_only, "lines")
+        return self
+
     def _inline(self, rows: list[tuple], ddl: list[tuple[str, T.DataType]]) -> DataFrame:
         return inline_values(self.spark, rows, T.StructType([T.StructField(n, t) for n, t in ddl]))
 
@@ -359,6 +365,32 @@ class Canonical:
             )
         )
 
+    @cached_property
+    def delivery_attempts(self) -> DataFrame:
+        """The attempt that came with each delivered shipment, and the accepted later ones, numbered after it."""
+        from tradewind.operators import logistics
+
+        checked = logistics.validate_attempts(self.attempt_requests, self.shipments)
+        recorded = checked.where("reject_reason IS NULL").drop("reject_reason")
+        first = logistics.first_attempts(self.shipments.where("shipment_status = 'delivered'"))
+        first = first.withColumn("delivery_attempt_id", F.col("shipment_id") * 10 - 1)
+        return first.unionByName(logistics.number_attempts(recorded, first))
+
+    @cached_property
+    def invoice_lines(self) -> DataFrame:
+        from tradewind.operators.finance import derive_invoice_lines
+
+        lines = derive_invoice_lines(self.invoices, self.sales_order_lines)
+        return lines.select(F.concat(F.lit("IL-"), "order_line_id").alias("invoice_line_id"), F.col("order_id").alias("invoice_id"), "*")
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        """The accepted return claims."""
+        from tradewind.operators.commerce import validate_returns
+
+        checked = validate_returns(self.return_claims, self._lines_only, self.sales_orders)
+        return checked.where("reject_reason IS NULL").drop("reject_reason", "warehouse_id")
+
     @cached_property
     def invoices(self) -> DataFrame:
         """One open invoice per paid order, dated the day after the order."""
