@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from catalog.base_sql import TABLES, ratio
 from catalog.query import Query
-from catalog.rules import _derived_invoices
+from catalog.rules import _derived_invoices, _line_requests
 from catalog.star import AS_OF, warehouse
 from tradewind import contracts
 from tradewind.operators import health, history, quality, scenarios
@@ -191,7 +191,7 @@ def _resolved(c: Canonical):
 
 
 class _Masters:
-    """Masters of the scenario chain, with promotions that never apply left out of the requests."""
+    """Masters of the scenario chain."""
 
     def __init__(self, c: Canonical):
         self.customers, self.sales_channels, self.branches = c.customers, c.sales_channels, c.branches
@@ -199,23 +199,26 @@ class _Masters:
         self.carriers, self.stock_balances = c.carriers, c.stock_balances
 
 
+def _scenario_lines(c: Canonical):
+    """Line requests with the promotion that runs in the order's channel, and one of another channel on every fiftieth order."""
+    heads = c.sales_orders.select("order_id", "channel_id", "order_date")
+    running = c.promotions.select("channel_id", F.col("promotion_id").alias("running"), "start_date", "end_date")
+    asked = F.when(F.col("order_id") % 50 == 7, F.col("channel_id") % 5 + 1).when(F.col("order_date").between(F.col("start_date"), F.col("end_date")), F.col("running"))
+    lines = _line_requests(c).drop("promotion_id").join(heads, "order_id").join(running, "channel_id", "left")
+    return lines.withColumn("promotion_id", asked).drop("channel_id", "order_date", "running", "start_date", "end_date")
+
+
 def _scenario(c: Canonical):
+    c = c.with_lines_staged()
     requests = c.sales_orders.select("order_id", "customer_id", "channel_id", "branch_id", "order_number", "order_date")
-    lines = c.sales_order_lines.select(
-        "order_line_id", "order_id", "product_id", "warehouse_id", "quantity",
-        F.lit(None).cast("decimal(18,2)").alias("unit_price"), F.lit(0).cast("decimal(18,2)").alias("discount_amount"),
-        F.lit(None).cast("bigint").alias("promotion_id"),
-    )
-    sent = c.sales_orders.select("order_id", F.date_add("order_date", 2).alias("fulfillment_date"), (F.col("order_id") % 25 + 1).alias("carrier_id"))
-    bills = c.sales_orders.select("order_id", F.date_add("order_date", 2).alias("invoice_date"), F.lit(15).alias("due_days"))
-    pays = c.sales_orders.select(
-        F.concat(F.lit("P-"), "order_id").alias("payment_id"), "order_id", F.col("order_id").alias("invoice_id"),
-        F.date_add("order_date", 3).alias("payment_date"), F.lit("cash").alias("payment_method"), F.lit(10000).cast("decimal(18,2)").alias("amount_paid"),
-    )
-    out = scenarios.apply_scenario(requests, lines, sent, bills, pays, _Masters(c))
-    orders = out["orders"].select("order_id", "order_status", "net_amount")
+    sent = c.sales_orders.where("order_id % 4 <> 0").select("order_id", F.date_add("order_date", 2).alias("fulfillment_date"), (F.col("order_id") % 26 + 1).alias("carrier_id"))
+    bills = c.sales_orders.where("order_id % 5 <> 0").select("order_id", F.date_add("order_date", 2).alias("invoice_date"), F.lit(15).alias("due_days"))
+    pays = c.payments.select("payment_id", "invoice_id", F.date_add("payment_date", 7).alias("payment_date"), "payment_method", "amount_paid")
+    out = scenarios.apply_scenario(requests, _scenario_lines(c), sent, bills, pays, _Masters(c), c.return_claims)
     invoices = out["invoices"].select("order_id", "invoice_status", F.col("net_amount").alias("billed"))
-    return orders.join(invoices, "order_id", "left")
+    moved = out["moves"].where("order_line_id IS NOT NULL").join(out["lines"].select("order_line_id", "order_id"), "order_line_id")
+    moved = moved.groupBy("order_id").agg(F.count("*").alias("moves"))
+    return out["orders"].select("order_id", "order_status", "net_amount").join(invoices, "order_id", "left").join(moved, "order_id", "left")
 
 
 # --- incremental
@@ -386,7 +389,7 @@ QUERIES: dict[str, Query] = {
         "SELECT customer_id, min(order_date) AS receipt_date FROM sales_orders GROUP BY customer_id",
     ),
     # no SQL: the chain contains the reservation in order
-    "s04_apply_scenario": Query(_scenario, "order_id:i order_status:s net_amount:n invoice_status:s billed:n"),
+    "s04_apply_scenario": Query(_scenario, "order_id:i order_status:s net_amount:n invoice_status:s billed:n moves:i"),
     "s05_batch_log": Query(
         lambda c: _batches(c)[1], "invoice_date:d rows:i bad_rows:i status:s",
         """SELECT *, CASE WHEN bad_rows > 0 THEN 'SKIPPED' ELSE 'APPLIED' END AS status FROM (SELECT order_date + CAST(order_id % 3 - 1 AS INTEGER) AS invoice_date,

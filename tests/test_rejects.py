@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.seed import Seed
-from tradewind.operators import commerce, finance, inventory, logistics, quality
+from tradewind.operators import commerce, finance, inventory, logistics, quality, scenarios
 
 
 @pytest.fixture(scope="module")
@@ -143,3 +143,33 @@ def test_arguments(seed):
         inventory.replenish(seed.stock_balances, seed.products, today, min_available=-1)
     with pytest.raises(ValueError):
         inventory.replenish(seed.stock_balances, seed.products, today, replenish_qty=0)
+
+
+def test_whole_chain(seed, spark):
+    """Both orders are invoiced, since their payments are partial; paid in full they end as paid."""
+    claims = spark.createDataFrame(
+        [("r1", 1, date(2026, 8, 9), "damaged", D(5)), ("r2", 1, date(2026, 8, 10), "damaged", D(8)), ("r3", 3, date(2026, 8, 10), "damaged", D(1))],
+        "return_id string, order_line_id int, return_date date, return_reason string, quantity decimal(18,3)",
+    )
+    out = scenarios.apply_scenario(seed.requests, seed.line_requests, seed.fulfilments, seed.invoice_requests, seed.payment_requests, seed, claims)
+    assert {r.order_id: r.order_status for r in out["orders"].collect()} == {1: "invoiced", 2: "invoiced"}
+    assert {r.order_id: r.invoice_status for r in out["invoices"].collect()} == {1: "partial", 2: "partial"}
+    assert [(r.shipment_id, r.attempt_number, r.attempt_status, r.cod_amount) for r in out["attempts"].orderBy("shipment_id").collect()] == [
+        (1, 1, "delivered", 0), (2, 1, "delivered", 0)]
+    kinds = {r.move_type: (r.n, r.quantity) for r in out["moves"].groupBy("move_type").agg(F.count("*").alias("n"), F.sum("quantity").alias("quantity")).collect()}
+    assert kinds == {"sale_reservation": (4, -87), "sale_delivery": (4, -87), "return_receipt": (2, 6)}
+    assert {r.return_id: r.return_status for r in out["returns"].collect()} == {"r1": "approved", "r2": "rejected", "r3": "approved"}
+
+    due = [("p1", 1, date(2026, 8, 3), "cash", D(213840)), ("p2", 2, date(2026, 8, 5), "cash", D(1))]
+    paid = spark.createDataFrame(due, "payment_id string, invoice_id int, payment_date date, payment_method string, amount_paid decimal(18,2)")
+    out = scenarios.apply_scenario(seed.requests, seed.line_requests, seed.fulfilments.limit(0), seed.invoice_requests.where("order_id = 1"), paid, seed)
+    assert {r.order_id: r.order_status for r in out["orders"].collect()} == {1: "paid", 2: "confirmed"}
+    assert {r.payment_id: r.reject_reason for r in out["payments"].collect()} == {"p1": None, "p2": "unknown_invoice"}
+
+
+def test_attempts_go_on_after_stored_ones(spark):
+    ddl = "delivery_attempt_id int, shipment_id int"
+    new = spark.createDataFrame([(5, 1), (7, 1), (6, 2)], ddl)
+    stored = spark.createDataFrame([(1, 1, 1), (2, 1, 2), (3, 9, 1)], ddl + ", attempt_number int")
+    got = {r.delivery_attempt_id: r.attempt_number for r in logistics.number_attempts(new, stored).collect()}
+    assert got == {5: 3, 7: 4, 6: 1}
