@@ -1,6 +1,7 @@
 """Each rule refuses what it must, with its reason."""
 
-from datetime import date
+import random
+from datetime import date, timedelta
 from decimal import Decimal as D
 
 import pytest
@@ -173,3 +174,19 @@ def test_attempts_go_on_after_stored_ones(spark):
     stored = spark.createDataFrame([(1, 1, 1), (2, 1, 2), (3, 9, 1)], ddl + ", attempt_number int")
     got = {r.delivery_attempt_id: r.attempt_number for r in logistics.number_attempts(new, stored).collect()}
     assert got == {5: 3, 7: 4, 6: 1}
+
+
+def test_one_product_with_many_price_ranges(spark):
+    """Ten thousand ranges of one product, open ends and ties, against a plain search."""
+    rng = random.Random(5)
+    day = lambda n: date(2020, 1, 1) + timedelta(days=n)
+    ranges = [(i, 1, 1, day(a := rng.randrange(2000)), day(a + rng.randrange(400)), D(i), rng.random() < 0.9) for i in range(10_000)]
+    ranges += [(20_000, 1, 1, day(5), date(9999, 12, 31), D(7), True), (20_001, 1, 1, day(5), date(9999, 12, 31), D(8), True), (20_002, 2, 1, day(9), day(3), D(9), True)]
+    prices = spark.createDataFrame(ranges, "price_list_id int, product_id int, channel_id int, valid_from date, valid_to date, unit_price decimal(18,2), is_active boolean")
+    asked = [(k, 1 + k % 2, 1, day(rng.randrange(3000)), None, D(-1)) for k in range(300)] + [(900, 1, None, day(1), None, D(-1)), (901, 1, 1, None, None, D(-1)), (902, 1, 1, day(9), D(3), D(-1))]
+    lines = spark.createDataFrame(asked, "id int, product_id int, channel_id int, order_date date, unit_price decimal(18,2), list_price decimal(18,2)")
+    got = {r.id: r.resolved_price for r in commerce.resolve_price(lines, prices).collect()}
+    for i, product, channel, on, given, fallback in asked:
+        valid = [(f, n, p) for n, pr, ch, f, t, p, ok in ranges if ok and pr == product and ch == channel and on and f <= on <= t]
+        assert got[i] == (given if given is not None else max(valid)[2] if valid else fallback), i
+    assert len(got) == len(asked)

@@ -61,20 +61,26 @@ def validate_orders(requests: DataFrame, customers: DataFrame, channels: DataFra
     return joined.select(*requests.columns, "company_id", reason.alias("reject_reason"))
 
 
-def price_book(price_lists: DataFrame) -> DataFrame:
-    """Active prices per (product, channel), the preferred one first.
+def listed_prices(days: DataFrame, price_lists: DataFrame) -> DataFrame:
+    """`listed_price` of each distinct (product, channel, order date) of `days` that has a valid price.
 
-    Of entries with one and the same validity only the highest id can ever win,
-    so they collapse before they are gathered; an entry list is therefore no
-    longer than the distinct validity ranges of one product in one channel.
+    Ranges are repeated per month that they touch between the first and last day
+    asked, and joined on (product, channel, month), so neither a product with very
+    many ranges nor one with very many days is gathered in one place. The range
+    that starts last wins, the highest id among equals.
     """
-    ranges = price_lists.where("is_active").groupBy("product_id", "channel_id", "valid_from", "valid_to").agg(
-        F.max("price_list_id").alias("price_list_id"),
-        F.max_by("unit_price", "price_list_id").alias("unit_price"),
-    )
-    entry = F.struct("valid_from", "price_list_id", "valid_to", "unit_price")
-    return ranges.groupBy("product_id", "channel_id").agg(
-        F.sort_array(F.collect_list(entry), asc=False).alias("prices")
+    key = ["product_id", "channel_id"]
+    month = lambda c: F.trunc(c, "month")
+    asked = days.select(*key, "order_date").where("order_date IS NOT NULL").distinct()
+    first, last = asked.agg(F.min("order_date")).scalar(), asked.agg(F.max("order_date")).scalar()
+    active = price_lists.where("is_active").select(*key, "valid_from", "valid_to", "price_list_id", F.col("unit_price").alias("__price"))
+    begin, end = month(F.greatest(F.col("valid_from"), first)), month(F.least(F.col("valid_to"), last))
+    months = F.when(begin <= end, F.sequence(begin, end, F.expr("INTERVAL 1 MONTH")))
+    entries = active.withColumn("__month", F.explode(months))
+    found = asked.withColumn("__month", month("order_date")).join(entries, [*key, "__month"])
+    return (
+        found.where(F.col("order_date").between(F.col("valid_from"), F.col("valid_to")))
+        .groupBy(*key, "order_date").agg(F.max_by("__price", F.struct("valid_from", "price_list_id")).alias("listed_price"))
     )
 
 
@@ -82,15 +88,11 @@ def resolve_price(lines: DataFrame, price_lists: DataFrame) -> DataFrame:
     """Add `resolved_price` to lines with product, channel, order date, `unit_price` and `list_price`.
 
     A given price wins; then the valid price-list entry that starts last (the
-    highest id among equals); then the list price. The validity test runs on
-    the joined entry list, so a line is never multiplied and never regrouped.
+    highest id among equals); then the list price. A line is never multiplied.
     """
-    joined = lines.join(price_book(price_lists), ["product_id", "channel_id"], "left")
-    valid = F.filter(
-        "prices", lambda p: F.col("order_date").between(p["valid_from"], p["valid_to"])
-    )
-    listed = F.get(valid, F.lit(0))["unit_price"]
-    price = F.coalesce(F.col("unit_price"), listed, F.col("list_price")).cast(MONEY)
+    listed = listed_prices(lines, price_lists)
+    joined = lines.join(listed, ["product_id", "channel_id", "order_date"], "left")
+    price = F.coalesce(F.col("unit_price"), F.col("listed_price"), F.col("list_price")).cast(MONEY)
     return joined.select(*lines.columns, price.alias("resolved_price"))
 
 
