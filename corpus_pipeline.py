@@ -40,7 +40,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard and slot along the Hilbert curve."""
-    return hilbert.hilbert_shards(docs, hilbert.document_dims(), SHARDS, ties=["doc_id", "text"])
+    return hilbert.hilbert_shards(docs, hilbert.document_dims(), SHARDS, ties=[F.col("doc_id"), F.xxhash64("text")])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -109,17 +109,19 @@ def _cells(df: DataFrame, dims: Mapping[str, Column], bits: int) -> list[Column]
     return cells
 
 
-def hilbert_shards(df: DataFrame, dims: Mapping[str, Column], shards: int, ties: Sequence[str] = (), bits: int = 8) -> DataFrame:
+def hilbert_shards(df: DataFrame, dims: Mapping[str, Column], shards: int, ties: Sequence[Column] = (), bits: int = 8) -> DataFrame:
     """Every row of `df` with its `shard` (0 to shards - 1) and `slot` (gapless from 0) along the curve.
 
-    Shards hold consecutive runs of the curve and differ by one row at most. The
+    `ties` order the rows of a cell. Samples of them reach the driver, which cuts the ranges, so give
+    ids and hashes and no whole texts. Shards hold consecutive runs of the curve and differ by one row at most. The
     result is read back from files sorted by the curve in the shared folder.
     """
     df = df.drop(*_ADDED, "__curve", "__place")
     placed = df.withColumn("__curve", hilbert_index(_cells(df, dims, bits), bits))
-    order = ["__curve", *ties]
+    placed = placed.withColumns({f"__tie_{k}": tie for k, tie in enumerate(ties)}) if ties else placed
+    order = ["__curve", *[f"__tie_{k}" for k in range(len(ties))]]
     runs = placed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__place", F.monotonically_increasing_id())
-    runs = stage_table(runs.drop("__curve"), "hilbert")
+    runs = stage_table(runs.drop(*order), "hilbert")
 
     run = F.call_function("shiftright", "__place", F.lit(_RUN_BITS))
     counts = runs.groupBy(run.alias("__run")).agg(F.count("*").alias("__n"))

@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bradley_terry, hilbert, mixing, orc_tokens, positional_index, quality_rules, setsketch, suffix_dedup, token_counts, toxicity
+from tradewind.llm import bradley_terry, hilbert, mixing, oracles, orc_tokens, positional_index, quality_rules, setsketch, suffix_dedup, token_counts, toxicity
 from tradewind.llm.common import id_remainder
 from tradewind.session import scratch_path
 
@@ -62,7 +62,7 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[v.alias(f"dim_{k}") for k, v in hilbert.document_dims().items()],
     )
     dims = {k: F.col(f"dim_{k}") for k in hilbert.document_dims()}
-    placed = hilbert.hilbert_shards(rows, dims, SHARDS, ties=["doc_id", "text_crc32"])
+    placed = hilbert.hilbert_shards(rows, dims, SHARDS, ties=[F.col("doc_id"), F.col("text_crc32")])
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
@@ -96,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_hilbert_shards, op8_bradley_terry, op9_suffix_dedup, op10_positional_index,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_poisson_mix": oracles.MIX, "op6_setsketch": oracles.NEAR, "op7_hilbert_shards": oracles.shards(SHARDS),
+    "op10_positional_index": oracles.CONTAMINATED,
+}
