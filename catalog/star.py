@@ -52,27 +52,39 @@ _JSON = {
 
 
 def _dashboard_rows(c: Canonical):
-    """The payload with its numbers read back, so that text forms of numbers do not matter."""
-    rows = warehouse(c).staged().dashboard()
-    number = lambda path: F.get_json_object("payload", f"$.{path}").cast("double")
-    return rows.select(
-        "section", "rank",
-        F.coalesce(*[number(n) for n in ("net_revenue", "monetary_value", "shipping_fee", "available_qty")]).alias("main_value"),
-        F.coalesce(*[F.get_json_object("payload", f"$.{n}") for n in ("date_key", "channel_code", "sku", "carrier_code", "customer_code")]).alias("label"),
-    )
-
-
-_DASHBOARD_SQL = " UNION ALL ".join(
-    [
-        "SELECT 'kpis' AS section, 1 AS rank, net_revenue AS main_value, NULL AS label FROM mart_kpis",
-        "SELECT 'daily_sales', row_number() OVER (ORDER BY date_key), net_revenue, CAST(date_key AS VARCHAR) FROM mart_daily",
-        "SELECT 'sales_by_channel', row_number() OVER (ORDER BY net_revenue DESC, channel_code), net_revenue, channel_code FROM mart_channel",
-        "SELECT * FROM (SELECT 'top_products', row_number() OVER (ORDER BY net_revenue DESC, sku) AS r, net_revenue, sku FROM mart_products) WHERE r <= 8",
-        f"SELECT * FROM (SELECT 'inventory_alerts', row_number() OVER (ORDER BY {_SEVERITY}, available_qty, warehouse_code, sku) AS r, available_qty, sku FROM mart_alerts) WHERE r <= 10",
-        "SELECT 'logistics', row_number() OVER (ORDER BY shipments DESC, carrier_code), shipping_fee, carrier_code FROM mart_logistics",
-        "SELECT * FROM (SELECT 'customers', row_number() OVER (ORDER BY monetary_value DESC, customer_code) AS r, monetary_value, customer_code FROM mart_rfm) WHERE r <= 8",
-    ]
-)
+    """Every field of every payload row, read back from the JSON: numbers as numbers, so that their text forms do not matter."""
+    rows, fields = warehouse(c).staged().dashboard(), None
+    for section, columns in _JSON.items():
+        items = []
+        for name, kind in (item.split(":") for item in columns.split()):
+            value = F.get_json_object("payload", f"$.{name}")
+            number, label = (value.cast("double"), F.lit(None).cast("string")) if kind in "ni" else (F.lit(None).cast("double"), value)
+            items.append(F.struct(F.lit(name).alias("field"), number.alias("number"), label.alias("label")))
+        fields = F.when(F.col("section") == section, F.array(*items)) if fields is None else fields.when(F.col("section") == section, F.array(*items))
+    return rows.select("section", "rank", F.inline(fields))
+
+
+# the order of each section, and how many rows it shows
+_SECTIONS = {
+    "kpis": ("mart_kpis", "1", None),
+    "daily_sales": ("mart_daily", "date_key", None),
+    "sales_by_channel": ("mart_channel", "net_revenue DESC, channel_code", None),
+    "top_products": ("mart_products", "net_revenue DESC, sku", 8),
+    "inventory_alerts": ("mart_alerts", f"{_SEVERITY}, available_qty, warehouse_code, sku", 10),
+    "logistics": ("mart_logistics", "shipments DESC, carrier_code", None),
+    "customers": ("mart_rfm", "monetary_value DESC, customer_code", 8),
+}
+
+
+def _dashboard_sql() -> str:
+    parts = []
+    for section, (mart, order, limit) in _SECTIONS.items():
+        ranked = f"(SELECT *, row_number() OVER (ORDER BY {order}) AS rank FROM {mart}{f' QUALIFY rank <= {limit}' if limit else ''})"
+        for name, kind in (item.split(":") for item in _JSON[section].split()):
+            number, label = (f"CAST({name} AS DOUBLE)", "CAST(NULL AS VARCHAR)") if kind in "ni" else ("CAST(NULL AS DOUBLE)", f"CAST({name} AS VARCHAR)")
+            parts.append(f"SELECT '{section}' AS section, rank, '{name}' AS field, {number} AS number, {label} AS label FROM {ranked}")
+    return " UNION ALL ".join(parts)
+
 
 QUERIES: dict[str, Query] = {
     "d01_dim_date": Query(
@@ -159,7 +171,7 @@ QUERIES: dict[str, Query] = {
         "SELECT * FROM mart_rfm ORDER BY monetary_value DESC, customer_code LIMIT 8",
     ),
     "v08_dashboard_payload": Query(
-        _dashboard_rows, "section:s rank:i main_value:n label:s", _DASHBOARD_SQL
+        _dashboard_rows, "section:s rank:i field:s number:n label:s", _dashboard_sql()
     ),
     "v09_json_value": Query(
         lambda c: serving.json_ready(warehouse(c).mart_customer_rfm), _RFM, "SELECT * FROM mart_rfm"
