@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 from itertools import product
@@ -111,10 +112,21 @@ def test_tokens_of_awkward_rows(spark, tmp_path):
 
 def test_a_full_store_changes_nothing(monkeypatch):
     coder = orc_tokens.ChunkEncoder(open(TOKENIZER, encoding="utf-8").read())
-    text = " ".join(f"word{k} tail.{k}" for k in range(300)).encode()
-    want = coder.encode(text)
+    text = " ".join(f"word{k} tail.{k} end{'.' * (k % 3)}" for k in range(300)).encode()
+    want = coder.encode([text])
     monkeypatch.setattr(orc_tokens, "KEPT_CHUNKS", 50)
-    assert coder.encode(b"other words " + text)[-len(want):] == want
+    monkeypatch.setattr(orc_tokens, "KEPT_CORES", 50)
+    assert coder.encode([b"other words"])[0] and coder.encode([b"more", text])[1:] == want
+
+
+def test_chunks_of_all_kinds_equal_whole_texts():
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    coder = orc_tokens.ChunkEncoder(open(TOKENIZER, encoding="utf-8").read())
+    rng = random.Random(8)
+    signs = list("abzAZ019.,!?'’-_%$#<>|\"()[]éÉñßçœ漢字ΣσςİıǅŉﬁÅÅ़क़́€½²٣\u00a0\u2003\u0085\x1c\x0b\x01") + ["'s", "'LL", "n't", "<|endoftext|>", "<|", "|>", " ", " ", "  \n"]
+    for _ in range(3000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randrange(1, 25)))
+        assert np.frombuffer(coder.encode([text.encode()])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 @pytest.mark.parametrize("dims, bits", [(2, 4), (3, 3), (4, 2)])
@@ -130,7 +142,7 @@ def test_the_curve_visits_neighbours(spark, dims, bits):
 @pytest.mark.parametrize("shards", [1, 7, 24, 60])
 def test_shards_are_even_and_whole(spark, shards):
     docs = cases.with_clashes(cases.awkward(spark))
-    got = hilbert.hilbert_shards(docs, hilbert.document_dims(), shards, ["doc_id", "text"])
+    got = hilbert.hilbert_shards(docs, hilbert.document_dims(), shards, [F.col("doc_id"), F.xxhash64("text")])
     plain = [c for c in docs.columns if c not in ("shard", "slot")]
     assert got.columns == [*plain, "shard", "slot"]
     rows = got.collect()
@@ -146,6 +158,6 @@ def test_shards_are_even_and_whole(spark, shards):
 
 def test_shards_narrow_every_dimension(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    got = hilbert.hilbert_shards(docs, hilbert.document_dims(), 24, ["doc_id"])
+    got = hilbert.hilbert_shards(docs, hilbert.document_dims(), 24, [F.col("doc_id")])
     seen = got.groupBy("shard").agg(F.countDistinct("source").alias("s"), F.countDistinct("lang").alias("l"), (F.max("doc_id") - F.min("doc_id")).alias("d")).collect()
     assert np.mean([r.s for r in seen]) < 16 and np.mean([r.l for r in seen]) < 3 and np.mean([r.d for r in seen]) < 900

@@ -5,10 +5,11 @@ ORC file in ascending order. Stripes are the unit of a parallel read, row indexe
 hold the smallest and largest `doc_id` of every 10,000 rows, and a Bloom filter on
 `doc_id` lets `read_documents` skip stripes and row groups without reading ids.
 
-Equal white-space chunks have equal ids: the tokenizer drops white space before it
-looks at anything else. So a worker encodes each distinct chunk once, many in one
-call, and keeps a bounded number of them; a full store is emptied, which costs
-time and changes nothing.
+Equal white-space chunks have equal ids: the tokenizer drops white space and case
+before it looks at anything else, and it cuts between a letter and a following
+punctuation mark. So a worker encodes each distinct core of a chunk once, many in
+one call, and keeps a bounded number of chunks and cores; a full store is emptied,
+which costs time and changes nothing.
 
 A null or empty text is the end id alone. A null id sorts first. Rows that share
 an id keep one order, that of their content. Extra columns are not written.
@@ -26,8 +27,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tradewind.llm.common import Columns, id_and_bytes, map_columns
 from tradewind.session import stage_table
 
-KEPT_CHUNKS = 300_000
-_MARK = b"\x01"  # stands between chunks of one call; chunks that hold it are encoded alone
+KEPT_CHUNKS, KEPT_CORES = 1_000_000, 700_000
+_MARK = b"\x01"  # stands between cores of one call; chunks that hold it are encoded alone
+_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
@@ -39,37 +41,68 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.known: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {b"": b""}
         self.mark = self._ids(_MARK.decode())
         assert len(self.mark) == 1
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def learn(self, chunks: Iterable[bytes]) -> None:
-        together = []
-        for chunk in chunks:
-            if _MARK in chunk:
-                self.known[chunk] = self._ids(chunk.decode("utf-8", "replace")).tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _store(self, cores: list[bytes], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        raw = ids.tobytes()
+        for core, a, b in zip(cores, (4 * starts).tolist(), (4 * ends).tolist()):
+            self.cores[core] = raw[a:b]
+
+    def _learn_cores(self, cores: Iterable[bytes]) -> None:
+        words, others = [], []
+        for core in cores:
+            text = core.decode("utf-8", "replace")
+            if _MARK in core or b"<|" in core:  # a special token is one only as a whole
+                self.cores[core] = self._ids(text).tobytes()
+            else:
+                (words if text.isalpha() else others).append(core)
+        if words:
+            # letters alone make one word, which ends with a token that says so
+            ids = self._ids(b" ".join(words).decode("utf-8", "replace"))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(words):
+                self._store(words, ids, np.append(0, cuts[:-1]), cuts)
             else:
-                together.append(chunk)
-        if together:
-            ids = self._ids((b" " + _MARK + b" ").join(together).decode("utf-8", "replace"))
+                others += words
+        if others:
+            ids = self._ids((b" " + _MARK + b" ").join(others).decode("utf-8", "replace"))
             cuts = np.flatnonzero(ids == self.mark[0])
-            assert len(cuts) == len(together) - 1
-            starts, ends = np.append(0, cuts + 1) * 4, np.append(cuts, len(ids)) * 4
-            raw = ids.tobytes()
-            for chunk, a, b in zip(together, starts.tolist(), ends.tolist()):
-                self.known[chunk] = raw[a:b]
-
-    def encode(self, text: bytes) -> bytes:
-        chunks = text.split()
-        missing = set(chunks).difference(self.known)
-        if missing:
-            if len(self.known) > KEPT_CHUNKS:
-                self.known.clear()
-                missing = set(chunks)
-            self.learn(missing)
-        return b"".join(map(self.known.__getitem__, chunks))
+            assert len(cuts) == len(others) - 1
+            self._store(others, ids, np.append(0, cuts + 1), np.append(cuts, len(ids)))
+
+    def _parts(self, chunk: bytes) -> tuple[bytes, bytes]:
+        """Core and trailing punctuation; the cut is safe only behind an ASCII letter or digit."""
+        core = chunk.rstrip(_PUNCTUATION)
+        if not core or core[-1] > 127 or b"<|" in chunk or not core[-1:].isalnum():
+            return chunk, b""
+        return core, chunk[len(core):]
+
+    def encode(self, texts: Iterable[bytes]) -> list[bytes]:
+        """The ids of each text; texts of one call share their new cores' encoding."""
+        if len(self.known) > KEPT_CHUNKS:
+            self.known.clear()
+        if len(self.cores) > KEPT_CORES:
+            self.cores.clear()
+            self.cores[b""] = b""
+        split = [text.lower().split() for text in texts]
+        found = [list(map(self.known.get, chunks)) for chunks in split]
+        gaps = [[i for i, ids in enumerate(row) if ids is None] if None in row else () for row in found]
+        parts = {chunk: self._parts(chunk) for chunk in {chunks[i] for chunks, gap in zip(split, gaps) for i in gap}}
+        self._learn_cores({x for pair in parts.values() for x in pair}.difference(self.cores))
+        for chunk, (core, tail) in parts.items():
+            self.known[chunk] = self.cores[core] + self.cores[tail]
+        for chunks, row, gap in zip(split, found, gaps):
+            for i in gap:
+                row[i] = self.known[chunks[i]]
+        return [b"".join(row) for row in found]
 
 
 def encoder(tokenizer_json: str) -> ChunkEncoder:
@@ -89,14 +122,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int) -
         for batch in batches:
             texts = batch["text"]
             for at in range(0, len(texts), 500):
-                part = texts.slice(at, 500).to_pylist()
-                # all new chunks of the slice in one call
-                missing = {c for t in part for c in t.split()}.difference(coder.known)
-                if len(coder.known) > KEPT_CHUNKS and missing:
-                    coder.known.clear()
-                    missing = {c for t in part for c in t.split()}
-                coder.learn(missing)
-                coded = [coder.encode(t) + end for t in part]
+                coded = [ids + end for ids in coder.encode(texts.slice(at, 500).to_pylist())]
                 offsets = np.append(0, np.cumsum([len(c) // 4 for c in coded])).astype(np.int32)
                 ids = pa.array(np.frombuffer(b"".join(coded), "<i4"), pa.int32())
                 yield {"doc_id": batch["doc_id"].slice(at, 500), "ids": pa.ListArray.from_arrays(pa.array(offsets), ids)}
