@@ -276,17 +276,40 @@ def _canonical(c: Canonical):
 
 
 def _file_ingest(c: Canonical):
-    """Orders written as CSV files by status and read back with their files' manifest."""
+    """Orders written as CSV by status, some rows broken, some files delivered twice; read back, each content once."""
     root = scratch_path(c.spark, "files")
-    rows = c.sales_orders.select("order_id", "customer_id", "order_number", F.col("order_status").alias("folder"), "order_status")
-    rows.write.partitionBy("folder").option("header", "true").csv(root)
+    customer = F.when(F.col("order_id") % 40 == 0, "unknown").otherwise(F.col("customer_id").cast("string"))
+    rows = c.sales_orders.select("order_id", customer.alias("customer_id"), "order_number", F.col("order_status").alias("folder"), "order_status")
+    for delivery, part in enumerate((rows, rows.where("order_status = 'cancelled'"))):
+        # the same rows meet in the same file, so the second delivery repeats files of the first
+        part.repartition(8, "order_id").write.partitionBy("folder").option("header", "true").csv(f"{root}/delivery={delivery}")
     schema = T.StructType([
         T.StructField("order_id", T.LongType()), T.StructField("customer_id", T.IntegerType()),
         T.StructField("order_number", T.StringType()), T.StructField("order_status", T.StringType()),
     ])
-    good, bad = files.split_malformed(files.read_files(c.spark, root, schema, basePath=root))
-    kept = good.groupBy("order_status").agg(F.count("*").alias("rows"), F.sum("customer_id").alias("customer_sum"))
-    return kept.unionByName(bad.groupBy("order_status").agg(F.count("*").alias("rows"), F.lit(None).cast("bigint").alias("customer_sum")))
+    read = files.read_files(c.spark, root, schema, basePath=root)
+    repeated = files.duplicate_files(files.file_manifest(read)).select("file_path")
+    good, bad = files.split_malformed(read.join(repeated, "file_path", "left_anti"))
+    counted = good.select("order_status", "customer_id", F.lit(0).alias("bad")).unionByName(
+        bad.select("order_status", F.lit(None).cast("int").alias("customer_id"), F.lit(1).alias("bad"))
+    )
+    return counted.groupBy("order_status").agg(
+        F.sum(1 - F.col("bad")).alias("rows"), F.sum("customer_id").alias("customer_sum"), F.sum("bad").alias("malformed")
+    )
+
+
+def _broken_documents(c: Canonical):
+    """Event documents, some cut off, some with a field that the schema knows and one that it does not, some of another type."""
+    number = F.get_json_object("props", "$.k")
+    text = (
+        F.when(F.col("event_id") % 20 == 0, F.substring("props", 1, 3))
+        .when(F.col("event_id") % 15 == 1, F.concat(F.lit('{"extra": "more", "new": [1], "k": '), number, F.lit("}")))
+        .when(F.col("event_id") % 33 == 2, F.lit('{"k": "many"}'))
+        .otherwise(F.col("props"))
+    )
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("extra", T.StringType())])
+    parsed = payloads.parse_documents(c.raw("events").select("event_id", text.alias("props")), "props", schema)
+    return parsed.withColumn("is_broken", F.col("_corrupt_record").isNotNull())
 
 
 def _snapshots(c: Canonical):
@@ -438,8 +461,10 @@ QUERIES: dict[str, Query] = {
         UNION ALL SELECT 'APP', 'U-' || user_id, CAST(event_id AS VARCHAR), CAST(event_time AS DATE), 2, NULL, value FROM event_rows""",
     ),
     "x08_document_ingest": Query(
-        lambda c: payloads.parse_documents(c.raw("events").select("event_id", "props"), "props", T.StructType([T.StructField("k", T.IntegerType()), T.StructField("extra", T.StringType())])),
-        "event_id:i k:i extra:s", "SELECT event_id, key AS k, NULL AS extra FROM event_rows",
+        _broken_documents, "event_id:i k:i extra:s is_broken:b",
+        """SELECT event_id, CASE WHEN NOT (event_id % 20 = 0 OR (event_id % 33 = 2 AND event_id % 15 <> 1)) THEN key END AS k,
+        CASE WHEN event_id % 15 = 1 AND event_id % 20 <> 0 THEN 'more' END AS extra,
+        event_id % 20 = 0 OR (event_id % 33 = 2 AND event_id % 15 <> 1) AS is_broken FROM event_rows""",
     ),
     "x09_page_dedupe": Query(
         lambda c: payloads.dedupe_pages(c.events.select("user_id", "event_type", "key", "event_time", "event_id", "value"), ["user_id", "event_type", "key"], ["event_time", "event_id"]),
@@ -448,8 +473,9 @@ QUERIES: dict[str, Query] = {
         FROM event_rows GROUP BY user_id, event_type, key""",
     ),
     "x10_file_ingest": Query(
-        _file_ingest, "order_status:s rows:i customer_sum:i",
-        "SELECT order_status, count(*) AS rows, sum(customer_id) AS customer_sum FROM sales_orders GROUP BY order_status",
+        _file_ingest, "order_status:s rows:i customer_sum:i malformed:i",
+        """SELECT order_status, count(*) FILTER (WHERE order_id % 40 <> 0) AS rows, sum(customer_id) FILTER (WHERE order_id % 40 <> 0) AS customer_sum,
+        count(*) FILTER (WHERE order_id % 40 = 0) AS malformed FROM sales_orders GROUP BY order_status""",
     ),
     "x11_file_manifest_diff": Query(
         _snapshots, "doc_id:i old_content:s new_content:s change:s",
