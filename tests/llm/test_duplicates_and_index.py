@@ -59,6 +59,31 @@ def test_every_bucket_is_searched_to_the_end(spark, monkeypatch, small):
     assert {r.doc_id: r.component_id for r in setsketch.near_duplicates(docs, 4, 80).collect()} == cases.near_components(rows, 4, 80)
 
 
+@pytest.mark.parametrize("small", [32, 2])
+def test_rows_of_one_id_lose_no_link(spark, monkeypatch, small):
+    """Two similar texts meet only in buckets whose smallest member is a stranger, and their ids stand on several rows."""
+    rng = random.Random(13)
+    kinds = {"equal": lambda t: [t, t], "capitals": lambda t: [t.upper(), t], "other": lambda t: ["taken text of another id"], "short": lambda t: [" ".join(cases.words(rng, 12, 10 ** 6))], "long": lambda t: [" ".join(cases.words(rng, 300, 10 ** 6))]}
+    table, pairs = [(0, "taken text of another id")], []
+    for g, (kind, more) in enumerate(kinds.items()):
+        main, first = cases.words(rng, 97, 10 ** 6), 1000 * g + 1
+        strange = lambda w, name, a, b: [f"{name}_{i}" if a <= i < b else x for i, x in enumerate(w)]
+        for k in range(9):
+            table.append((first + k, " ".join(strange(strange(main, f"g{g}s{k}", 10 * k, 10 * k + 10), f"g{g}s{k}", 89, 97))))
+        for i, text in ((first + 20, " ".join(main)), (first + 21, " ".join(strange(main, f"g{g}", 89, 97)))):
+            table += [(i, t) for t in [text, *(more(text) if kind != "short" or i == first + 20 else [])]]
+        pairs.append((first + 21, first + 20 if kind != "other" else 0))
+    docs = spark.createDataFrame([*table, (3, ""), (4, None)], "doc_id bigint, text string")
+    monkeypatch.setattr(setsketch, "SMALL_BUCKET", small)
+    monkeypatch.setattr(setsketch, "BLOCK_SHINGLES", 500)
+    monkeypatch.setattr(setsketch, "BANDS", 32)
+    monkeypatch.setattr(setsketch, "ROWS", 1)
+    got = {r.doc_id: r.component_id for r in setsketch.near_duplicates(docs, 4, 80).collect()}
+    want = cases.near_components(table, 4, 80)
+    assert [want[a] for a, _ in pairs] == [b for _, b in pairs]
+    assert got == want
+
+
 def test_near_duplicates_of_given_documents(spark):
     docs = spark.read.parquet(f"{cases.SF}/documents.parquet")
     got = {r.doc_id: r.component_id for r in queries.op6_setsketch(spark, cases.SF).collect()}

@@ -252,7 +252,7 @@ def _undecided(buckets: DataFrame, classes: DataFrame, merged: DataFrame, docs:
     """Members of buckets with several components that may yet be linked there, and the sets of their shingles.
 
     `bucket`, `rep`, `component`, `main`, `n`, `members` (such members of the bucket) and `common`, the
-    most shingles that the set can share with a member of another component.
+    most shingles that the set can share with a member of another component. An id with `several` sets is not bounded.
     """
     placed = _placed(buckets, merged)
     several = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
@@ -266,18 +266,21 @@ def _undecided(buckets: DataFrame, classes: DataFrame, merged: DataFrame, docs:
                 yield {"rep": batch["doc_id"].slice(at, 200), "shingles": sets}
 
     sets = map_columns(rows_in(id_and_bytes(docs), needed.select("doc_id"), ["doc_id"]), "rep bigint, shingles array<bigint>", task)
+    # rows of one id with equal sets are one set, so each shingle of it counts once
+    sets = sets.where(F.size("shingles") > 0).distinct()
     sets = stage_table(sets.join(needed.withColumnRenamed("doc_id", "rep"), "rep"), "open-sets")
     owners = sets.select("rep", "component", F.explode("shingles").alias("shingle"))
     own = owners.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x = y").select("shingle")
     alone = owners.join(own, "shingle", "left_semi").groupBy("rep").agg(F.count("*").alias("__alone"))
-    # an id with several sets is not judged by them
-    sizes = classes.groupBy("rep").agg(F.min("n").alias("n"), F.count("*").alias("__sets")).join(alone, "rep", "left")
-    common = F.when(F.col("__sets") == 1, F.col("n") - F.coalesce("__alone", F.lit(0))).otherwise(F.col("n"))
-    sized = rows.join(sizes.select("rep", "n", common.alias("common"), "__sets"), "rep")
+    # an id with several sets is not judged by them, whether they are classes of its own or of another id
+    read = sets.groupBy("rep").agg((F.count("*") > 1).alias("several"))
+    sizes = classes.groupBy("rep").agg(F.min("n").alias("n")).join(read, "rep").join(alone, "rep", "left")
+    common = F.when(F.col("several"), F.col("n")).otherwise(F.col("n") - F.coalesce("__alone", F.lit(0)))
+    sized = rows.join(sizes.select("rep", "n", common.alias("common"), "several"), "rep")
     smallest = sized.groupBy("bucket").agg(F.min("n").alias("__smallest"))
     partner = F.greatest("__smallest", "common")
-    may = (100 * F.col("common") >= percent * (partner + F.col("n") - F.col("common"))) | (F.col("__sets") > 1)
-    kept = stage_table(sized.join(smallest, "bucket").where(may).select("bucket", "rep", "component", "main", "n", "common"), "undecided")
+    may = (100 * F.col("common") >= percent * (partner + F.col("n") - F.col("common"))) | F.col("several")
+    kept = stage_table(sized.join(smallest, "bucket").where(may).select("bucket", "rep", "component", "main", "n", "common", "several"), "undecided")
     left = kept.groupBy("bucket").agg(F.count("*").alias("members"), F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     return stage_table(kept.join(left.select("bucket", "members"), "bucket"), "undecided"), sets
 
@@ -285,9 +288,10 @@ def _undecided(buckets: DataFrame, classes: DataFrame, merged: DataFrame, docs:
 def _pairs_of_small(alive: DataFrame, classes: DataFrame, tried: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between members of buckets with at most `SMALL_BUCKET` undecided members: all their pairs that the bounds allow."""
     rows = alive.where(F.col("members") <= SMALL_BUCKET)
-    side = lambda x: rows.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "component", "n", "common")])
+    side = lambda x: rows.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "component", "n", "common", "several")])
     common = F.least("common_a", "common_b")
-    possible = (F.col("component_a") != F.col("component_b")) & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
+    near = (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)) | F.col("several_a") | F.col("several_b")
+    possible = (F.col("component_a") != F.col("component_b")) & near
     pairs = side("a").join(side("b"), "bucket").where((F.col("rep_a") > F.col("rep_b")) & possible)
     pairs = pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     pairs = stage_table(_plausible(pairs, classes, percent).select("a", "b"), "plausible")
