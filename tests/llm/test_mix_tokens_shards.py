@@ -129,6 +129,17 @@ def test_chunks_of_all_kinds_equal_whole_texts():
         assert np.frombuffer(coder.encode([text.encode()])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_added_tokens_keep_their_case():
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    coder = orc_tokens.ChunkEncoder(open(TOKENIZER, encoding="utf-8").read())
+    rng = random.Random(9)
+    signs = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|StartOfText|>", "<|", "|>", "A", "a", "É", ".", "It'S", " ", "\n"]
+    texts = ["<|ENDOFTEXT|>", "End <|EndOfText|> END<|endoftext|>End", "<|endoftext|> <|ENDOFTEXT|>."]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 9))) for _ in range(1000)]
+    for text, ids in zip(texts, coder.encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 @pytest.mark.parametrize("dims, bits", [(2, 4), (3, 3), (4, 2)])
 def test_the_curve_visits_neighbours(spark, dims, bits):
     cells = list(product(range(1 << bits), repeat=dims))

@@ -5,11 +5,12 @@ ORC file in ascending order. Stripes are the unit of a parallel read, row indexe
 hold the smallest and largest `doc_id` of every 10,000 rows, and a Bloom filter on
 `doc_id` lets `read_documents` skip stripes and row groups without reading ids.
 
-Equal white-space chunks have equal ids: the tokenizer drops white space and case
-before it looks at anything else, and it cuts between a letter and a following
-punctuation mark. So a worker encodes each distinct core of a chunk once, many in
-one call, and keeps a bounded number of chunks and cores; a full store is emptied,
-which costs time and changes nothing.
+Equal white-space chunks have equal ids: the tokenizer looks for its added tokens,
+which have no white space and keep their case, drops white space and case, and then
+cuts between a letter and a following punctuation mark. So chunks that may hold an
+added token stay as they are written, the others are lowered, and a worker encodes
+each distinct core of a chunk once, many in one call, and keeps a bounded number of
+chunks and cores; a full store is emptied, which costs time and changes nothing.
 
 A null or empty text is the end id alone. A null id sorts first. Rows that share
 an id keep one order, that of their content. Extra columns are not written.
@@ -92,7 +93,11 @@ class ChunkEncoder:
         if len(self.cores) > KEPT_CORES:
             self.cores.clear()
             self.cores[b""] = b""
-        split = [text.lower().split() for text in texts]
+        # added tokens are matched in the text as it is written
+        split = [
+            [c if b"<|" in c else c.lower() for c in text.split()] if b"<|" in text else text.lower().split()
+            for text in texts
+        ]
         found = [list(map(self.known.get, chunks)) for chunks in split]
         gaps = [[i for i, ids in enumerate(row) if ids is None] if None in row else () for row in found]
         parts = {chunk: self._parts(chunk) for chunk in {chunks[i] for chunks, gap in zip(split, gaps) for i in gap}}
