@@ -165,6 +165,18 @@ def test_hidden_words_are_restored(toxic_model):
         assert toxic_model.score(clean)[0] < 0.7, clean
 
 
+def test_no_lattice_that_spells_a_term_is_skipped(toxic_model):
+    for sign in "!|#=+$@(\u200b_.":
+        for word in ("stupid", "idiot"):
+            token = sign.join(word)
+            assert toxic_model._may_spell(token) and toxic_model._may_spell(f"so-{token}"), token
+    for token in ("s#t#u#p#i#d", "s=t=u=p=i=d", "s\u200bt\u200bu\u200bp\u200bi\u200bd", "s!t!u!p!i!d", "s|t|u|p|i|d"):
+        assert any("stupid".startswith(t.rstrip("*")) for t in toxic_model.hits(token)), token
+    doubled = toxicity.Toxicity({"kill*": 0.95, "fool*": 0.95}, 0.1, toxic_model.logs)
+    assert doubled.hits("killing") == ("kill*",) and doubled.hits("fools") == ("fool*",) and doubled.hits("x9killer") == ("kill*",)
+    assert not any(doubled._may_spell(x) for x in ("skill", "oof", "12", "", "f-", "k#"))
+
+
 def test_viterbi_finds_the_best_path(toxic_model):
     """Against all readings of a token without separators or repetitions."""
     def readings(token):

@@ -14,9 +14,10 @@ trigram model, and the restored words are scored.
 * The score is the probability that at least one of the terms found marks a toxic
   text; without any, the rate of toxic texts among learning texts without terms.
 
-A token is decoded only if its skeleton (signs that can stand for each other made
-one, repetitions and separators dropped) begins like a term's: no path through any
-other lattice spells a term. Each worker keeps a bounded number of known tokens.
+A token is decoded only if some path through its lattice, from its start or from any
+sign that may end a word, begins with a term (letters that share a sign made one,
+repetitions dropped): no path through any other lattice spells a term. Each worker
+keeps a bounded number of known tokens.
 
 A null or empty text has no terms. Without labels of both kinds there are no
 terms, and all scores are equal. Contradicting labels of one id count as toxic.
@@ -43,9 +44,8 @@ BEGINNINGS = (4, 5, 6)
 KEPT_TOKENS = 400_000
 # What a sign may stand for, besides itself (fixed values of the channel).
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c"}
-SEPARATORS = " .-_*~,:;/\\'\""
 _SIZE = 28  # boundary, a to z, any other letter
-_ALIKE = str.maketrans({**{k: v[0] for k, v in LEET.items()}, "l": "i", **dict.fromkeys(SEPARATORS, None)})
+_ALIKE = str.maketrans({**{k: v[0] for k, v in LEET.items()}, "l": "i"})
 _REPEATED = re.compile(r"(.)\1+")
 _PARTS = re.compile(r"[^\W_]+(?:[@$!|+(]+[^\W_]+)*")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -95,10 +95,12 @@ class Toxicity:
     rate: float
     logs: np.ndarray
     _heads: set[str] = field(default_factory=set)
+    _prefixes: set[str] = field(default_factory=set)
     _known: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self._heads = {skeleton(t.rstrip("*"))[:4] for t in self.terms}
+        self._heads = {skeleton(t.rstrip("*")) for t in self.terms}
+        self._prefixes = {h[:k] for h in self._heads for k in range(1, len(h))}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_known": {}}
@@ -137,19 +139,42 @@ class Toxicity:
     def _found(self, words: str) -> set[str]:
         return {t for t in terms_of(words) if t in self.terms}
 
+    def _may_spell(self, token: str) -> bool:
+        """Whether some reading of a token, from its start or behind a dropped sign, begins with a term's skeleton."""
+        starts, plain = {""}, token.isalnum()
+        for sign in token:
+            letter = skeleton(sign)
+            if not letter.isalpha():
+                letter = ""
+            if not sign.isalnum():
+                after = starts | {""}
+            else:
+                after = set() if letter else starts
+            if letter:
+                for start in starts:
+                    longer = start if start.endswith(letter) else start + letter
+                    if longer in self._heads:
+                        return True
+                    if longer in self._prefixes:
+                        after.add(longer)
+            if not after and plain:
+                return False
+            starts = after
+        return False
+
     def hits(self, token: str) -> tuple[str, ...]:
         """The terms in a token as it stands or as it is restored."""
         known = self._known.get(token)
         if known is None:
             if len(self._known) > KEPT_TOKENS:
                 self._known.clear()
-            found: set[str] = set()
-            if skeleton(token)[:4] in self._heads:
-                found |= self._found(token) or self._found(self.restore(token))
+            found = self._found(token)
+            if not found and self._may_spell(token):
+                found = self._found(self.restore(token))
             parts = _PARTS.findall(token)
             if parts != [token]:
                 for part in parts:
-                    if skeleton(part)[:4] in self._heads:
+                    if self._may_spell(part):
                         found |= self._found(part) or self._found(self.restore(part))
             known = self._known[token] = tuple(sorted(found))
         return known
@@ -169,7 +194,7 @@ class Toxicity:
                 joined = "".join(run)
                 # a spaced word may begin at any of its letters
                 for at in range(len(joined)):
-                    if skeleton(joined[at:at + 12])[:4] in self._heads:
+                    if self._may_spell(joined[at:at + 24]):
                         yield joined[at:at + 24]
             run = []
 
