@@ -177,6 +177,14 @@ def test_no_lattice_that_spells_a_term_is_skipped(toxic_model):
     assert not any(doubled._may_spell(x) for x in ("skill", "oof", "12", "", "f-", "k#"))
 
 
+def test_spaced_words_beside_punctuation(toxic_model):
+    for text in ("you are s c u m.", '"i d i o t" they said', "a (l o s e r) here", "l oo s e r", "l o s e rrr!!", "'m o r o n', ok", "c l o w n?", "- i - d - i - o - t -", "[s] [c] [u] [m]"):
+        assert toxic_model.score(text)[0] > 0.7, text
+    assert toxicity.single("(oo.") == "(oo." and toxicity.single("...") == "." and not toxicity.single("ab") and not toxicity.single("a1.")
+    for clean in ("a. b. c. d.", "1) 2) 3) 4)", "x + y = z ...", "( ) [ ] !! ??"):
+        assert toxic_model.score(clean)[0] < 0.7, clean
+
+
 def test_viterbi_finds_the_best_path(toxic_model):
     """Against all readings of a token without separators or repetitions."""
     def readings(token):

@@ -1,6 +1,6 @@
 """Toxicity of texts after noisy-channel deobfuscation.
 
-Writers hide words by leetspeak (1d10t), spacing (i d i o t, i.d.i.o.t) and
+Writers hide words by leetspeak (1d10t), spacing (i d i o t, i.d.i.o.t, "i d ii o t.") and
 repetition (idiooot). Every hidden token is a lattice: each sign may stand for one
 of a few letters, a repeated letter may be noise, a separator may be noise or a
 real end of a word. Viterbi search finds the most probable path under a character
@@ -48,6 +48,7 @@ _SIZE = 28  # boundary, a to z, any other letter
 _ALIKE = str.maketrans({**{k: v[0] for k, v in LEET.items()}, "l": "i"})
 _REPEATED = re.compile(r"(.)\1+")
 _PARTS = re.compile(r"[^\W_]+(?:[@$!|+(]+[^\W_]+)*")
+_NO_SIGN = re.compile(r"(?:[^\w@$!|+(]|_)+")  # can stand for no letter
 _LETTERS = re.compile(r"[^\W\d_]+")
 _CLASSES = np.array([b - 96 if 97 <= b <= 122 else b - 64 if 65 <= b <= 90 else 27 if b > 127 else 0 for b in range(256)], np.int64)
 _COST_LEET, _COST_SAME, _COST_DROP, _COST_END = -1.0, 0.0, -1.5, -3.0
@@ -57,6 +58,16 @@ def skeleton(token: str) -> str:
     return _REPEATED.sub(r"\1", token.translate(_ALIKE))
 
 
+def single(chunk: str) -> str:
+    """A chunk of one letter or sign, whatever punctuation or repetition stands with it, in short; else nothing."""
+    if len(chunk) == 1:
+        return chunk
+    letters = {c for c in chunk if c.isalnum()}
+    if len(letters) > 1 or not letters and len(set(_NO_SIGN.sub("", chunk))) > 1:
+        return ""
+    return _REPEATED.sub(r"\1\1", _NO_SIGN.sub(lambda m: m[0][0], chunk))
+
+
 def _class(char: str) -> int:
     return ord(char) - 96 if "a" <= char <= "z" else 27 if char.isalpha() else 0
 
@@ -180,22 +191,24 @@ class Toxicity:
         return known
 
     def tokens(self, text: str) -> Iterator[str]:
-        """White-space chunks, and runs of three or more single signs as one token each."""
+        """White-space chunks, and windows over runs of three or more chunks of a single letter or sign."""
         chunks = text.lower().split()
-        yield from set(chunks)
-        if min(map(len, chunks), default=2) > 1:
+        distinct = set(chunks)
+        yield from distinct
+        units = {chunk: unit for chunk in distinct if (unit := single(chunk))}
+        if not units:
             return
         run: list[str] = []
-        for chunk in [*chunks, "  "]:
-            if len(chunk) == 1:
-                run.append(chunk)
+        for chunk in [*chunks, ""]:
+            if chunk in units:
+                run.append(units[chunk])
                 continue
             if len(run) > 2:
-                joined = "".join(run)
                 # a spaced word may begin at any of its letters
-                for at in range(len(joined)):
-                    if self._may_spell(joined[at:at + 24]):
-                        yield joined[at:at + 24]
+                for at in range(len(run)):
+                    window = "".join(run[at:at + 24])
+                    if self._may_spell(window):
+                        yield window
             run = []
 
     def score(self, text: str) -> tuple[float, list[str]]:
