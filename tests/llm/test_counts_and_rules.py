@@ -214,6 +214,20 @@ def test_toxicity_on_held_out_labels(spark, toxic_model):
     assert sum(r.predicted and not r.toxic for r in rows) <= 0.02 * len(rows)
 
 
+def test_terms_do_not_fade_in_a_larger_sample(spark):
+    """40 of 1,500 toxic texts hold each term and no other text does; half of the words beside them say nothing."""
+    rng = random.Random(6)
+    names = ["".join(rng.choice("bdfgklmnprstv") + rng.choice("aeiou") for _ in range(4)) for _ in range(500)]
+    terms, plain = names[:37], names[37:]
+    rows = [(i, " ".join([*rng.sample(plain, 6), *([terms[i // 40 % 37]] if i < 1480 else [])]), int(i < 1500)) for i in range(6000)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.learn_toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic"), F.lit(True))
+    found = {t for t in model.terms if not t.endswith("*")}
+    assert set(terms) <= found and found.isdisjoint(plain)
+    assert all(model.score(f"well {t} then")[0] > 0.7 for t in terms)
+    assert toxicity.evidence(5, 0, 50, 100) < toxicity.MIN_EVIDENCE < toxicity.evidence(5, 0, 51, 500) == toxicity.evidence(5, 0, 1530, 15000)
+
+
 def test_toxicity_of_awkward_rows(spark, toxic_model):
     docs = cases.with_clashes(cases.awkward(spark))
     got = toxicity.score_toxicity(docs, toxic_model).collect()

@@ -9,8 +9,10 @@ trigram model, and the restored words are scored.
 * The trigram model counts all documents (a fixed table of 28^3 numbers), mixed
   half and half with the learned terms.
 * The terms, words and word beginnings, are learned from labelled documents: those
-  that are frequent among the toxic ones and hardly occur in others. At most
-  `SAMPLE_ROWS` labelled documents (the first by the hash of their id) are used.
+  that stand in at least `MIN_TEXTS` toxic ones, hardly occur in others, and do so
+  e^`MIN_EVIDENCE` times more likely by their own rate of toxic texts than by that of
+  all texts. No bound rises with the sample. At most `SAMPLE_ROWS` labelled documents
+  (the first by the hash of their id) are used, which also bounds the terms.
 * The score is the probability that at least one of the terms found marks a toxic
   text; without any, the rate of toxic texts among learning texts without terms.
 
@@ -27,7 +29,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
@@ -39,7 +41,7 @@ from tradewind.session import stage_table
 
 SAMPLE_ROWS = 12_000
 ACCEPT = 0.7
-MIN_SHARE, MIN_TEXTS, MIN_PRECISION, MAX_TERMS = 0.03, 5, 0.9, 400
+MIN_TEXTS, MIN_PRECISION, MIN_EVIDENCE = 5, 0.9, 8.0
 BEGINNINGS = (4, 5, 6)
 KEPT_TOKENS = 400_000
 # What a sign may stand for, besides itself (fixed values of the channel).
@@ -219,6 +221,14 @@ class Toxicity:
         return (1 - miss if found else self.rate), found
 
 
+def evidence(toxic: int, others: int, all_toxic: int, everything: int) -> float:
+    """Log of how much likelier a term's labels are by its own rate of toxic texts than by that of all texts; 0 for a lower rate."""
+    own, base = toxic / (toxic + others), all_toxic / everything
+    if own <= base:
+        return 0.0
+    return toxic * math.log(own / base) + (others * math.log((1 - own) / (1 - base)) if others else 0.0)
+
+
 def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Toxicity:
     """Learn terms on at most `rows` labelled documents for which `learn` holds, letters on all documents."""
     sample = stage_table(labelled_sample(docs, labels, "toxic", learn, rows).select("doc_id", "text", "label"), "toxic-sample")
@@ -233,17 +243,19 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int
 
     whole = sample.agg(F.sum((F.col("label") > 0).cast("int")).alias("toxic"), F.count("*").alias("all")).first()
     toxic, everything = whole["toxic"] or 0, whole["all"]
-    least = max(MIN_TEXTS, MIN_SHARE * toxic)
     counted = map_columns(sample, "term string, others bigint, toxic bigint", count).groupBy("term").agg(F.sum("others").alias("others"), F.sum("toxic").alias("toxic"))
-    best = counted.where((F.col("toxic") >= least) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("others"))))
-    picked = best.orderBy(F.desc("toxic"), "others", "term").limit(MAX_TERMS).collect() if 0 < toxic < everything else []
+    best = counted.where((F.col("toxic") >= MIN_TEXTS) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("others"))))
+    picked = [r for r in best.collect() if evidence(r["toxic"], r["others"], toxic, everything) >= MIN_EVIDENCE] if 0 < toxic < everything else []
     # a beginning gives way to a longer one that finds as many toxic texts and fewer others
+    longer = defaultdict(list)
+    for r in picked:
+        for k in BEGINNINGS:
+            longer[r["term"][:k]].append(r)
     picked = [
         r for r in picked
-        if not any(
-            r["term"].endswith("*") and o["term"] != r["term"] and o["term"].startswith(r["term"][:-1])
-            and o["toxic"] >= 0.97 * r["toxic"] and o["others"] < r["others"]
-            for o in picked
+        if not r["term"].endswith("*") or not any(
+            o["term"] != r["term"] and o["toxic"] >= 0.97 * r["toxic"] and o["others"] < r["others"]
+            for o in longer[r["term"][:-1]]
         )
     ]
     terms = {r["term"]: (r["toxic"] + 0.5) / (r["toxic"] + r["others"] + 1) for r in picked}
