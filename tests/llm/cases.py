@@ -1,7 +1,9 @@
 """Small tables with every awkward row, and readings of the rules in plain Python."""
 
+import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 SF = "/root/testdata/sf0.001"
@@ -97,3 +99,71 @@ def removed_bytes(texts, length):
 
 def item_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(text))
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def merkle_rows(rows, fanout=2):
+    """Per doc_id: leaf, subroot, root, digests on the path (level by level, before and after the node) of (doc_id, source, lang, n_chars, text)."""
+    def encoded(value):
+        return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([sha("".join(out[-1][k:k + fanout])) for k in range(0, len(out[-1]), fanout)])
+        return out
+
+    def path(tree, at):
+        steps = []
+        for level in tree[:-1]:
+            first = at - at % fanout
+            steps.append((level[first:at], level[at + 1:first + fanout]))
+            at //= fanout
+        return steps
+
+    groups = {}
+    for row in rows:
+        leaf = sha("".join(map(encoded, row)))
+        groups.setdefault(row[2], []).append(((row[0] is not None, row[0] or 0), leaf))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: levels([leaf for _, leaf in sorted(groups[g])]) for g in names}
+    crown = levels([trees[g][-1][0] for g in names])
+    return [
+        (order[1] if order[0] else None, leaf, trees[g][-1][0], crown[-1][0], path(trees[g], at) + path(crown, names.index(g)))
+        for g in names for at, (order, leaf) in enumerate(sorted(groups[g]))
+    ]
+
+
+def trie(turns, convs):
+    """Nodes by walking: {(smallest member, depth): (parent, members, children, leaves, saved, digest of ends)}; turns per conversation as (role, text)."""
+    members, children = {}, {}
+    for c in convs:
+        said = tuple(turns.get(c, ()))
+        for d in range(len(said) + 1):
+            members.setdefault(said[:d], []).append(c)
+            if d:
+                children.setdefault(said[:d - 1], set()).add(said[:d])
+    saved, leaves = Counter(), Counter()
+    for node, who in members.items():
+        weight = (len(who) - 1) * len(node[-1][1]) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += weight
+            leaves[node[:d]] += node not in children
+    return {
+        (min(who), len(node)): (
+            min(members[node[:-1]]) if node else None, len(who), len(children.get(node, ())), leaves[node], saved[node],
+            sha(",".join(str(c) for c in sorted(c for c in who if len(turns.get(c, ())) == len(node)))),
+        )
+        for node, who in members.items()
+    }
+
+
+def rebuilt_turns(rows):
+    """Conversations of (conv_id, turn, role, text) after the first turns of every hundredth conversation replaced their own."""
+    own = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        own.setdefault(conv, []).append((role or "", text or ""))
+    return {c: own.get(c - c % 100, [])[:h] + said[h:] for c, said in own.items() for h in [zlib.crc32(str(c).encode()) % 6]}

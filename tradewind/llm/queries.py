@@ -8,7 +8,10 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import bradley_terry, hilbert, mixing, oracles, orc_tokens, positional_index, quality_rules, setsketch, suffix_dedup, token_counts, toxicity
+from tradewind.llm import (
+    bradley_terry, chat_format, hilbert, merkle, mixing, oracles, orc_tokens, positional_index, prefix_trie, quality_rules, setsketch, suffix_dedup,
+    token_counts, toxicity,
+)
 from tradewind.llm.common import id_remainder
 from tradewind.session import scratch_path
 
@@ -89,11 +92,38 @@ def op10_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle.document_manifest(table(spark, sf_dir, "documents"), tampered=id_remainder(7) == 0)
+    return proved.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(1).select(
+        F.lit(-1).cast(rows.schema["conv_id"].dataType).alias("conv_id"),
+        F.to_json(F.struct(F.lit(said).alias("prompt"), F.lit(said).alias("completion"))).alias("record"),
+    )
+    records = chat_format.as_records(rows, ["turn", "role", "text"]).unionByName(extra)
+    path = scratch_path(spark, "formatted")
+    chat_format.write_formatted(chat_format.canonical_turns(records), path)
+    return chat_format.read_back(chat_format.read_formatted(spark, path))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    owner = F.col("conv_id") - F.col("conv_id") % 100
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    rebuilt, convs = prefix_trie.replace_heads(prefix_trie.numbered_turns(rows), owner, heads, most=5)
+    return prefix_trie.trie_nodes(rebuilt, convs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_quality_rules, op3_noisy_channel_toxicity, op4_poisson_mix, op5_orc_tokens, op6_setsketch,
-        op7_hilbert_shards, op8_bradley_terry, op9_suffix_dedup, op10_positional_index,
+        op7_hilbert_shards, op8_bradley_terry, op9_suffix_dedup, op10_positional_index, op11_merkle_manifest, op12_chat_format,
+        op13_prefix_trie,
     )
 }
 ORACLE_SQL: dict[str, str] = {
