@@ -100,3 +100,87 @@ ranked AS (SELECT *, row_number() OVER (ORDER BY place, doc_id, text_crc32) - 1
 SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(r * {count} // n AS INTEGER) AS shard,
     r - ((r * {count} // n) * n + {count - 1}) // {count} AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM ranked
 """
+
+
+def _crc(value: str) -> str:
+    """Unsigned CRC-32 of a text without letters beyond ASCII; needs the column `crcs`."""
+    return (
+        f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({value}, ''), lambda c: CAST(ord(c) AS BIGINT))),"
+        " lambda crc, byte: xor(crc >> 8, crcs[(xor(crc, byte) & 255) + 1])), 4294967295)"
+    )
+
+
+def manifest() -> str:
+    def field(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+    def leaf(chars: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", chars, "text"))) + ")"
+
+    def levels(name: str, rows: str) -> str:
+        """All levels of the trees over `rows` (g, idx, n, node)."""
+        return f"""{name}(g, level, idx, n, node) AS (SELECT g, 0, idx, n, node FROM {rows} UNION ALL
+    SELECT g, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY idx)) FROM {name} WHERE n > 1 GROUP BY g, level, idx // 2, n)"""
+
+    def walk(name: str, start: str, tree: str) -> str:
+        """From each node of `start` to the top of its tree: the siblings so far, and the node folded so far."""
+        beside = f"(SELECT g, level, idx, node FROM {tree})"
+        return f"""{name}(doc_id, g, level, idx, n, acc, beside) AS (SELECT doc_id, g, 0, idx, n, acc, beside FROM {start} UNION ALL
+    SELECT w.doc_id, w.g, w.level + 1, w.idx // 2, (w.n + 1) // 2,
+    sha256(CASE WHEN w.idx % 2 = 0 THEN w.acc || coalesce(s.node, '') ELSE s.node || w.acc END), w.beside || coalesce(s.node, '')
+    FROM {name} w LEFT JOIN {beside} s ON s.g = w.g AND s.level = w.level AND s.idx = xor(w.idx, 1) WHERE w.n > 1)"""
+
+    return f"""
+WITH RECURSIVE tables AS (SELECT {_crc_table()} AS crcs),
+leaves AS (SELECT doc_id, coalesce('1' || lang, '0') AS g, {leaf('n_chars')} AS node, {leaf('(n_chars + 1)')} AS changed,
+    {_crc("CAST(doc_id AS VARCHAR)")} % 7 = 0 AS hit FROM documents, tables),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, node) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+{levels('nodes', 'numbered')},
+tops AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n, node, g AS member FROM nodes WHERE n = 1),
+{levels('crown', 'tops')},
+low AS (SELECT doc_id, g, idx, n, CASE WHEN hit THEN changed ELSE node END AS acc, '' AS beside FROM numbered),
+{walk('inner_walk', 'low', 'nodes')},
+middle AS (SELECT doc_id, '' AS g, t.idx, t.n, acc, beside FROM inner_walk w JOIN tops t ON t.member = w.g WHERE w.n = 1),
+{walk('outer_walk', 'middle', 'crown')},
+top AS (SELECT node FROM crown WHERE n = 1)
+SELECT l.doc_id, l.node AS leaf, t.node AS subroot, top.node AS root, sha256(w.beside) AS proof_sha256, w.acc AS folded_root, w.acc = top.node AS verified
+FROM leaves l JOIN tops t ON t.member = l.g JOIN outer_walk w ON w.doc_id = l.doc_id AND w.n = 1, top
+"""
+
+
+_CONTROLS = ("<</SYS>>", "<<SYS>>", "[/INST]", "[/ROLE]", "[INST]", "[ROLE", "</s>", "<s>")
+_ESCAPES = " + ".join(["length(text) - length(replace(text, chr(92), ''))"] + [f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in _CONTROLS])
+
+FORMATTED = f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, k, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) t(k, role)),
+-- the marks around a text, by role, and what escaping adds to it
+sized AS (SELECT *, length(text) + {_ESCAPES} +
+    CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 ELSE 16 + length(role) END AS size FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+def trie() -> str:
+    return f"""
+WITH tables AS (SELECT {_crc_table()} AS crcs),
+own AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS said
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+cut AS (SELECT own.*, {_crc("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM own, tables),
+whole AS (SELECT c.conv_id, list_concat(coalesce(b.said[1:c.h], []), c.said[c.h + 1:]) AS said FROM cut c LEFT JOIN own b ON b.conv_id = c.conv_id - (c.conv_id % 100 + 100) % 100),
+steps AS (SELECT conv_id, unnest(range(0, len(said) + 1)) AS depth, said FROM whole),
+nodes AS (SELECT depth, said[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE len(said) = depth) AS ends FROM steps GROUP BY 1, 2),
+kept AS (SELECT *, CASE WHEN depth > 0 THEN (n_convs - 1) * length(path[depth].t) ELSE 0 END AS weight FROM nodes),
+counted AS (SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM kept WHERE depth > 0 GROUP BY 1, 2),
+seen AS (SELECT k.*, coalesce(n_children, 0) AS n_children FROM kept k LEFT JOIN counted c ON c.depth = k.depth AND c.path = k.path),
+sums AS (SELECT up AS depth, path[1:up] AS path, sum(weight) AS saved, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM seen) GROUP BY 1, 2)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+    sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM seen n JOIN sums s ON s.depth = n.depth AND s.path = n.path LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+"""

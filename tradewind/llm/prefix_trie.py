@@ -192,8 +192,8 @@ def trie_nodes(turns: DataFrame, convs: DataFrame, block: int = BLOCK) -> DataFr
 
     # the node at which each conversation ends, and one conversation per end without children
     last = blocks.groupBy("conv_id").agg(F.sum("n").alias("depth"), *[F.sum(f"s{k}").cast(_WIDE).alias(f"k{k}") for k in (1, 2)])
-    zero = F.lit(0).cast(_WIDE)
-    turnless = convs.join(last.select("conv_id"), "conv_id", "left_anti").select("conv_id", F.lit(0).cast("bigint").alias("depth"), zero.alias("k1"), zero.alias("k2"))
+    none = F.lit(0).cast(_WIDE)
+    turnless = convs.join(last.select("conv_id"), "conv_id", "left_anti").select("conv_id", F.lit(0).cast("bigint").alias("depth"), none.alias("k1"), none.alias("k2"))
     ends = stage_table(last.unionByName(turnless), "ends")
     leaves = ends.groupBy(*key).agg(F.min("conv_id").alias("conv_id")).join(children, key, "left_anti").select("conv_id", F.lit(1).cast("bigint").alias("leaf"), F.lit(0).cast("bigint").alias("owned"))
     weight = (F.col("n_convs") - 1) * F.col("chars")
@@ -221,15 +221,15 @@ def trie_nodes(turns: DataFrame, convs: DataFrame, block: int = BLOCK) -> DataFr
     found = stage_table(totals.where("depth > 0").groupBy(*key).agg(*ways), "node-facts")
 
     # the root has no turn: its members are all conversations, its sums are those of all members
-    everything = convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).where("n_convs > 0")
-    at_root = totals.where("depth = 0").agg(F.sum("n_children").alias("n_children"), F.max("ends_sha256").alias("ends_sha256"))
-    all_owned = per_conv.agg(F.sum("leaf").alias("n_leaves"), F.sum("owned").alias("owned"))
-    first = stage_table(everything, "root").select("conv_id", F.lit(0).cast("bigint").alias("depth"), F.lit(None).cast("bigint").alias("parent_conv_id"), "n_convs")
-    one = F.lit(1)
-    root = first.withColumn("__one", one).join(at_root.withColumn("__one", one), "__one").join(all_owned.withColumn("__one", one), "__one").drop("__one")
+    first = convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).where("n_convs > 0")
+    first = stage_table(first, "root")
+    root = first.unionByName(totals.where("depth = 0").select("n_children", "ends_sha256"), allowMissingColumns=True)
+    root = root.unionByName(per_conv.select(F.col("leaf").alias("n_leaves"), "owned"), allowMissingColumns=True)
+    root = root.agg(*[(F.sum if c in sums else F.max)(c).alias(c) for c in root.columns]).where("n_convs > 0")
+    root = root.withColumns({"depth": F.lit(0).cast("bigint"), "parent_conv_id": F.lit(None).cast("bigint")})
 
     parent = found.select((F.col("depth") + 1).alias("__d"), F.col("k1").alias("__p1"), F.col("k2").alias("__p2"), F.col("conv_id").alias("__above"))
-    roots = first.select(F.lit(1).cast("bigint").alias("__d"), zero.alias("__p1"), zero.alias("__p2"), F.col("conv_id").alias("__above"))
+    roots = first.select(F.lit(1).cast("bigint").alias("__d"), none.alias("__p1"), none.alias("__p2"), F.col("conv_id").alias("__above"))
     inner = (
         found.join(parent.unionByName(roots), (F.col("depth") == F.col("__d")) & (F.col("p1") == F.col("__p1")) & (F.col("p2") == F.col("__p2")))
         .join(own, ["conv_id", "depth"], "left")

@@ -112,7 +112,7 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
-    owner = F.col("conv_id") - F.col("conv_id") % 100
+    owner = F.col("conv_id") - F.pmod(F.col("conv_id"), F.lit(100))
     heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
     rebuilt, convs = prefix_trie.replace_heads(prefix_trie.numbered_turns(rows), owner, heads, most=5)
     return prefix_trie.trie_nodes(rebuilt, convs)
@@ -128,5 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_poisson_mix": oracles.MIX, "op6_setsketch": oracles.NEAR, "op7_hilbert_shards": oracles.shards(SHARDS),
-    "op10_positional_index": oracles.CONTAMINATED,
+    "op10_positional_index": oracles.CONTAMINATED, "op11_merkle_manifest": oracles.manifest(), "op12_chat_format": oracles.FORMATTED,
+    "op13_prefix_trie": oracles.trie(),
 }
