@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tradewind.operators.commerce import first_failure
-from tradewind.streaming.run import drain_batches, drain_with_earlier
+from tradewind.streaming.run import drain_batches
 
 # fixed values: the envelope of every event
 ENVELOPE = T.StructType(
@@ -39,24 +39,6 @@ def parse_envelope(messages: DataFrame, column: str = "value") -> DataFrame:
     return flat.select("message", *ENVELOPE.names, reason.alias("reject_reason"))
 
 
-def first_of_each(events: DataFrame, path: str, key: str = "event_id", time: str = "event_time") -> DataFrame:
-    """Run a stream and keep one row per event, however far apart its repeats arrive.
-
-    A repeat has the time of its event, so a batch is compared with the earlier
-    rows of the stretch of time that it covers, and with no others.
-    """
-
-    def part(batch: DataFrame, earlier: DataFrame | None) -> DataFrame:
-        once = batch.dropDuplicates([key])
-        if earlier is None:
-            return once
-        ends = batch.agg(F.min(time).alias("low"), F.max(time).alias("high")).first()
-        seen = earlier.where(F.col(time).between(ends["low"], ends["high"]) | F.col(time).isNull()).select(key)
-        return once.join(seen, key, "left_anti").select(*batch.columns)
-
-    return drain_with_earlier(events, path, part)
-
-
 def split_dead_letters(checked: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Run a stream of checked messages; returns (good events, dead letters) as written."""
     good, dead = os.path.join(path, "good"), os.path.join(path, "dead")
@@ -85,7 +67,7 @@ def route_late(events: DataFrame, path: str, delay: Column) -> DataFrame:
         before = _mark_before(spark, marks, batch_id)
         late = F.lit(False) if before is None else F.coalesce(F.col("event_time") < F.lit(before) - delay, F.lit(False))
         batch.withColumn("is_late", late).write.mode("overwrite").parquet(os.path.join(rows, f"batch_id={batch_id}"))
-        newest = batch.agg(F.max("event_time").alias("newest")).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        newest = batch.agg(F.greatest(F.max("event_time"), F.lit(before).cast("timestamp")).alias("newest"))
         newest.write.mode("overwrite").parquet(os.path.join(marks, f"b{batch_id}"))
 
     drain_batches(events, path, write)
@@ -96,8 +78,7 @@ def route_late(events: DataFrame, path: str, delay: Column) -> DataFrame:
 
 
 def _mark_before(spark: SparkSession, marks: str, batch_id: int):
-    """Newest event time of earlier batches: one row, the only value that reaches the driver."""
+    """Newest event time of the earlier batches: the one row that the batch before has left."""
     if batch_id == 0:
         return None
-    earlier = spark.read.schema("newest timestamp, batch bigint").parquet(os.path.join(marks, "b*"))
-    return earlier.where(F.col("batch") < batch_id).agg(F.max("newest")).first()[0]
+    return spark.read.schema("newest timestamp").parquet(os.path.join(marks, f"b{batch_id - 1}")).first()[0]

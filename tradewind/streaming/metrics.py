@@ -1,4 +1,4 @@
-"""Windowed metrics, running stock, bounded joins, and the comparison with a batch run."""
+"""Windowed metrics, running stock, and the comparison with a batch run."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tradewind.operators.inventory import STOCK_KEY, on_hand_effect
-from tradewind.streaming.run import drain_parts, drain_with_earlier
+from tradewind.streaming.run import drain_parts
 
 
 def windowed_metrics(events: DataFrame, length: str, slide: str | None = None) -> DataFrame:
@@ -59,45 +59,6 @@ def running_stock(moves: DataFrame) -> DataFrame:
     )
 
 
-def join_within(
-    orders: DataFrame, payments: DataFrame, path: str, order_time: str, payment_time: str, key: str, within: str
-) -> DataFrame:
-    """Run two streams and pair each order with its payments that come within a time after it, in whatever order they arrive.
-
-    Both sides run as one stream, so that a batch holds rows of either. What a
-    batch brings is kept, and it meets the earlier rows of the other side that
-    lie within the time of the batch.
-    """
-    left = F.struct(*[F.col(c) for c in orders.columns])
-    right = F.struct(*[F.col(c) for c in payments.columns])
-    sides = orders.select(left.alias("o")).unionByName(payments.select(right.alias("p")), allowMissingColumns=True)
-    condition = (
-        (F.col(f"o.{key}") == F.col(f"p.{key}"))
-        & (F.col(f"p.{payment_time}") >= F.col(f"o.{order_time}"))
-        & (F.col(f"p.{payment_time}") <= F.col(f"o.{order_time}") + F.expr(f"INTERVAL {within}"))
-    )
-
-    def of(rows: DataFrame, side: str) -> DataFrame:
-        return rows.where(F.col(side).isNotNull()).select(side)
-
-    def part(batch: DataFrame, earlier: DataFrame | None) -> DataFrame:
-        new_orders, new_payments = of(batch, "o"), of(batch, "p")
-        pairs = new_orders.join(new_payments, condition)
-        if earlier is not None:
-            kept = earlier.where("o IS NULL OR p IS NULL")
-            reach = batch.agg(
-                F.min(f"o.{order_time}").alias("o_low"), (F.max(f"o.{order_time}") + F.expr(f"INTERVAL {within}")).alias("o_high"),
-                (F.min(f"p.{payment_time}") - F.expr(f"INTERVAL {within}")).alias("p_low"), F.max(f"p.{payment_time}").alias("p_high"),
-            ).first()
-            old_payments = of(kept, "p").where(F.col(f"p.{payment_time}").between(reach["o_low"], reach["o_high"]))
-            old_orders = of(kept, "o").where(F.col(f"o.{order_time}").between(reach["p_low"], reach["p_high"]))
-            pairs = pairs.unionByName(new_orders.join(old_payments, condition)).unionByName(old_orders.join(new_payments, condition))
-        return batch.unionByName(pairs)
-
-    found = drain_with_earlier(sides, path, part).where("o IS NOT NULL AND p IS NOT NULL")
-    return found.select("o.*", *[F.col(f"p.{c}") for c in payments.columns if c != key])
-
-
 def parity(batch: DataFrame, stream: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The same metric from a batch and a stream run, side by side."""
     keys = list(keys)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.session import scratch_path
 from tradewind.sources.tables import latest_per_key
@@ -34,7 +38,7 @@ def drain_append(stream: DataFrame, path: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(os.path.join(path, "rows"))
 
 
-def drain_batches(stream: DataFrame, path: str, handle: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+def drain_batches(stream: DataFrame, path: str, handle: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
     """Process what is available, batch by batch, with a handler that must be repeatable for a batch id."""
     query = (
         stream.writeStream.outputMode(mode)
@@ -44,6 +48,7 @@ def drain_batches(stream: DataFrame, path: str, handle: Callable[[DataFrame, int
         .start()
     )
     query.awaitTermination()
+    return query
 
 
 def drain_updates(stream: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
@@ -69,23 +74,104 @@ def drain_parts(stream: DataFrame, path: str, part: Callable[[DataFrame], DataFr
     For results that can be put together from parts (sums, counts, sessions): no
     row is too late for its part, and a repeated batch replaces itself.
     """
-    return drain_with_earlier(stream, path, lambda batch, _: part(batch))
-
-
-def drain_with_earlier(stream: DataFrame, path: str, part: Callable[[DataFrame, DataFrame | None], DataFrame]) -> DataFrame:
-    """As `drain_parts`; `part` also sees what the earlier batches wrote (None for the first)."""
     rows = os.path.join(path, "parts")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        earlier = None
-        if batch_id > 0:
-            earlier = batch.sparkSession.read.parquet(rows).where(F.col("batch_id") < batch_id).drop("batch_id")
-        out = part(batch, earlier)
-        out.write.mode("overwrite").parquet(os.path.join(rows, f"batch_id={batch_id}"))
+        part(batch).write.mode("overwrite").parquet(os.path.join(rows, f"batch_id={batch_id}"))
 
     drain_batches(stream, path, write)
     return stream.sparkSession.read.parquet(rows).drop("batch_id")
 
 
+@dataclass
+class Drained:
+    """What a stateful run wrote: its rows, its late input rows by input, and the progress of its batches."""
+
+    rows: DataFrame
+    late: dict[str, DataFrame]
+    marks: DataFrame
+    progress: list
+
+    def watermark_ms(self) -> int:
+        """The last watermark, in milliseconds."""
+        return self.marks.agg(F.max("watermark")).first()[0] or 0
+
+    def state_rows(self) -> list[int]:
+        """Rows of state after each batch."""
+        return [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in self.progress]
+
+
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State outside the heap, with changes in the checkpoint: what large state and the state API need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
+def on_time(rows: DataFrame, time: str) -> DataFrame:
+    """Rows that have an event time; the others are late at once."""
+    return rows.where(F.col(time).isNotNull())
+
+
+def _is_late(time: Column, watermark: int) -> Column:
+    """As the engine tells late rows: not after the watermark, which has milliseconds."""
+    return F.coalesce(F.unix_micros(time) <= F.lit(watermark * 1000), F.lit(True))
+
+
+def drain_beside(result: DataFrame, inputs: Mapping[str, tuple[DataFrame, str, str]], path: str) -> Drained:
+    """Process what is available of a stateful `result`, and write its late input rows aside.
+
+    `inputs`: name to (stream, time column, delay), as `result` uses them. Results and input
+    rows run as one stream, so a batch holds both, and the watermark of a batch is known: it is that of
+    the input rows of the batches before, of which one row is kept per batch. The engine removes state by that
+    watermark and tells late rows by the one that the batch before used. A repeated batch replaces what it wrote.
+    """
+    spark = result.sparkSession
+    written, marks = os.path.join(path, "batches"), os.path.join(path, "marks")
+    both = result.select(F.struct(*result.columns).alias("result"))
+    for name, (stream, _, _) in inputs.items():
+        both = both.unionByName(stream.select(F.struct(*stream.columns).alias(name)), allowMissingColumns=True)
+    newest_ddl = ", ".join(f"{name} bigint" for name in inputs) + ", watermark bigint, used bigint"
+    delays = {name: _delay_ms(spark, delay) for name, (_, _, delay) in inputs.items()}
+    times = {name: F.col(f"{name}.{time}") for name, (_, time, _) in inputs.items()}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        before = dict.fromkeys([*inputs, "watermark", "used"], None)
+        if batch_id > 0:
+            before = session.read.schema(newest_ddl).parquet(os.path.join(marks, f"b{batch_id - 1}")).first().asDict()
+        kept = F.col("result").isNotNull()
+        for name, time in times.items():
+            kept = kept | (F.col(name).isNotNull() & _is_late(time, before["used"] or 0))
+        # one job: a second one would run the batch, and its state, again
+        seen = Observation()
+        watched = batch.observe(seen, *[F.max(F.unix_millis(time)).alias(name) for name, time in times.items()])
+        watched.where(kept).write.mode("overwrite").parquet(os.path.join(written, f"batch_id={batch_id}"))
+        newest = {name: max((x for x in (before[name], seen.get[name]) if x is not None), default=None) for name in inputs}
+        reached = [newest[name] - delays[name] for name in inputs if newest[name] is not None]
+        after = max(min(reached), before["watermark"] or 0, 0) if len(reached) == len(inputs) else before["watermark"]
+        session.createDataFrame([(*newest.values(), after, before["watermark"])], newest_ddl).coalesce(1).write.mode("overwrite").parquet(os.path.join(marks, f"b{batch_id}"))
+
+    with state_in_rocksdb(spark):
+        query = drain_batches(both, path, write)
+    rows = spark.read.schema(both.schema).parquet(written)
+    kept_rows = {name: rows.where(F.col(name).isNotNull()).select(f"{name}.*") for name in ("result", *inputs)}
+    found = kept_rows.pop("result")
+    return Drained(found, kept_rows, spark.read.schema(newest_ddl).parquet(os.path.join(marks, "b*")), [_plain(p) for p in query.recentProgress])
+
+
+def _delay_ms(spark: SparkSession, delay: str) -> int:
+    return spark.range(1).select(F.unix_millis(F.timestamp_millis(F.lit(0)) + F.expr(f"INTERVAL {delay}"))).first()[0]
+
+
+def _plain(progress) -> dict:
+    return progress if isinstance(progress, dict) else json.loads(progress.json)
+
+
 def new_run(spark: SparkSession, label: str) -> str:
     return scratch_path(spark, f"stream-{label}")
