@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import functions as F, types as T
 
@@ -13,9 +15,11 @@ from catalog.star import AS_OF, warehouse
 from tradewind import contracts
 from tradewind.operators import health, history, quality, scenarios
 from tradewind.operators.logistics import number_attempts
+from tradewind.operators.marts import mart_daily_sales, mart_top_products
 from tradewind.plans import layers, refresh
+from tradewind.plans.warehouse import MODELS, Warehouse
 from tradewind.session import scratch_path, stage_table
-from tradewind.sources import files, payloads, tables
+from tradewind.sources import files, incremental, payloads, tables
 from tradewind.sources.bindings import Canonical
 
 # --- what the quality rules look at: tables by name, and the SQL definition that stands for each
@@ -241,13 +245,63 @@ def _cdc(c: Canonical):
     return history.apply_cdc(stored, _changes(c), ["order_id"], "version")
 
 
+def _stored_mark(c: Canonical):
+    """Orders as they grow, in three runs and a fourth that finds nothing; the second one is tried twice, since its first try is refused before the commit."""
+    store = incremental.ExtractStore(c.spark, scratch_path(c.spark, "extracts"), "order_date", ["order_id"])
+    orders = c.sales_orders.select("order_id", "order_date", "order_status")
+    overdue = (F.col("order_id") % 50 == 3) & F.col("order_date").between("1996-12-12", "1997-01-01")
+    now = [orders.where((F.col("order_date") <= "1997-01-01") & ~overdue), orders.where("order_date <= '1999-01-01'"), orders, orders]
+
+    def refuse() -> None:
+        raise InterruptedError("refused before the commit")
+
+    for number, source in enumerate(now):
+        if number == 1:
+            try:
+                store.extract(source, "30 DAYS", before_commit=refuse)
+            except InterruptedError:
+                store.remove_uncommitted()
+        store.extract(source, "30 DAYS")
+    return store.read()
+
+
 def _incremental_mart(c: Canonical):
-    from tradewind.operators.marts import mart_daily_sales
+    """The daily mart by month: built without some late sales of 2001, then refreshed in the months that they touch."""
+    path = scratch_path(c.spark, "daily-mart")
+    month = lambda df: df.withColumn("month", F.date_format("date_key", "yyyy-MM"))
+    sales = stage_table(month(warehouse(c).fact_sales_order_lines.select("sales_order_key", "date_key", "quantity", "net_amount", "gross_margin_amount")), "sales", ["month"])
+    late = sales.where("sales_order_key % 100 = 7 AND date_key >= '2001-01-01'")
+    before = sales.where("NOT (sales_order_key % 100 = 7 AND date_key >= '2001-01-01')")
+    month(mart_daily_sales(before)).write.partitionBy("month").parquet(path)
+    history.refresh_partitions(path, sales, late, lambda df: df if "month" in df.columns else month(df), "month", mart_daily_sales)
+    return c.spark.read.parquet(path).drop("month")
+
+
+class _BrokenWarehouse(Warehouse):
+    """A warehouse of which one mart fails while it is written."""
 
-    sales = warehouse(c).fact_sales_order_lines
-    late = sales.where("sales_order_key % 100 = 7")
-    stored = mart_daily_sales(sales.where("sales_order_key % 100 <> 7"))
-    return history.refresh_groups(stored, sales, late, ["date_key"], mart_daily_sales)
+    @cached_property
+    def mart_top_products(self):
+        return mart_top_products(self.fact_sales_order_lines, self.dim_product).where(F.assert_true(F.lit(False), "broken model").isNull())
+
+
+def _refresh_metrics(c: Canonical):
+    """A good refresh and, thirty hours later, a broken one: what their logs say about each model."""
+    root, as_of = scratch_path(c.spark, "refresh"), F.lit(AS_OF).cast("date")
+    c = c.with_lines_staged()
+    refresh.full_refresh(c, root, "run-1", as_of, ["customers", "products"], at=datetime(2001, 8, 1))
+    try:
+        refresh.full_refresh(c, root, "run-2", as_of, ["customers"], _BrokenWarehouse, at=datetime(2001, 8, 2, 6))
+    except refresh.RefreshFailed:
+        pass
+    log = refresh.run_history(c.spark, root).where(F.col("pipeline_name").isin(*MODELS))
+    good = log.where("status = 'SUCCESS'").groupBy("pipeline_name").agg(F.max_by("row_count", "completed_at").alias("row_count"), F.max("null_keys").alias("null_keys"))
+    failed = log.where("status = 'FAILED'").groupBy(F.col("pipeline_name").alias("mart_name")).agg(F.count("*").alias("failed_checks"))
+    marts = good.select(F.col("pipeline_name").alias("mart_name"), "pipeline_name", "row_count")
+    fresh = health.mart_freshness(marts, log, failed, F.lit("2001-08-02 06:00:00").cast("timestamp"), 24)
+    latest = refresh.latest_runs(c.spark, root).select(F.col("pipeline_name"), F.col("status").alias("last_status"))
+    metrics = health.run_metrics(log).select("pipeline_name", "runs", "failed_runs")
+    return fresh.join(metrics, "pipeline_name").join(good.select("pipeline_name", "null_keys"), "pipeline_name").join(latest, "pipeline_name")
 
 
 def _medallion(c: Canonical):
@@ -437,6 +491,12 @@ QUERIES: dict[str, Query] = {
         "order_id:i order_date:d order_status:s",
         "SELECT * FROM sales_orders WHERE order_date > DATE '2000-01-01' AND order_date <= DATE '2001-01-01'",
     ),
+    "x01_stored_mark": Query(
+        _stored_mark, "order_id:i order_date:d order_status:s version:i",
+        """SELECT order_id, order_date, order_status, CASE WHEN order_date <= DATE '1997-01-01'
+        AND NOT (order_id % 50 = 3 AND order_date BETWEEN DATE '1996-12-12' AND DATE '1997-01-01') THEN 1
+        WHEN order_date <= DATE '1999-01-01' THEN 2 ELSE 3 END AS version FROM sales_orders""",
+    ),
     "x02_apply_cdc": Query(
         _cdc, "order_id:i version:s value:n",
         """SELECT order_id, CASE WHEN newer THEN new_version ELSE old_version END AS version, CASE WHEN newer THEN value ELSE 0 END AS value FROM
@@ -495,6 +555,16 @@ QUERIES: dict[str, Query] = {
         UNION ALL SELECT pipeline_name, 'stale' FROM {_METRICS} WHERE date_diff('millisecond', last_success_at, TIMESTAMP '{_NOW}') >= 3 * 3600000
         UNION ALL SELECT pipeline_name, 'sla_failure_rate' FROM {_METRICS} WHERE failure_rate > 0.2""",
     ),
+    "x12_refresh_metrics": Query(
+        _refresh_metrics, "mart_name:s row_count:i runs:i failed_runs:i null_keys:i last_status:s age_hours:i freshness:s",
+        "(" + " UNION ALL ".join(
+            f"SELECT '{m}' AS mart_name, count(*) AS row_count, {1 if m == 'mart_inventory_alerts' else 2} AS runs, {int(m == 'mart_top_products')} AS failed_runs, "
+            f"0 AS null_keys, '{'FAILED' if m == 'mart_top_products' else 'SUCCESS'}' AS last_status, "
+            f"{30 if m in ('mart_top_products', 'mart_inventory_alerts') else 0} AS age_hours, "
+            f"'{'stale' if m in ('mart_top_products', 'mart_inventory_alerts') else 'fresh'}' AS freshness FROM {source}"
+            for m, source in _MODEL_SQL.items()
+        ) + ")",
+    ),
     "x13_mart_freshness": Query(
         _freshness, "mart_name:s pipeline_name:s row_count:i age_hours:i failed_checks:i freshness:s",
         f"""SELECT 'mart-' || pipeline_name AS mart_name, pipeline_name, rows AS row_count,

@@ -221,7 +221,7 @@ QUERIES: dict[str, Query] = {
     ),
     "k06_stock_events": Query(
         lambda c: _stock_events(c).withColumn("happened_on", F.col("at").cast("date")), "warehouse_id:i product_id:i kind:s happened_on:d on_hand:n moves:i",
-        f"""WITH m AS ({_TIMED_MOVES}),
+        f"""SELECT * FROM (WITH m AS ({_TIMED_MOVES}),
         gaps AS (SELECT *, CASE WHEN moved_at - lag(moved_at) OVER w <= INTERVAL 300 DAY THEN 0 ELSE 1 END AS opens, lead(moved_at) OVER w AS next_at
             FROM m WINDOW w AS (PARTITION BY warehouse_id, product_id ORDER BY moved_at, move_id)),
         runs AS (SELECT *, sum(opens) OVER (PARTITION BY warehouse_id, product_id ORDER BY moved_at, move_id ROWS UNBOUNDED PRECEDING) AS run FROM gaps),
@@ -229,7 +229,7 @@ QUERIES: dict[str, Query] = {
             WINDOW w AS (PARTITION BY warehouse_id, product_id, run ORDER BY moved_at, move_id ROWS UNBOUNDED PRECEDING))
         SELECT warehouse_id, product_id, 'negative' AS kind, CAST(moved_at AS DATE) AS happened_on, on_hand, moves FROM sums WHERE on_hand < 0 AND on_hand - change >= 0
         UNION ALL SELECT warehouse_id, product_id, 'settled', CAST(moved_at AS DATE), on_hand, moves FROM sums
-        WHERE next_at - moved_at > INTERVAL 300 DAY OR (next_at IS NULL AND moved_at + INTERVAL 300 DAY < (SELECT max(moved_at) FROM m) - INTERVAL 10 DAY)""",
+        WHERE next_at - moved_at > INTERVAL 300 DAY OR (next_at IS NULL AND moved_at + INTERVAL 300 DAY < (SELECT max(moved_at) FROM m) - INTERVAL 10 DAY))""",
     ),
     "k08_batch_stream_parity": Query(
         lambda c: _times(_parity(c), "window_start"), "window_start:s event_type:s batch_value:n stream_value:n is_equal:b",

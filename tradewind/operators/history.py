@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tradewind.session import discard, remove_staged, stage_table
 from tradewind.sources.tables import latest_per_key
 
 
@@ -15,9 +16,9 @@ def incremental_extract(source: DataFrame, column: str, after: Column, up_to: Co
     return rows if up_to is None else rows.where(F.col(column) <= up_to)
 
 
-def high_water_mark(rows: DataFrame, column: str, default: Column) -> DataFrame:
-    """One row: the mark to store after a run; the old one when the run found nothing."""
-    return rows.agg(F.coalesce(F.max(column), default).alias("high_water_mark"))
+def high_water_mark(column: str, old: Column) -> Column:
+    """The mark to store after a run, as an aggregate over its rows; the old one when the run found none that is newer."""
+    return F.greatest(F.max(column), old)
 
 
 def apply_cdc(
@@ -57,6 +58,32 @@ def overwrite_groups(rebuilt: DataFrame, path: str, partition_by: Sequence[str])
     rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def refresh_partitions(
+    path: str, facts: DataFrame, changed: DataFrame, partition: Callable[[DataFrame], DataFrame], by: str,
+    build: Callable[[DataFrame], DataFrame],
+) -> list:
+    """Build the partitions anew that `changed` facts touch, and overwrite these only; returns the touched values of `by`.
+
+    `partition` adds the column `by` to facts and to the mart. The mart's partitions must be
+    made of whole groups of `build`. Facts of other partitions are not read when the facts are stored by `by`, and no file of
+    other partitions is written. A partition whose facts are all gone is removed.
+    """
+    touched = [r[0] for r in partition(changed).select(by).distinct().collect()]  # one value per partition
+    if not touched:
+        return []
+    within = F.col(by).isin([t for t in touched if t is not None])
+    if None in touched:
+        within = within | F.col(by).isNull()
+    rebuilt = stage_table(partition(build(partition(facts).where(F.coalesce(within, F.lit(False))).drop(by))), "rebuilt")
+    overwrite_groups(rebuilt.hint("rebalance", by), path, [by])
+    left = {r[0] for r in rebuilt.select(by).distinct().collect()}
+    for value in touched:
+        if value not in left:
+            remove_staged(facts.sparkSession, f"{path}/{by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+    discard(rebuilt)
+    return touched
+
+
 def scd2_build(changes: DataFrame, key: str, day: str, sequence: str, attributes: Sequence[str]) -> DataFrame:
     """Versions with valid_from, valid_to (exclusive, NULL while current), is_current and a surrogate key.
 
