@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import cached_property
 
@@ -89,25 +88,12 @@ _KEYS = [
 _REFS = [r for r in contracts.REFERENCES if r[0] in CHECKED and r[2] in CHECKED]
 
 
-_MASTERS = {"companies", "branches", "warehouses", "sales_channels", "carriers", "customer_segments", "customers", "product_categories", "products", "promotions"}
-
-
-def _staged(c: Canonical) -> dict:
-    """The checked tables, each derived one written once, because several checks read it from either side."""
-    have = _checked(c.with_lines_staged())
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        copies = {name: pool.submit(stage_table, df, f"checked-{name}") for name, df in have.items() if name not in _MASTERS}
-        return have | {name: copy.result() for name, copy in copies.items()}
-
-
 def _unique(c: Canonical):
-    have = _staged(c)
-    return quality.union_all([quality.check_unique(t, have[t], k) for t, k in _KEYS])
+    return quality.check_keys(_checked(c.with_lines_staged()), _KEYS)
 
 
 def _references(c: Canonical):
-    have = _staged(c)
-    return quality.union_all([quality.check_reference(t, col, have[t], have[p], pc) for t, col, p, pc in _REFS])
+    return quality.check_references(_checked(c.with_lines_staged()), _REFS)
 
 
 _UNIQUE_SQL = " UNION ALL ".join(
