@@ -76,6 +76,27 @@ def _basket(item: str, support: str):
     return Query(build, "item_a:s item_b:s together:i support:n confidence_ab:n confidence_ba:n lift:n", f"SELECT * FROM {body}")
 
 
+def _rules(item: str, support: str, size: int):
+    def build(c: Canonical):
+        items = c.products.select("product_id", "sku", "brand")
+        return products.basket_rules(c.sales_order_lines.join(items, "product_id"), item, support, size)
+
+    joins, sets = "b x1", []
+    for k in range(1, size + 1):
+        if k > 1:
+            joins += f" JOIN b x{k} ON x{k}.order_id = x1.order_id AND x{k}.item > x{k - 1}.item"
+        names = ", ".join(f"x{j}.item" for j in range(1, k + 1))
+        sets.append(f"SELECT [{names}] AS items, count(*) AS together FROM {joins} GROUP BY ALL HAVING count(*) >= (SELECT need FROM n)")
+    body = f"""(WITH b AS (SELECT DISTINCT order_id, {item} AS item FROM sales_order_lines l JOIN products p ON p.product_id = l.product_id),
+      n AS (SELECT count(DISTINCT order_id) AS n, greatest(ceil(count(DISTINCT order_id) * {support}), 1) AS need FROM b),
+      s AS ({' UNION ALL '.join(sets)}),
+      r AS (SELECT together, consequent, list_filter(items, lambda x: x <> consequent) AS lhs FROM (SELECT *, unnest(items) AS consequent FROM s WHERE len(items) > 1))
+      SELECT array_to_string(lhs, ',') AS items, consequent, r.together, {ratio('r.together', 'n', 6)} AS support, {ratio('r.together', 'g.together', 4)} AS confidence,
+        {ratio('r.together * n', 'g.together * f.together', 4)} AS lift
+      FROM r JOIN s g ON g.items = lhs JOIN s f ON f.items = [consequent], n)"""
+    return Query(build, "items:s consequent:s together:i support:n confidence:n lift:n", f"SELECT * FROM {body}")
+
+
 def _versions(c: Canonical):
     """Each order tells the channel its customer uses from that day on."""
     return history.scd2_build(c.sales_orders, "customer_id", "order_date", "order_id", ["channel_id"])
@@ -115,6 +136,7 @@ QUERIES: dict[str, Query] = {
     ),
     "b03_market_basket_brand": _basket("brand", "0.01"),
     "b03_market_basket_sku": _basket("sku", "0.0002"),
+    "b03_basket_rules": _rules("brand", "0.001", 4),
     "b04_purchase_cycle_churn": Query(
         lambda c: products.purchase_cycle(c.sales_orders, _as_of()),
         "customer_id:i order_days:i first_day:d last_day:d avg_cycle_days:n days_silent:i churn_status:s",

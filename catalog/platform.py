@@ -18,7 +18,7 @@ from tradewind.operators.marts import mart_daily_sales, mart_top_products
 from tradewind.plans import layers, refresh
 from tradewind.plans.warehouse import MODELS, Warehouse
 from tradewind.session import scratch_path, stage_table
-from tradewind.sources import files, incremental, payloads, tables
+from tradewind.sources import files, incremental, pages, payloads, tables
 from tradewind.sources.bindings import Canonical
 
 # --- what the quality rules look at: tables by name, and the SQL definition that stands for each
@@ -338,7 +338,7 @@ def _file_ingest(c: Canonical):
     )
 
 
-def _broken_documents(c: Canonical):
+def _document_texts(c: Canonical):
     """Event documents, some cut off, some with a field that the schema knows and one that it does not, some of another type."""
     number = F.get_json_object("props", "$.k")
     text = (
@@ -347,11 +347,49 @@ def _broken_documents(c: Canonical):
         .when(F.col("event_id") % 33 == 2, F.lit('{"k": "many"}'))
         .otherwise(F.col("props"))
     )
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("extra", T.StringType())])
-    parsed = payloads.parse_documents(c.raw("events").select("event_id", text.alias("props")), "props", schema)
+    return c.raw("events").select("event_id", F.col("event_type").alias("source_system"), (F.col("event_id") % 2 + 1).alias("version"), text.alias("props"))
+
+
+_DOCUMENT = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("extra", T.StringType())])
+
+
+def _broken_documents(c: Canonical):
+    parsed = payloads.parse_documents(_document_texts(c).select("event_id", "props"), "props", _DOCUMENT)
     return parsed.withColumn("is_broken", F.col("_corrupt_record").isNotNull())
 
 
+def _open_documents(c: Canonical):
+    opened = payloads.open_documents(_document_texts(c).select("event_id", "props"), "props", _DOCUMENT)
+    return opened.withColumn("is_broken", F.col("_corrupt_record").isNotNull())
+
+
+_PAGE_ROWS = "event_id bigint, version int, value decimal(18,2)"
+
+
+def _page_ingest(c: Canonical):
+    """Events as pages of five hundred ids: some come again on the next page, some there in a second version. The first run
+    meets a torn page and stops before it; the second one goes on from there."""
+    root = scratch_path(c.spark, "pages")
+    path, target = f"{root}/in", f"{root}/out"
+    page = F.expr("event_id div 500")
+    events = c.events.select("event_id", F.lit(1).alias("version"), "value", page.alias("number"))
+    again = events.where("event_id % 7 = 0").withColumn("number", F.col("number") + 1)
+    second = events.where("event_id % 5 = 0").select("event_id", F.lit(2).alias("version"), (F.col("value") * 2).cast("decimal(18,2)").alias("value"), F.col("number") + 1)
+    # numbers without gaps, however the ids lie
+    rows = stage_table(events.unionByName(again).union(second), "page-rows")
+    numbers = rows.select("number").distinct().agg(F.sort_array(F.collect_list("number")).alias("numbers"))  # one per page
+    known = stage_table(numbers.select(F.posexplode("numbers").alias("page", "number")), "page-numbers")
+    pages.write_pages(rows.join(known, "number").drop("number"), path, "page")
+    torn = known.agg(F.max("page")).first()[0]
+    latest = None
+    if torn is not None:
+        held = pages.tear_page(path, torn // 2)
+        pages.ingest_pages(c.spark, path, target, _PAGE_ROWS, ["event_id"], ["version"])
+        pages.mend_page(path, torn // 2, held)
+    latest, cursor = pages.ingest_pages(c.spark, path, target, _PAGE_ROWS, ["event_id"], ["version"])
+    return latest.join(cursor.select(F.col("cursor").alias("next_page"), F.lit(1).alias("one")), F.lit(1) == F.col("one")).drop("one")
+
+
 def _snapshots(c: Canonical):
     docs = c.raw("documents")
     before = docs.where("doc_id % 7 <> 0").select("doc_id", F.md5("text").alias("fingerprint"))
@@ -512,6 +550,26 @@ QUERIES: dict[str, Query] = {
         CASE WHEN event_id % 15 = 1 AND event_id % 20 <> 0 THEN 'more' END AS extra,
         event_id % 20 = 0 OR (event_id % 33 = 2 AND event_id % 15 <> 1) AS is_broken FROM event_rows""",
     ),
+    "x08_open_documents": Query(
+        _open_documents, "event_id:i k:i extra:s unknown_fields:s mismatched:s is_broken:b",
+        """SELECT event_id, CASE WHEN NOT (event_id % 20 = 0 OR (event_id % 33 = 2 AND event_id % 15 <> 1)) THEN key END AS k,
+        CASE WHEN event_id % 15 = 1 AND event_id % 20 <> 0 THEN 'more' END AS extra, CASE WHEN event_id % 15 = 1 AND event_id % 20 <> 0 THEN '{"new":[1]}' END AS unknown_fields,
+        CASE WHEN event_id % 33 = 2 AND event_id % 15 <> 1 AND event_id % 20 <> 0 THEN '{"k":"many"}' END AS mismatched, event_id % 20 = 0 AS is_broken FROM event_rows""",
+    ),
+    "x08_document_drift": Query(
+        lambda c: payloads.document_drift(_document_texts(c), "props", _DOCUMENT, ["source_system", "version"]),
+        "source_system:s version:i field:s kind:s observed_type:s documents:i",
+        """SELECT event_type AS source_system, event_id % 2 + 1 AS version, 'new' AS field, 'new_field' AS kind, 'ARRAY<BIGINT>' AS observed_type, count(*) AS documents
+        FROM event_rows WHERE event_id % 15 = 1 AND event_id % 20 <> 0 GROUP BY ALL
+        UNION ALL SELECT event_type, event_id % 2 + 1, 'k', 'type_changed', 'STRING', count(*) FROM event_rows
+        WHERE event_id % 33 = 2 AND event_id % 15 <> 1 AND event_id % 20 <> 0 GROUP BY ALL""",
+    ),
+    "x09_page_ingest": Query(
+        _page_ingest, "event_id:i version:i value:n next_page:i",
+        """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 2 ELSE 1 END AS version, value * CASE WHEN event_id % 5 = 0 THEN 2 ELSE 1 END AS value,
+        (SELECT count(*) FROM (SELECT event_id // 500 FROM event_rows UNION SELECT event_id // 500 + 1 FROM event_rows WHERE event_id % 5 = 0 OR event_id % 7 = 0)) AS next_page
+        FROM event_rows""",
+    ),
     "x09_page_dedupe": Query(
         lambda c: payloads.dedupe_pages(c.events.select("user_id", "event_type", "key", "event_time", "event_id", "value"), ["user_id", "event_type", "key"], ["event_time", "event_id"]),
         "user_id:i event_type:s key:i event_id:i value:n",

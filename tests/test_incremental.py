@@ -5,11 +5,12 @@ from datetime import date, datetime
 from functools import cached_property
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tradewind.operators import history
 from tradewind.plans import refresh
 from tradewind.plans.warehouse import MODELS, Warehouse
+from tradewind.sources import pages, payloads
 from tradewind.sources.bindings import Canonical
 from tradewind.sources.incremental import ExtractStore, LostRace
 
@@ -147,3 +148,77 @@ def test_tables_are_copied_after_those_that_they_refer_to():
     waves = refresh.source_waves(["payments", "invoices", "sales_orders", "customers", "carriers"])
     at = {name: k for k, wave in enumerate(waves) for name in wave}
     assert at["customers"] < at["sales_orders"] < at["invoices"] < at["payments"] and at["carriers"] == 0
+
+
+def pages_of(spark):
+    rows = [(k, 1, k // 10) for k in range(95)] + [(k, 1, k // 10 + 1) for k in range(0, 95, 7)] + [(k, 2, k // 10 + 1) for k in range(0, 95, 5)]
+    return spark.createDataFrame(rows, "event_id bigint, version int, page bigint")
+
+
+PAGE_ROWS = "event_id bigint, version int"
+
+
+def test_pages_are_read_once_and_torn_ones_later(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = pages_of(spark)
+    pages.write_pages(rows.where("page < 8"), path, "page")
+    held = pages.tear_page(path, 4)
+    ingest = lambda: pages.ingest_pages(spark, path, out, PAGE_ROWS, ["event_id"], ["version"], pagesPerTask="2")
+    latest, cursor = ingest()
+    assert cursor.first().cursor == 4 and {r.event_id for r in latest.collect()} == {r.event_id for r in rows.where("page < 4").collect()}
+    latest, cursor = ingest()
+    assert cursor.first().cursor == 4  # still torn
+    pages.mend_page(path, 4, held)
+    pages.write_pages(rows.where("page = 9"), path, "page")
+    latest, cursor = ingest()
+    assert cursor.first().cursor == 8  # page 8 is missing, page 9 waits
+    pages.write_pages(rows.where("page = 8 OR page > 9"), path, "page")
+    latest, cursor = ingest()
+    assert cursor.first().cursor == 11
+    assert sorted((r.event_id, r.version) for r in latest.collect()) == [(k, 2 if k % 5 == 0 else 1) for k in range(95)]
+    # each page was read once
+    assert spark.read.parquet(f"{out}/rows").count() == rows.count()
+
+
+def test_pages_with_strange_lines(spark, tmp_path):
+    folder = tmp_path / "in" / "page=0"
+    folder.mkdir(parents=True)
+    (folder / "part-0.txt").write_text('{"event_id": 1, "version": 1}\n\nno json\n{"event_id": 2}\n{"end": 3}\n')
+    latest, cursor = pages.ingest_pages(spark, str(tmp_path / "in"), str(tmp_path / "out"), PAGE_ROWS, ["event_id"], ["version"])
+    assert sorted(((r.event_id, r.version) for r in latest.collect()), key=repr) == [(1, 1), (2, None), (None, None)] and cursor.first().cursor == 1
+    assert not pages.is_whole(str(tmp_path / "in"), 1)
+
+
+def test_documents_lose_nothing(spark):
+    texts = ['{"k": 5, "new": [1], "x": {"y": null}}', '{"k": "many"}', "{bro", "[1]", None, '{"k": null}', '{"k": 3.0, "k.2": 1}', "{}", '{"k": "7", "s": 4}', '{"s": {"t": 1}}']
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, body string")
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("s", T.StringType())])
+    got = {r.id: tuple(r)[1:] for r in payloads.open_documents(docs, "body", schema).collect()}
+    assert got == {
+        0: (5, None, '{"new":[1],"x":{"y":null}}', None, None), 1: (None, None, None, '{"k":"many"}', None), 2: (None, None, None, None, "{bro"),
+        3: (None, None, None, None, "[1]"), 4: (None, None, None, None, None), 5: (None, None, None, None, None), 6: (3, None, '{"k.2":1}', None, None),
+        7: (None, None, None, None, None), 8: (7, "4", None, '{"k":"7","s":4}', None), 9: (None, '{"t":1}', None, '{"s":{"t":1}}', None),
+    }
+    drift = payloads.document_drift(docs.withColumn("source", F.lit("a")), "body", schema, ["source"])
+    assert sorted((r.field, r.kind, r.observed_type, r.documents) for r in drift.collect()) == [
+        ("k", "type_changed", "STRING", 2), ("k.2", "new_field", "BIGINT", 1), ("new", "new_field", "ARRAY<BIGINT>", 1),
+        ("s", "type_changed", "BIGINT", 1), ("s", "type_changed", "OBJECT<t: BIGINT>", 1), ("x", "new_field", "OBJECT<y: VOID>", 1),
+    ]
+
+
+def test_item_sets_and_rules(spark):
+    from collections import Counter
+    from itertools import combinations
+
+    from tradewind.operators import products
+
+    baskets = {o: {f"i{(o * s) % 11:02}" for s in (1, 2, 3, 5)} | {"hot"} for o in range(120)}
+    lines = spark.createDataFrame([(o, i) for o, items in baskets.items() for i in sorted(items) for _ in range(2)] + [(500, None)], "order_id int, sku string")
+    levels, _ = products.item_sets(lines, "sku", "0.08", 4)
+    got = {tuple(r["items"]): r.together for level in levels for r in level.collect()}
+    want = Counter(c for items in baskets.values() for n in range(1, 5) for c in combinations(sorted(items), n))
+    assert got == {c: n for c, n in want.items() if n >= 10} and {len(c) for c in got} == {1, 2, 3, 4}
+    rules = {(r["items"], r.consequent): float(r.confidence) for r in products.basket_rules(lines, "sku", "0.08", 3).collect()}
+    some = next(c for c in got if len(c) == 3)
+    assert rules[f"{some[0]},{some[1]}", some[2]] == round(got[some] / got[some[:2]] + 1e-12, 4)
+    assert products.item_sets(lines.limit(0), "sku", "0.1")[0][0].isEmpty()

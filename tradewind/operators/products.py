@@ -7,6 +7,7 @@ per key and calendar day; cubes and rollups run over such reduced rows too.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -109,6 +110,74 @@ def market_basket(lines: DataFrame, item: str, min_support: str) -> DataFrame:
     )
 
 
+def item_sets(lines: DataFrame, item: str, min_support: str, max_size: int = 4) -> tuple[list[DataFrame], Column]:
+    """Sets of one to `max_size` items bought together in at least a `min_support` share of the orders.
+
+    Level by level: `items` (ascending) and `together` per size, and the number of orders. A set of k items can only
+    be that frequent if all its subsets are, so level k is made of two sets of level k - 1 in one order that
+    share all but their last item, and only of those whose other subsets are frequent too. What is joined
+    is keyed by (order, shared items): an item that stands in a third of all orders is spread
+    over them, and orders leave as soon as they hold no frequent set of a level. Baskets of very many frequent
+    items cost their pairs; raise the support for those.
+    """
+    baskets = stage_table(lines.select("order_id", F.col(item).alias("item")).where("item IS NOT NULL").distinct(), "baskets")
+    orders = baskets.select("order_id").distinct().agg(F.count("*").alias("n")).scalar()
+    threshold = F.greatest(F.ceil(orders * F.lit(min_support).cast("decimal(12,10)")), F.lit(1))
+
+    def frequent(found: DataFrame) -> DataFrame:
+        return stage_table(found.groupBy("items").agg(F.count("*").alias("together")).where(F.col("together") >= threshold), "item-sets")
+
+    held = baskets.select("order_id", F.array("item").alias("items"))
+    levels = [frequent(held)]
+    for size in range(2, max_size + 1):
+        known = levels[-1].select("items")
+        shared = F.slice("items", 1, size - 2) if size > 2 else F.array().cast(held.schema["items"].dataType)
+        last = F.element_at("items", -1)
+
+        def pairs(sets: DataFrame, *keys: str) -> DataFrame:
+            left = sets.select(*keys, shared.alias("shared"), last.alias("a"))
+            right = sets.select(*keys, shared.alias("shared"), last.alias("b"))
+            joined = left.join(right, [*keys, "shared"]).where("a < b")
+            return joined.select(*keys, F.concat("shared", F.array("a", "b")).alias("items"))
+
+        kept = held.join(known, "items", "left_semi")
+        if size == 2:
+            found = pairs(kept, "order_id")
+        else:
+            # candidates: all subsets without one item are frequent
+            asked = pairs(known)
+            subsets = F.transform(F.sequence(F.lit(1), F.lit(size)), lambda k: F.filter("items", lambda x, i: i != k - 1))
+            parts = asked.withColumn("__subset", F.explode(subsets)).join(known.withColumnRenamed("items", "__subset"), "__subset", "left_semi")
+            candidates = stage_table(parts.groupBy("items").agg(F.count("*").alias("n")).where(F.col("n") == size).select("items"), "candidates")
+            found = pairs(kept, "order_id").join(candidates, "items", "left_semi")
+        held = stage_table(found, "held-sets")
+        level = frequent(held)
+        if level.isEmpty():
+            break
+        levels.append(level)
+    return levels, orders
+
+
+def basket_rules(lines: DataFrame, item: str, min_support: str, max_size: int = 4) -> DataFrame:
+    """Rules `if all of these, then that`: `items` on the left (one or more, joined by commas), `consequent`, and their measures."""
+    levels, orders = item_sets(lines, item, min_support, max_size)
+    all_sets = reduce(DataFrame.unionByName, levels)
+    split = all_sets.where("size(items) > 1").select("items", "together", F.explode("items").alias("consequent"))
+    split = split.withColumn("left", F.filter("items", lambda x: x != F.col("consequent")))
+    given = all_sets.select(F.col("items").alias("left"), F.col("together").alias("with_left"))
+    single = levels[0].select(F.col("items")[0].alias("consequent"), F.col("together").alias("with_consequent"))
+    wide = lambda c: c.cast(WIDE)
+    return split.join(given, "left").join(single, "consequent").select(
+        F.array_join("left", ",").alias("items"), "consequent", "together",
+        exact_ratio(wide(F.col("together")), wide(orders), 6).alias("support"),
+        _share("together", "with_left").alias("confidence"),
+        exact_ratio(
+            F.col("together").cast("decimal(14,0)") * orders.cast("decimal(12,0)"),
+            F.col("with_left").cast("decimal(14,0)") * F.col("with_consequent").cast("decimal(12,0)"), 4,
+        ).alias("lift"),
+    )
+
+
 def purchase_cycle(orders: DataFrame, as_of: Column) -> DataFrame:
     """Mean days between order days per customer, and who has been silent too long for that cycle.
 
