@@ -159,6 +159,27 @@ def _reserved(c: Canonical):
 _DEMAND = """(SELECT l.order_id, order_date, warehouse_id, product_id, sum(quantity) AS quantity FROM sales_order_lines l
     JOIN sales_orders o ON o.order_id = l.order_id WHERE order_status <> 'cancelled' GROUP BY ALL)"""
 
+# which order is served depends on every earlier one over several stock keys: an order is decided once all earlier ones
+# on its contested keys are, and the decided ones are kept by key of the recursion
+_SERVED = f"""WITH RECURSIVE d AS MATERIALIZED (SELECT d.order_id, order_date, [d.warehouse_id, d.product_id] AS key, quantity, on_hand_qty - reserved_qty AS free
+      FROM {_DEMAND} d LEFT JOIN stock_balances b ON b.warehouse_id = d.warehouse_id AND b.product_id = d.product_id),
+    contested AS (SELECT key FROM d GROUP BY key HAVING any_value(free) IS NULL OR sum(quantity) > any_value(free)),
+    hard AS MATERIALIZED (SELECT d.* FROM d SEMI JOIN contested USING (key)),
+    before AS MATERIALIZED (SELECT h.order_id, h.key, h.quantity, h.free, x.order_id AS earlier, x.quantity AS taken
+      FROM hard h LEFT JOIN hard x ON x.key = h.key AND (x.order_date, x.order_id) < (h.order_date, h.order_id)),
+    verdicts(order_id, ok) USING KEY (order_id) AS (
+      SELECT order_id, bool_and(quantity <= coalesce(free, -1)) FROM before GROUP BY order_id HAVING count(earlier) = 0
+      UNION
+      SELECT order_id, bool_and(need <= coalesce(free, -1)) FROM (
+        SELECT b.order_id, b.key, any_value(b.free) AS free, any_value(b.quantity) + coalesce(sum(b.taken) FILTER (WHERE s.ok), 0) AS need,
+        count(b.earlier) = count(s.order_id) AS known
+        FROM before b LEFT JOIN recurring.verdicts s ON s.order_id = b.earlier LEFT JOIN recurring.verdicts own ON own.order_id = b.order_id
+        WHERE own.order_id IS NULL GROUP BY b.order_id, b.key)
+      GROUP BY order_id HAVING bool_and(known))
+    SELECT o.order_id, CASE WHEN s.order_id IS NULL THEN 'no_order_lines' WHEN NOT coalesce(ok, TRUE) THEN 'insufficient_stock' END AS reject_reason
+    FROM sales_orders o LEFT JOIN (SELECT DISTINCT order_id FROM d) s ON s.order_id = o.order_id LEFT JOIN verdicts v ON v.order_id = o.order_id
+    WHERE order_status <> 'cancelled'"""
+
 _HAND = "CASE WHEN move_type = 'sale_reservation' THEN 0 ELSE quantity END"
 _HELD = "CASE move_type WHEN 'sale_reservation' THEN -quantity WHEN 'sale_delivery' THEN quantity ELSE 0 END"
 _RUNNING = f"""(SELECT *, on_hand_after < 0 OR reserved_after < 0 OR reserved_after > on_hand_after AS is_invalid FROM (
@@ -316,8 +337,7 @@ QUERIES: dict[str, Query] = {
         sum(quantity) OVER (PARTITION BY d.warehouse_id, d.product_id ORDER BY order_date, order_id ROWS UNBOUNDED PRECEDING) AS cumulative_demand
         FROM {_DEMAND} d JOIN stock_balances b ON b.warehouse_id = d.warehouse_id AND b.product_id = d.product_id)""",
     ),
-    # no SQL: which order is served depends on every earlier one over several stock keys
-    "i05_reserve_orders": Query(_reserved, "order_id:i reject_reason:s"),
+    "i05_reserve_orders": Query(_reserved, "order_id:i reject_reason:s", f"SELECT * FROM ({_SERVED})"),
     "i06_replay_ledger": Query(
         lambda c: inventory.replay_ledger(c.stock_balances, c.stock_moves),
         "warehouse_id:i product_id:i on_hand_qty:n reserved_qty:n move_count:i",

@@ -152,7 +152,7 @@ def test_late_events_over_two_runs(spark, tmp_path):
 def test_registry():
     names, checks = queries(), oracle_sql()
     assert set(checks) <= set(names) and len(names) >= 118
-    assert set(registry.QUERIES) - set(checks) == {"i05_reserve_orders", "s04_apply_scenario"}
+    assert set(registry.QUERIES) - set(checks) == {"s04_apply_scenario"}
 
 
 @pytest.mark.parametrize("name", ["m03_mart_sales_by_channel", "m05_mart_inventory_alerts", "f08_settle_payments", "k03_tumbling_metrics", "q04_referential"])
