@@ -284,3 +284,27 @@ def test_pipeline_of_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_one_large_group_of_near_copies(spark):
+    """An anchor with many different neighbourhoods: edits at any place, also two at once, and copies cut at either end."""
+    rng = random.Random(12)
+    base = " ".join(cases.words(rng, 150, 500))
+    rows = []
+    for i in range(240):
+        text = list(base)
+        for _ in range(i % 3):
+            text[rng.randrange(len(text))] = rng.choice("XYZ")
+        rows.append((i, "".join(text)[rng.randrange(0, 90) if i % 4 == 0 else 0:][: rng.randrange(250, 900) if i % 5 == 0 else 2000]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for options in ({"group": 10}, {"group": 60}, {"length": 90, "size": 16, "group": 5}, {"length": 33, "size": 32, "group": 5}):
+        check_removed(docs, **options)
+
+
+def test_many_equal_rows(spark):
+    text = " ".join(cases.words(random.Random(3), 500))
+    docs = spark.range(20_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit(text).alias("text")).unionByName(
+        spark.createDataFrame([(8, "alone " * 3 + "x" * 10), (9, text[:1000])], "doc_id bigint, text string")
+    ).repartition(6)
+    found = suffix_dedup.remove_repeats(docs).groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.octet_length("kept")).alias("kept"), F.max(F.size("spans")).alias("spans"))
+    assert {r.doc_id: (r.n, r.kept, r.spans) for r in found.collect()} == {7: (20_000, 0, 1), 8: (1, 28, 0), 9: (1, 0, 1)}

@@ -16,8 +16,10 @@ somewhere else, in the same document or another one.
    first byte. Neighbours in the suffix array with a common prefix of `LENGTH` bytes
    are repeats.
 4. A group with more than `GROUP` different neighbourhoods does not enter one task:
-   its strings are counted by hash, which combines before it moves; strings whose
-   inner bytes stand nowhere else are left out first.
+   its strings are compared by hash, in ranges of their distance from the anchor. Where the
+   bytes that all strings of a range share stand nowhere else, the range drops out; where the
+   bytes around all of them stand elsewhere too, all are repeats; only ranges in between are
+   halved, so the rows follow the ends of repeated passages and not the number of strings.
 
 Sets of at most `BROADCAST_KEYS` hashes are broadcast to the rows that they select;
 larger ones are joined by key, with the same result.
@@ -31,7 +33,7 @@ Null and empty texts have no bytes and no repeats, as have texts shorter than
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -45,7 +47,7 @@ from tradewind.session import stage_table
 LENGTH = 200
 ANCHOR = 32
 GROUP = 2_000
-CLASSES = 4  # of offsets, within which strings are tested together in a large group
+WIDTH = 64  # distances from the anchor that are tested together at first in a large group, a power of two
 BLOCK = 1_000  # neighbourhoods of a block, at least, and fewer than that plus GROUP
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -188,8 +190,8 @@ def _signed(h: np.ndarray) -> np.ndarray:
 
 
 def _row_key() -> Column:
-    """Stands for a row; rows that share it have the same id and text, so each repeats the other's strings."""
-    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    """Stands for a row, in 128 bits; rows that share it have the same id and text, so each repeats the other's strings."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).cast("binary"), F.lit(b"\0"), utf8_bytes())))
 
 
 def _occurrences(docs: DataFrame, length: int, size: int) -> DataFrame:
@@ -200,11 +202,11 @@ def _occurrences(docs: DataFrame, length: int, size: int) -> DataFrame:
 
     def task(batches: Iterator[Columns]) -> Iterator[dict]:
         for batch in batches:
-            texts, keys = batch["text"], batch["key"].to_numpy()
+            texts, keys = batch["text"], batch["key"]
             for at in range(0, len(texts), 200):
                 out: dict[str, list] = {k: [] for k in ("key", "hash", "context", "n", "pos", "last")}
                 settled: dict[str, list] = {k: [] for k in out}
-                for key, text in zip(keys[at:at + 200], texts.slice(at, 200).to_pylist()):
+                for row, text in enumerate(texts.slice(at, 200).to_pylist(), at):
                     if len(text) < length:
                         continue
                     pos, h, first, last = anchors(np.frombuffer(text, np.uint8), length, size)
@@ -217,18 +219,19 @@ def _occurrences(docs: DataFrame, length: int, size: int) -> DataFrame:
                         _, one, group, n = np.unique(both, return_index=True, return_inverse=True, return_counts=True)
                         again = n[group] > 1
                         for a, b in zip(*_ranges(_covered(first[again], last[again]))):
-                            for k, v in zip(settled, (key, None, None, 2, int(a), int(b))):
+                            for k, v in zip(settled, (row, None, None, 2, int(a), int(b))):
                                 settled[k].append(v)
                         h, context, first, last = h[one], context[one], first[one], last[one]
-                    for k, v in zip(out, (np.full(len(h), key), _signed(h), _signed(context), n, first, last)):
+                    for k, v in zip(out, (np.full(len(h), row), _signed(h), _signed(context), n, first, last)):
                         out[k].append(v)
                 if out["key"]:
-                    yield {k: np.concatenate(v) for k, v in out.items()}
+                    whole = {k: np.concatenate(v) for k, v in out.items()}
+                    yield whole | {"key": keys.take(pa.array(whole["key"]))}
                 if settled["key"]:
-                    yield settled
+                    yield settled | {"key": keys.take(pa.array(settled["key"]))}
 
     rows = docs.select(_row_key().alias("key"), utf8_bytes().alias("text"))
-    return map_columns(rows, "key bigint, hash bigint, context bigint, n int, pos int, last int", task)
+    return map_columns(rows, "key binary, hash bigint, context bigint, n int, pos int, last int", task)
 
 
 def _covered(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -243,7 +246,7 @@ def _contexts(picked: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     wanted = picked.groupBy("key").agg(F.collect_list(F.struct("hash", "pos", "last", "n")).alias("at"))
     keys = stage_table(picked.select("key").distinct(), "context-keys")
     texts = rows_in(docs.select(_row_key().alias("key"), utf8_bytes().alias("text")), keys, ["key"])
-    joined = texts.join(wanted.hint("shuffle_hash"), "key")
+    joined = texts.dropDuplicates(["key"]).join(wanted.hint("merge"), "key")  # rows that share a key have one text
 
     def task(batches: Iterator[Columns]) -> Iterator[dict]:
         for batch in batches:
@@ -259,7 +262,7 @@ def _contexts(picked: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                             out[k].append(v)
                 yield out
 
-    return map_columns(joined, "key bigint, hash bigint, n bigint, pos int, bytes binary", task)
+    return map_columns(joined, "key binary, hash bigint, n bigint, pos int, bytes binary", task)
 
 
 def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
@@ -275,13 +278,10 @@ def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
         return out
 
     def task(batches: Iterator[Columns]) -> Iterator[dict]:
-        block, group, before = [], None, None
+        block, group = [], None
         for batch in batches:
             columns = [batch[k].to_pylist() for k in ("hash", "key", "pos", "n", "bytes")]
             for h, *row in zip(*columns):
-                if (h, *row[:2]) == before:
-                    continue  # rows that share a key give the same context
-                before = (h, *row[:2])
                 if h != group and len(block) >= BLOCK:
                     yield solve(block)
                     block = []
@@ -291,49 +291,77 @@ def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
             yield solve(block)
 
     together = contexts.repartition("hash").sortWithinPartitions("hash", "key", "pos")
-    return map_columns(together.select("hash", "key", "pos", "n", "bytes"), "key bigint, pos int, last int", task)
+    return map_columns(together.select("hash", "key", "pos", "n", "bytes"), "key binary, pos int, last int", task)
 
 
-def _counted(contexts: DataFrame, length: int, size: int) -> DataFrame:
-    """The same for groups too large for a block: strings are counted by anchor and hash."""
-    width = -(-(length - size + 1) // CLASSES)  # offsets of a class
+_CELL = "key binary, hash bigint, n bigint, pos int, at int, cell int, witness boolean, inner bigint, outer bigint, bytes binary"
 
-    def classes(data: bytes) -> Iterator[tuple[int, int, int, int]]:
-        """Class, first and last start in the context, and the hash of the bytes that all strings of the class share."""
-        pos = int(anchors(np.frombuffer(data[:length], np.uint8), length, size)[0][0])
-        for c in range(CLASSES):
-            low, high = max(pos - (c + 1) * width + 1, 0), min(pos - c * width, len(data) - length)
-            if low <= high:
-                inner = data[pos - c * width:pos - (c + 1) * width + 1 + length]
-                yield c, low, high, xxhash.xxh3_64_intdigest(inner, c) - (1 << 63)
 
-    def split(batches: Iterator[Columns]) -> Iterator[dict]:
-        for batch in batches:
-            for at in range(0, len(batch["key"]), 500):
-                part = {k: batch[k].slice(at, 500).to_pylist() for k in ("key", "hash", "n", "pos", "bytes")}
-                out: dict[str, list] = {k: [] for k in ("key", "hash", "n", "pos", "inner", "bytes")}
-                for key, h, n, pos, data in zip(*part.values()):
-                    for _, low, high, inner in classes(data):
-                        for k, v in zip(out, (key, h, n, pos + low, inner, data[low:high + length])):
-                            out[k].append(v)
-                yield out
+def _cells(rows: DataFrame, width: int, reach: int, length: int, first: Callable[[bytes], int] | None = None) -> DataFrame:
+    """Each row's strings in cells of `width` distances from the anchor.
 
-    def strings(batches: Iterator[Columns]) -> Iterator[dict]:
+    `pos`, `at`: where the row's bytes start in the text, and the anchor in the bytes. `inner`: hash of the bytes that all
+    strings of a whole cell share; `outer`: hash of all bytes of a whole cell, null if the row has only a part of it.
+    """
+
+    def task(batches: Iterator[Columns]) -> Iterator[dict]:
+        names = [part.split()[0] for part in _CELL.split(", ")]
         for batch in batches:
-            for at in range(0, len(batch["key"]), 500):
-                part = {k: batch[k].slice(at, 500).to_pylist() for k in ("key", "hash", "n", "pos", "bytes")}
-                out: dict[str, list] = {k: [] for k in ("key", "hash", "n", "pos", "string")}
-                for key, h, n, pos, data in zip(*part.values()):
-                    found = _signed(rolling(np.frombuffer(data, np.uint8), length)).tolist()
-                    for k, v in zip(out, ([key] * len(found), [h] * len(found), [n] * len(found), range(pos, pos + len(found)), found)):
-                        out[k].extend(v)
+            for begin in range(0, len(batch["key"]), 500):
+                part = {k: batch[k].slice(begin, 500).to_pylist() for k in batch}
+                witnesses = part.get("witness") or [False] * len(part["key"])
+                anchors_at = part.get("at") or [first(data) for data in part["bytes"]]
+                out: dict[str, list] = {k: [] for k in names}
+                for key, h, n, pos, data, at, witness in zip(*(part[k] for k in ("key", "hash", "n", "pos", "bytes")), anchors_at, witnesses):
+                    low, high = at - (len(data) - length), at  # distances of the last and the first string
+                    for cell in range(low // width, high // width + 1):
+                        near, far = cell * width, min((cell + 1) * width - 1, reach)
+                        inner = data[at - near:at - far + length]
+                        whole = low <= near and far <= high
+                        a, b = at - min(far, high), at - max(near, low) + length
+                        outer = xxhash.xxh3_64_intdigest(data[a:b], cell) - (1 << 63) if whole else None
+                        values = (key, h, n, pos + a, at - a, cell, witness, xxhash.xxh3_64_intdigest(inner, cell) - (1 << 63), outer, data[a:b])
+                        for k, v in zip(names, values):
+                            out[k].append(v)
                 yield out
 
-    parts = stage_table(map_columns(contexts.dropDuplicates(["hash", "key", "pos"]), "key bigint, hash bigint, n bigint, pos int, inner bigint, bytes binary", split), "large-groups")
-    alive = stage_table(parts.groupBy("hash", "inner").agg(F.sum("n").alias("__all")).where("__all > 1").select("hash", "inner"), "alive")
-    rows = stage_table(map_columns(rows_in(parts, alive, ["hash", "inner"]), "key bigint, hash bigint, n bigint, pos int, string bigint", strings), "strings")
-    often = stage_table(rows.groupBy("hash", "string").agg(F.sum("n").alias("__all")).where("__all > 1").select("hash", "string"), "repeated-strings")
-    return rows_in(rows.where("n = 1"), often, ["hash", "string"]).select("key", "pos", F.col("pos").alias("last"))
+    wanted = [c for c in ("key", "hash", "n", "pos", "at", "witness", "bytes") if c in rows.columns]
+    return map_columns(rows.select(*wanted), _CELL, task)
+
+
+def _halved(contexts: DataFrame, length: int, size: int) -> DataFrame:
+    """The same for groups too large for a block: strings are compared by anchor, distance and hash, in cells that are halved."""
+    reach = length - size  # the largest distance of a string from its anchor
+
+    def first(data: bytes) -> int:
+        return int(anchors(np.frombuffer(data[:length], np.uint8), length, size)[0][0])
+
+    width, rows, found = WIDTH, _cells(contexts, WIDTH, reach, length, first), []
+    while True:
+        rows = stage_table(rows, f"cells-{width}")
+        alive = stage_table(rows.groupBy("hash", "cell", "inner").agg(F.sum("n").alias("all")).where("all > 1").select("hash", "cell", "inner"), "alive")
+        open_rows = rows_in(rows, alive, ["hash", "cell", "inner"])
+        often = open_rows.where("outer IS NOT NULL").groupBy("hash", "cell", "outer").agg(F.sum("n").alias("all"), F.min("key").alias("first")).where("all > 1")
+        often = stage_table(often.select("hash", "cell", "outer", "first"), "settled")
+        marked = open_rows.join(often.hint("merge"), ["hash", "cell", "outer"], "left")
+        marked = stage_table(marked.withColumn("settled", F.col("first").isNotNull()), "marked")
+        # a witness and a row that stands for several are known to repeat
+        repeated = marked.where("settled AND NOT witness AND n = 1")
+        found.append(repeated.select("key", "pos", (F.col("pos") + F.octet_length("bytes") - length).cast("int").alias("last")))
+        if width == 1:
+            break
+        undecided = stage_table(marked.where("NOT settled").select("hash", "cell", "inner").distinct(), "undecided")
+        # of those that are settled one goes on, for the others to be compared with
+        going = marked.where("NOT settled OR key = first").withColumn("witness", F.col("witness") | F.col("settled"))
+        going = rows_in(going, undecided, ["hash", "cell", "inner"])
+        if going.isEmpty():
+            break
+        width //= 2
+        rows = _cells(going, width, reach, length)
+    out = found[0]
+    for part in found[1:]:
+        out = out.union(part)
+    return out
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, group: int = GROUP) -> DataFrame:
@@ -351,22 +379,23 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, g
     parts = found.where("hash IS NULL").select("key", "pos", "last").union(whole.select("key", "pos", "last"))
     parts = parts.union(_sorted_blocks(_contexts(picked.where(F.col("kinds") <= group), docs, length), length))
     large = picked.where(F.col("kinds") > group)
-    return parts if large.isEmpty() else parts.union(_counted(_contexts(large, docs, length), length, size))
+    return parts if large.isEmpty() else parts.union(_halved(_contexts(large, docs, length), length, size))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, group: int = GROUP) -> DataFrame:
     """Per document row: `doc_id`, `n_bytes`, the removed `spans` (first and last byte, maximal, ascending) and the `kept` bytes."""
-    parts = stage_table(repeated_ranges(docs, length, size, group), "repeats")
+    # rows that share a key have the same ranges, so each range is kept once
+    parts = stage_table(repeated_ranges(docs, length, size, group).distinct(), "repeats")
     ranges = parts.groupBy("key").agg(F.collect_list(F.struct("pos", "last")).alias("ranges"))
     rows = docs.select("doc_id", _row_key().alias("key"), utf8_bytes().alias("text"))
     keys = stage_table(parts.select("key").distinct(), "repeat-keys")
     if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
         # documents without repeats need no exchange
-        touched = rows.join(F.broadcast(keys), "key", "left_semi").join(ranges.hint("shuffle_hash"), "key")
+        touched = rows.join(F.broadcast(keys), "key", "left_semi").join(ranges.hint("merge"), "key")
         others = rows.join(F.broadcast(keys), "key", "left_anti").withColumn("ranges", F.lit(None).cast(ranges.schema["ranges"].dataType))
         rows = touched.unionByName(others)
     else:
-        rows = rows.join(ranges.hint("shuffle_hash"), "key", "left")
+        rows = rows.join(ranges.hint("merge"), "key", "left")
 
     def task(batches: Iterator[Columns]) -> Iterator[dict]:
         for batch in batches:
