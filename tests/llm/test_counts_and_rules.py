@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -185,6 +186,54 @@ def test_spaced_words_beside_punctuation(toxic_model):
         assert toxic_model.score(clean)[0] < 0.7, clean
 
 
+def test_any_number_of_separators_between_letters(toxic_model):
+    for word in ("stupid", "idiot", "scum"):
+        for between in (*range(12), 50):
+            for sign in "-*.":
+                text = (" " + f"{sign} " * between).join(word)
+                assert toxic_model.score(f"they are {text} all")[0] > 0.7, (word, between)
+    assert toxic_model.score("s s s s t u u u p - - - p i i i i d")[0] > 0.7
+
+
+def test_words_end_before_single_letter_words(toxic_model):
+    flat = np.full(28 ** 3, math.log(1 / 28))
+    short = toxicity.Toxicity({"ass": 0.95, "aab": 0.95}, 0.1, flat)
+    for text in ("you a s s i say", "you a s s a", "a s s", "i a s s", "a a s s b c", "a a b", "c a a b c"):
+        assert short.score(text)[0] > 0.7, text
+    for text in ("a s", "s s a", "a b s s", "a 2 s b s", "b a b a", "a s o s"):
+        assert short.score(text)[0] == 0.1, text
+
+
+def test_long_runs_are_quick(toxic_model):
+    began = time.process_time()
+    for run in ("a " * 100_000, "a - " * 50_000, "s c s c " * 25_000, "i d i " * 33_000, "a s - s - " * 30_000):
+        toxic_model.score(run)
+    assert time.process_time() - began < 20
+    assert toxic_model.score("x z " * 30_000 + "i d i o t " + "x z " * 30_000)[0] > 0.7
+
+
+def test_stretches_that_spell_a_term(toxic_model):
+    """Against every stretch of short runs, letter by letter."""
+    model = toxicity.Toxicity({"abc": 0.9, "bb": 0.9, "cab*": 0.9}, 0.1, toxic_model.logs)
+    rng = random.Random(2)
+
+    def spells(units):
+        words = {""}
+        for sign in "".join(units):
+            letter = toxicity.skeleton(sign)
+            longer = {w if w.endswith(letter) else w + letter for w in words} if letter.isalpha() else set()
+            words = longer if letter.isalpha() and sign.isalnum() else words | longer
+        return words & model._heads
+
+    for _ in range(400):
+        run = [rng.choice(["a", "b", "c", "(", "8", "-", "d", "@", "bb"]) for _ in range(rng.randrange(1, 8))]
+        want = {(i, j) for i in range(len(run)) for j in range(i, len(run)) if spells(run[i:j + 1])}
+        got = set(model.spelled(run))
+        assert got <= want
+        heads = lambda spans: {h for i, j in spans for h in spells(run[i:j + 1])}
+        assert heads(got) == heads(want), run
+
+
 def test_viterbi_finds_the_best_path(toxic_model):
     """Against all readings of a token without separators or repetitions."""
     def readings(token):

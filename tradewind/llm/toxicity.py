@@ -18,8 +18,11 @@ trigram model, and the restored words are scored.
 
 A token is decoded only if some path through its lattice, from its start or from any
 sign that may end a word, begins with a term (letters that share a sign made one,
-repetitions dropped): no path through any other lattice spells a term. Each worker
-keeps a bounded number of known tokens.
+repetitions dropped): no path through any other lattice spells a term. Of a run of
+single letters, however long, each stretch that can spell a term is decoded, so a word
+may begin and end at any of its letters; any number of separators between two letters
+counts as one, and three or more equal letters in a row as two. Each worker keeps a
+bounded number of known tokens.
 
 A null or empty text has no terms. Without labels of both kinds there are no
 terms, and all scores are equal. Contradicting labels of one id count as toxic.
@@ -51,6 +54,7 @@ _ALIKE = str.maketrans({**{k: v[0] for k, v in LEET.items()}, "l": "i"})
 _REPEATED = re.compile(r"(.)\1+")
 _PARTS = re.compile(r"[^\W_]+(?:[@$!|+(]+[^\W_]+)*")
 _NO_SIGN = re.compile(r"(?:[^\w@$!|+(]|_)+")  # can stand for no letter
+_SEPARATOR = "-"  # stands for any number of signs that can be no letter
 _LETTERS = re.compile(r"[^\W\d_]+")
 _CLASSES = np.array([b - 96 if 97 <= b <= 122 else b - 64 if 65 <= b <= 90 else 27 if b > 127 else 0 for b in range(256)], np.int64)
 _COST_LEET, _COST_SAME, _COST_DROP, _COST_END = -1.0, 0.0, -1.5, -3.0
@@ -70,6 +74,22 @@ def single(chunk: str) -> str:
     return _REPEATED.sub(r"\1\1", _NO_SIGN.sub(lambda m: m[0][0], chunk))
 
 
+def folded(run: list[str]) -> list[str]:
+    """A run with one separator at most between its letters, and two equal letters at most in a row, separators apart."""
+    out: list[str] = []
+    letter, times = "", 0
+    for unit in run:
+        if not any(sign.isalnum() or sign in LEET for sign in unit):
+            if out and out[-1] != _SEPARATOR:
+                out.append(_SEPARATOR)
+            continue
+        now = skeleton(unit)
+        letter, times = (letter, times + 1) if now == letter else (now, 1)
+        if times <= 2:
+            out.append(unit)
+    return out
+
+
 def _class(char: str) -> int:
     return ord(char) - 96 if "a" <= char <= "z" else 27 if char.isalpha() else 0
 
@@ -192,8 +212,31 @@ class Toxicity:
             known = self._known[token] = tuple(sorted(found))
         return known
 
+    def spelled(self, run: list[str]) -> Iterator[tuple[int, int]]:
+        """First and last unit of the stretches of a run that can spell a term's skeleton, in one pass over the run.
+
+        A word may begin at any unit and end behind any other. Of several beginnings that spell the same
+        letters the last one counts.
+        """
+        states: dict[str, int] = {}
+        for at, unit in enumerate(run):
+            states[""] = at
+            for sign in unit:
+                letter = skeleton(sign)
+                if not letter.isalpha():
+                    letter = ""
+                after = {} if letter and sign.isalnum() else dict(states)
+                if letter:
+                    for prefix, start in states.items():
+                        longer = prefix if prefix.endswith(letter) else prefix + letter
+                        if longer in self._heads:
+                            yield start, at
+                        if longer in self._heads or longer in self._prefixes:
+                            after[longer] = max(after.get(longer, -1), start)
+                states = after
+
     def tokens(self, text: str) -> Iterator[str]:
-        """White-space chunks, and windows over runs of three or more chunks of a single letter or sign."""
+        """White-space chunks, and the stretches of runs of three or more single letters or signs that can spell a term."""
         chunks = text.lower().split()
         distinct = set(chunks)
         yield from distinct
@@ -206,11 +249,13 @@ class Toxicity:
                 run.append(units[chunk])
                 continue
             if len(run) > 2:
-                # a spaced word may begin at any of its letters
-                for at in range(len(run)):
-                    window = "".join(run[at:at + 24])
-                    if self._may_spell(window):
-                        yield window
+                short = folded(run)
+                for first, last in self.spelled(short):
+                    yield "".join(short[first:last + 1])
+                    # a doubled first letter
+                    before = next((k for k in (first - 1, first - 2) if k >= 0 and skeleton(short[k]) == skeleton(short[first])), None)
+                    if before is not None:
+                        yield "".join(short[before:last + 1])
             run = []
 
     def score(self, text: str) -> tuple[float, list[str]]:
