@@ -61,22 +61,60 @@ def _row_rules(kind: str):
     return build
 
 
+def _tests(name: str, kind: str) -> list[tuple[str, str]]:
+    """(rule, what breaks it) of a table, as SQL."""
+    if kind == "not_null":
+        return [(f"{c}_not_null", f"{c} IS NULL") for c in contracts.required(name) if c in _columns(name)]
+    if kind == "domain":
+        listed = {column: ", ".join(f"'{a}'" for a in allowed) for (owner, column), allowed in contracts.DOMAINS.items() if owner == name}
+        return [(f"{column}_domain", f"{column} NOT IN ({values})") for column, values in listed.items()]
+    return [(rule, f"NOT ({text})") for rule, text in contracts.ROW_RULES.get(name, {}).items()]
+
+
 def _rule_sql(kind: str) -> str:
+    parts = [
+        f"SELECT '{name}' AS table_name, '{rule}' AS rule, count(*) AS failed_rows FROM {source} WHERE {test}"
+        for name, source in CHECKED.items() for rule, test in _tests(name, kind)
+    ]
+    return f"({' UNION ALL '.join(parts)})"
+
+
+def _quarantine(c: Canonical):
+    """Per table and set of broken rules, the rows that are set aside."""
+    parts = []
+    for name, df in _checked(c.with_lines_staged()).items():
+        bad = quality.split_rows(name, df.select(*[x for x in df.columns if x in _columns(name)]))[1]
+        parts.append(bad.groupBy(F.array_join("failed_rules", ",").alias("failed_rules")).agg(F.count("*").alias("failed_rows")).select(F.lit(name).alias("table_name"), "*"))
+    return quality.union_all(parts)
+
+
+def _quarantine_sql() -> str:
     parts = []
     for name, source in CHECKED.items():
-        tests: list[tuple[str, str]] = []
-        if kind == "not_null":
-            tests = [(f"{c}_not_null", f"{c} IS NULL") for c in contracts.required(name) if c in _columns(name)]
-        elif kind == "domain":
-            for (owner, column), allowed in contracts.DOMAINS.items():
-                if owner == name:
-                    listed = ", ".join(f"'{a}'" for a in allowed)
-                    tests.append((f"{column}_domain", f"{column} NOT IN ({listed})"))
-        else:
-            tests = [(rule, f"NOT ({text})") for rule, text in contracts.ROW_RULES.get(name, {}).items()]
-        parts += [
-            f"SELECT '{name}' AS table_name, '{rule}' AS rule, count(*) AS failed_rows FROM {source} WHERE {test}" for rule, test in tests
-        ]
+        tests = [t for kind in ("not_null", "domain", "row") for t in _tests(name, kind)]
+        if tests:
+            named = ", ".join(f"CASE WHEN {test} THEN '{rule}' END" for rule, test in tests)
+            parts.append(f"SELECT '{name}' AS table_name, concat_ws(',', {named}) AS failed_rules, count(*) AS failed_rows FROM {source} WHERE {' OR '.join(f'({t})' for _, t in tests)} GROUP BY ALL")
+    return f"({' UNION ALL '.join(parts)})"
+
+
+def _dated(name: str) -> str | None:
+    """The first date of a table's contract."""
+    return next((f.name for f in contracts.schema(name).fields if isinstance(f.dataType, T.DateType) and f.name in _columns(name)), None)
+
+
+def _profiles(c: Canonical):
+    first = {t: k for t, k in reversed(_KEYS)}
+    have = _checked(c.with_lines_staged())
+    return quality.union_all([quality.profile(t, have[t], k, _dated(t)) for t, k in first.items()])
+
+
+def _profile_sql() -> str:
+    first = {t: k for t, k in reversed(_KEYS)}
+    parts = [
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) - count(DISTINCT ({', '.join(k)})) AS duplicate_rows, "
+        f"{f'max({_dated(t)})' if _dated(t) else 'NULL'} AS newest FROM {CHECKED[t]}" for t, k in first.items()
+    ]
     return f"({' UNION ALL '.join(parts)})"
 
 
@@ -180,6 +218,38 @@ def _resolved(c: Canonical):
     )
 
 
+_CODES = {
+    "customers": ("customer_code", "customer_id"), "branches": ("branch_code", "branch_id"), "sales_channels": ("channel_code", "channel_id"),
+    "products": ("sku", "product_id"), "warehouses": ("warehouse_code", "warehouse_id"), "carriers": ("carrier_code", "carrier_id"),
+    "promotions": ("promotion_code", "promotion_id"),
+}
+
+
+def _all_codes(c: Canonical):
+    """Each line by the codes of all masters, some of them unknown, resolved to ids."""
+    heads = c.sales_orders.select("order_id", "customer_id", "branch_id", "channel_id", (F.col("order_id") % 26 + 1).alias("carrier_id"))
+    lines = c.sales_order_lines.select("order_line_id", "order_id", "product_id", "warehouse_id", "promotion_id").join(heads, "order_id")
+    lost = F.when(F.col("order_id") % 31 == 0, 10**9).otherwise(0)
+    coded = lines.select(
+        "order_line_id",
+        F.concat(F.lit("CUS-"), F.col("customer_id") + lost).alias("customer_code"), F.concat(F.lit("BR-"), "branch_id").alias("branch_code"),
+        F.element_at(F.array(*[F.lit(x) for x in ("STORE", "WEB", "MKT", "B2B", "KIOSK")]), F.col("channel_id").cast("int")).alias("channel_code"),
+        F.concat(F.lit("P-"), F.col("product_id") + lost).alias("sku"), F.concat(F.lit("WH-"), "warehouse_id").alias("warehouse_code"),
+        F.concat(F.lit("CAR-"), F.col("carrier_id") - 1).alias("carrier_code"), F.concat(F.lit("PRO-"), F.col("promotion_id") - 1).alias("promotion_code"),
+    )
+    return scenarios.resolve_codes(coded, {code: (getattr(c, name), key) for name, (code, key) in _CODES.items()})
+
+
+def _code_masters(c: Canonical):
+    """How many codes each master has, and how many of them name several rows, which a resolution would multiply."""
+    parts = []
+    for name, (code, _) in _CODES.items():
+        master = getattr(c, name)
+        twice = scenarios.duplicate_codes(master, code).agg(F.count("*").alias("ambiguous"))
+        parts.append(master.agg(F.count("*").alias("codes")).select(F.lit(name).alias("master"), "codes").join(twice.select(F.lit(name).alias("master"), "ambiguous"), "master"))
+    return quality.union_all(parts)
+
+
 class _Masters:
     """Masters of the scenario chain."""
 
@@ -464,6 +534,8 @@ QUERIES: dict[str, Query] = {
         CASE WHEN attempt_status NOT IN ('delivered', 'rescheduled') AND failure_reason IS NULL THEN 'failure_has_reason' END) AS failed_rules,
         count(*) AS failed_rows FROM attempt_requests WHERE attempt_status = 'lost' OR cod_amount < 0 GROUP BY 1""",
     ),
+    "q05_quarantine_all": Query(_quarantine, "table_name:s failed_rules:s failed_rows:i", f"SELECT * FROM {_quarantine_sql()}"),
+    "q07_profile_all": Query(_profiles, "table_name:s row_count:i duplicate_rows:i newest:d", f"SELECT * FROM {_profile_sql()}"),
     "q07_profile": Query(
         lambda c: quality.union_all([
             quality.profile("sales_orders", c.sales_orders, ["order_id"], "order_date"),
@@ -485,6 +557,16 @@ QUERIES: dict[str, Query] = {
         """SELECT order_id, c.customer_id, o.branch_id, CASE WHEN channel_id < 5 THEN channel_id END AS channel_id FROM sales_orders o
         LEFT JOIN customers c ON c.customer_id = o.customer_id + CASE WHEN order_id % 29 = 0 THEN 1000000000 ELSE 0 END""",
     ),
+    "s02_resolve_all_codes": Query(
+        _all_codes, "order_line_id:s customer_id:i branch_id:i channel_id:i product_id:i warehouse_id:i carrier_id:i promotion_id:i",
+        """SELECT order_line_id, CASE WHEN l.order_id % 31 <> 0 THEN customer_id END AS customer_id, branch_id, CASE WHEN channel_id < 5 THEN channel_id END AS channel_id,
+        CASE WHEN l.order_id % 31 <> 0 THEN product_id END AS product_id, warehouse_id, CASE WHEN l.order_id % 26 < 25 THEN l.order_id % 26 + 1 END AS carrier_id, l.promotion_id
+        FROM sales_order_lines l JOIN sales_orders o ON o.order_id = l.order_id""",
+    ),
+    "s02_code_masters": Query(
+        _code_masters, "master:s codes:i ambiguous:i",
+        "(" + " UNION ALL ".join(f"SELECT '{name}' AS master, count(*) AS codes, count(*) - count(DISTINCT {code}) AS ambiguous FROM {name}" for name, (code, _) in _CODES.items()) + ")",
+    ),
     "s03_replenishment_date": Query(
         lambda c: scenarios.replenishment_date(c.sales_orders, "customer_id"), "customer_id:i receipt_date:d",
         "SELECT customer_id, min(order_date) AS receipt_date FROM sales_orders GROUP BY customer_id",

@@ -147,3 +147,16 @@ def test_reservation_of_the_given_tables(spark):
         else:
             want[r.order_id] = "insufficient_stock"
     assert got == want
+
+
+def test_maxima_equal_a_window(spark):
+    from tradewind.functions import in_chunks, maxima_in_chunks
+
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k"),
+        F.col("id").alias("place"), (F.xxhash64("id") % 1000).alias("v"),
+    ).repartition(6)
+    got = maxima_in_chunks(in_chunks(rows, ["k", "place"]), ["k"], ["place"], F.col("v"), "top").select("k", "place", "top")
+    before = Window.partitionBy("k").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    want = rows.select("k", "place", F.max("v").over(before).alias("top"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() == 3000

@@ -55,6 +55,17 @@ def totals_in_chunks(chunked: DataFrame, keys: Sequence[str], order: Sequence[st
     )
 
 
+def maxima_in_chunks(chunked: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """Add `name`: the largest `value` of the earlier rows of the same key, by the same chunked method; NULL for the first."""
+    keys = list(keys)
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    near = chunked.withColumn("__near", F.max(value).over(inside))
+    tops = chunked.groupBy(*keys, CHUNK).agg(F.max(value).alias("__top"))
+    starts = tops.select(*keys, CHUNK, F.max("__top").over(earlier).alias("__far"))
+    return _join_chunks(near, starts, keys).select(*chunked.columns, F.greatest("__near", "__far").alias(name))
+
+
 def totals_before(
     rows: DataFrame,
     keys: Sequence[str],

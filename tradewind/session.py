@@ -45,12 +45,15 @@ def build_session(app: str = "tradewind", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read: `spark.checkpoint.dir`, else a folder in the session's warehouse.
 
-    Both are settings of the deployment, and the rule is the same on every master.
+    Both are settings of the deployment. Without the first one, a warehouse folder that each machine
+    has for itself is refused on a cluster, where executors would write to their own disks.
     """
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
         path = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "tradewind-staging")
+        if not context.master.startswith("local") and path.split(":", 1)[0] in ("file", path):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {path} is local to each machine")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(path)
     return path.rstrip("/")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from tradewind.functions import in_chunks, maxima_in_chunks, totals_in_chunks
 from tradewind.operators.inventory import STOCK_KEY, on_hand_effect
 from tradewind.streaming.run import drain_parts
 
@@ -39,10 +40,13 @@ def running_sessions(events: DataFrame, path: str, gap: str, key: str) -> DataFr
     `is_open`: an event newer than all seen so far may still belong to the session.
     """
     parts = drain_parts(events, path, lambda batch: session_parts(batch, gap, key))
-    before = Window.partitionBy(key).orderBy("session_start", "session_end").rowsBetween(Window.unboundedPreceding, -1)
-    opens = F.coalesce(F.col("session_start") >= F.max("session_end").over(before), F.lit(True))
-    running = Window.partitionBy(key).orderBy("session_start", "session_end").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = parts.withColumn("__opens", opens.cast("int")).withColumn("__session", F.sum("__opens").over(running))
+    # a user with very many sessions is dealt over many tasks
+    order = ["session_start", "session_end", "__tie"]
+    chunked = in_chunks(parts.withColumn("__tie", F.monotonically_increasing_id()), [key, *order])
+    known = maxima_in_chunks(chunked, [key], order, F.col("session_end"), "__before")
+    opens = F.coalesce(F.col("session_start") >= F.col("__before"), F.lit(True))
+    marked = known.withColumn("__opens", opens.cast("int"))
+    numbered = totals_in_chunks(marked, [key], order, {"__earlier": F.col("__opens")}).withColumn("__session", F.col("__earlier") + F.col("__opens"))
     merged = numbered.groupBy(key, "__session").agg(
         F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
         F.sum("events").alias("events"), F.sum("value").alias("value"),
