@@ -115,6 +115,25 @@ def test_quality_rules_tell_junk_from_text(spark):
     assert n.get((1, False), 0) == 0 and n[0, False] > 3 * n.get((0, True), 0)
 
 
+def test_scores_equal_a_plain_reading(spark, monkeypatch):
+    """Scores from the definition, with trusted ids broadcast and joined, null and repeated ids included."""
+    rng = random.Random(5)
+    rows = [(i if i % 7 else None, " ".join(cases.words(rng, rng.randrange(0, 60), 40))) for i in range(120)] + [(3, "same id other text w1 w2")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("trusted", F.lit("clash"))
+    trusted = spark.createDataFrame([(i,) for i in (1, 2, 3, 3, 5, None, 999)], "doc_id bigint")
+    raw, good = np.zeros(quality_rules.BUCKETS), np.zeros(quality_rules.BUCKETS)
+    for i, text in rows:
+        found = np.bincount(quality_rules.ngram_buckets(text.encode().split()), minlength=quality_rules.BUCKETS)
+        raw += found
+        good += found * (i in (1, 2, 3, 5))
+    ratio = np.log(good + quality_rules.PRIOR) - np.log(raw * (good.sum() / raw.sum()) + quality_rules.PRIOR)
+    want = sorted((str(i), float(ratio[quality_rules.ngram_buckets(t.encode().split())].mean()) if t.split() else 0.0) for i, t in rows)
+    for limit in (2_000_000, 1):
+        monkeypatch.setattr(quality_rules.common, "BROADCAST_KEYS", limit)
+        got = sorted((str(r.doc_id), r.score) for r in quality_rules.judge_quality(docs, trusted).collect())
+        assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([s for _, s in got], [s for _, s in want])
+
+
 def test_ranking_recovers_an_order():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 3))

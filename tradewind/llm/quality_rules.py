@@ -5,7 +5,8 @@ over the buckets are counted, one over trusted documents and one over the whole
 corpus; every task adds up its own buckets, so only bucket sums move. A document's
 score is the mean over its n-grams of the log ratio of the two, and it is kept
 when the score reaches a fixed threshold: the same text always gets the same
-verdict from the same corpus.
+verdict from the same corpus. Up to 2 million trusted ids go to the documents, and
+texts do not move; more are joined by id.
 
 A null or empty text has no words, score 0, and fails the rule on few words.
 Without trusted documents the ratio is 0 throughout and only the rules decide.
@@ -21,7 +22,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from tradewind.llm import common
 from tradewind.llm.common import Columns, id_and_bytes, map_columns, utf8_bytes
+from tradewind.session import stage_table
 
 BUCKETS = 1 << 16  # bounds the model and what each task sends, whatever the corpus
 PRIOR = 10.0  # n-grams that each bucket is given in advance, so that a rare one says little
@@ -62,9 +65,14 @@ def n_duplicate_lines(text: bytes) -> int:
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """Per bucket the n-grams of all documents and of the trusted ones: `bucket`, `raw_n`, `trusted_n`."""
-    marked = trusted.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("trusted", F.lit(True))
-    # only the side of the trusted ids is built up in memory, one partition at a time
-    rows = docs.select("doc_id", utf8_bytes().alias("text")).join(marked.hint("shuffle_hash"), "doc_id", "left").select("text", "trusted")
+    marked = stage_table(trusted.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("trusted", F.lit(True)), "trusted-ids")
+    texts = docs.select("doc_id", utf8_bytes().alias("text"))
+    if marked.limit(common.BROADCAST_KEYS + 1).count() <= common.BROADCAST_KEYS:
+        rows = texts.join(F.broadcast(marked), "doc_id", "left").select("text", "trusted")
+    else:
+        # rows without an id are trusted by nobody and stay where they are
+        known = texts.where("doc_id IS NOT NULL").join(marked.hint("merge"), "doc_id", "left").select("text", "trusted")
+        rows = known.unionByName(texts.where("doc_id IS NULL").select("text", F.lit(None).cast("boolean").alias("trusted")))
 
     def task(batches: Iterator[Columns]) -> Iterator[dict]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
