@@ -184,3 +184,19 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
     sha256(coalesce(n.ends, '')) AS ends_sha256
 FROM seen n JOIN sums s ON s.depth = n.depth AND s.path = n.path LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
 """
+
+
+REPEATS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+blocks AS (SELECT doc_id, n, b, substr(h, 2 * b + 1, 1400) AS h FROM (SELECT doc_id, h, n, unnest(range(0, n - 199, 500)) AS b FROM d WHERE n >= 200)),
+strings AS (SELECT doc_id, b + j AS k, hash(substr(h, 2 * j + 1, 400)) AS m FROM (SELECT doc_id, b, h, unnest(range(0, least(500, n - 199 - b))) AS j FROM blocks)),
+again AS (SELECT doc_id, k FROM strings SEMI JOIN (SELECT m FROM strings GROUP BY m HAVING count(*) > 1) USING (m)),
+runs AS (SELECT doc_id, k, sum(opens) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM
+    (SELECT *, CASE WHEN k <= lag(k) OVER (PARTITION BY doc_id ORDER BY k) + 200 THEN 0 ELSE 1 END AS opens FROM again)),
+spans AS (SELECT doc_id, min(k) AS a, max(k) + 199 AS b FROM runs GROUP BY doc_id, run),
+pieces AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), -1) + 1 AS c FROM spans),
+cut AS (SELECT p.doc_id, sum(b - a + 1) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 3) AS rest
+    FROM pieces p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
+"""

@@ -128,6 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_poisson_mix": oracles.MIX, "op6_setsketch": oracles.NEAR, "op7_hilbert_shards": oracles.shards(SHARDS),
-    "op10_positional_index": oracles.CONTAMINATED, "op11_merkle_manifest": oracles.manifest(), "op12_chat_format": oracles.FORMATTED,
+    "op9_suffix_dedup": oracles.REPEATS, "op10_positional_index": oracles.CONTAMINATED, "op11_merkle_manifest": oracles.manifest(), "op12_chat_format": oracles.FORMATTED,
     "op13_prefix_trie": oracles.trie(),
 }
