@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import time
 
 import numpy as np
@@ -156,6 +157,58 @@ def test_quality_on_held_out_labels(spark, seed):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_features(text):
+    """The features of a text, one by one, from its words and lines."""
+    words = [w for w in re.split(rb"[ \t\n\r\x0b\x0c]+", text) if w]
+    if not words:
+        return [1.0] + [0.0] * 19
+    n, size = len(words), len(text)
+    lines = [x for x in text.split(b"\n") if x.strip()]
+    signs = b"#*$%&|<>"
+    windows = [tuple(words[k:k + 5]) for k in range(n - 4)]
+    return [
+        0.0, float(n < 10), math.log(1 + n) / 10, min(size / n / 10, 3), sum(len(w) > 30 for w in words) / n, min(5 * sum(b in signs for b in text) / size, 1),
+        sum(w[0] in signs or w[-1] in signs for w in words) / n, min(sum(b == 33 for b in text) / n, 2),
+        min(sum(b < 128 and not chr(b).isalnum() and chr(b) not in "_ \t\n\r\x0b\x0c" for b in text) / n, 3), sum(65 <= b <= 90 for b in text) / size,
+        sum(48 <= b <= 57 for b in text) / size, sum(a == b for a, b in zip(words, words[1:])) / n, min(len(set(words)) / n ** 0.9, 1.5),
+        max(max(words.count(w) for w in set(words)) / n - 0.2, 0), 1 - len(set(windows)) / len(windows) if windows else 0.0, 1 - len(set(lines)) / len(lines),
+        min(text.count(b" | ") / n, 1), min(sum(b in b"{;" for b in text) / n, 1), min(5 * (text.count(b"http") + text.count(b"www.")) / n, 1),
+        sum(len(x.split()) < 4 for x in lines) / len(lines),
+    ]
+
+
+def test_quality_scores_equal_a_plain_reading(spark):
+    odd = ["# a | b | c ** $$ <x>", "Read http://x.y www.z.w now! now! now!", "if (a) { b; } else { c; }\nif (a) { b; }", "x " * 40, "\n\n a \n", "é漢 ü" * 9, "w" * 50 + " _ 12 A"]
+    texts = odd + [r.text for r in spark.read.parquet(f"{cases.SF}/documents.parquet").limit(60).collect()] + [t for _, t, *_ in cases.awkward_rows() if t and len(t) < 9000]
+    for text in texts:
+        assert np.allclose(bradley_terry.features(text.encode()), plain_features(text.encode())), text[:80]
+    rng = np.random.default_rng(4)
+    x, good = np.array([plain_features(t.encode()) for t in texts]), rng.integers(0, 2, len(texts))
+    ranking = bradley_terry.fit_ranking(x, good, pairs=500)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in bradley_terry.score_quality(docs, ranking).collect()}
+    for k, row in enumerate(x):
+        raw = sum(w * (v - c) / s for w, v, c, s in zip(ranking.weights, row, ranking.centre, ranking.scale))
+        odds = bradley_terry.ACCEPT / (1 - bradley_terry.ACCEPT) * math.exp((raw - ranking.threshold) / ranking.spread)
+        assert got[k] == pytest.approx(odds / (1 + odds), abs=1e-6)
+
+
+def test_preferences_are_fitted_to_the_end():
+    """At the fitted weights no small step makes the pairs likelier, by the plain sum of logarithms over all pairs."""
+    x = np.array([[0.0, 1.0], [1.0, 0.2], [0.4, 0.9], [2.0, 0.1], [1.5, 1.1]])
+    good = np.array([1, 0, 1, 0, 1])
+    ranking = bradley_terry.fit_ranking(x, good, pairs=6)
+    rng = np.random.default_rng(8)
+    i, j = np.resize(rng.permutation(3), 6), np.resize(rng.permutation(2), 6)[rng.permutation(6)]
+    pairs = [(x[good == 1][a] - x[good == 0][b]) / ranking.scale for a, b in zip(i, j)]
+
+    def likelihood(w):
+        return sum(-math.log(1 + math.exp(-float(d @ w))) for d in pairs) - 0.5 * float(w @ w)
+
+    best = likelihood(ranking.weights)
+    assert all(likelihood(ranking.weights + 0.01 * np.array(step)) < best for step in ((1, 0), (-1, 0), (0, 1), (0, -1), (1, 1), (-1, 1)))
+
+
 def test_quality_of_awkward_rows(spark):
     docs = cases.with_clashes(cases.awkward(spark))
     labels = spark.createDataFrame([(4, 0, 0), (5, 1, 0), (7, 1, 1), (9, 0, 1), (7, None, None), (None, 1, 1), (99, 1, 0)], "doc_id bigint, quality int, toxic int")
