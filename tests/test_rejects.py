@@ -190,3 +190,19 @@ def test_one_product_with_many_price_ranges(spark):
         valid = [(f, n, p) for n, pr, ch, f, t, p, ok in ranges if ok and pr == product and ch == channel and on and f <= on <= t]
         assert got[i] == (given if given is not None else max(valid)[2] if valid else fallback), i
     assert len(got) == len(asked)
+
+
+def test_a_price_range_is_not_repeated_along_its_length(spark):
+    """Ranges of any length come once or twice, in buckets that hold all their days."""
+    first, lengths = date(1995, 1, 1), [1, 2, 8, 9, 184, 365, 512, 513, 5000, 700_000]
+    ranges = spark.createDataFrame(
+        [(n, first + timedelta(days=7 * n), first + timedelta(days=7 * n + length - 1)) for n, length in enumerate(lengths)] + [(99, first, date(1994, 1, 1)), (98, None, first)],
+        "id int, valid_from date, valid_to date",
+    )
+    cut = commerce.cut_ranges(ranges).collect()
+    assert {r.id for r in cut} == set(range(len(lengths)))
+    for n, length in enumerate(lengths):
+        own = [r for r in cut if r.id == n]
+        assert len(own) <= 2 and own[0]["__width"] >= length
+        days = [(r.valid_from - date(1970, 1, 1)).days for r in own[:1]] + [(own[0].valid_to - date(1970, 1, 1)).days]
+        assert {day // own[0]["__width"] for day in days} == {r["__bucket"] for r in own}
