@@ -192,6 +192,22 @@ def test_stock_goes_on_after_a_stop(spark, tmp_path):
     assert got == sorted(stock_by_hand(moves, idle, moves.agg(F.max("moved_at")).first()[0] - timedelta(days=1))[0])
 
 
+def test_stock_of_many_keys_is_a_table(spark, tmp_path):
+    """Twenty thousand keys over five batches, some moves late: the state is written anew, and only the last two are kept."""
+    moves = spark.range(100_000).select(
+        (F.col("id") % 20_000).alias("warehouse_id"), F.lit(1).cast("bigint").alias("product_id"), F.col("id").cast("string").alias("move_id"),
+        F.lit("sale_delivery").alias("move_type"), F.lit(-4.0).alias("quantity"), F.lit(10.0).alias("opening_qty"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days=F.expr("int(id div 20000)"))).alias("moved_at"),
+    )
+    inbox, out = str(tmp_path / "in"), tmp_path / "out"
+    deliver(moves, 5, "moved_at", inbox)
+    moves.where("id < 7").withColumn("move_id", F.lit("late")).coalesce(1).write.mode("append").parquet(inbox)
+    found = stateful.stock_events(run.read_stream(spark, inbox, moves.schema, 1), str(out), "1 DAYS", timedelta(days=2))
+    assert [tuple(r) for r in found.rows.groupBy("kind", "at", "on_hand", "moves").count().collect()] == [("negative", at(2), -2, 3, 20_000)]
+    assert found.late["moves"].count() == 7
+    assert found.state_rows()[-1] == 20_000 and len(list(out.glob("batches/batch_id=*/part=state"))) <= 2
+
+
 def test_empty_streams(spark, tmp_path):
     orders, payments = orders_and_payments(spark)
     for name, df in (("o", orders), ("p", payments)):

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tradewind.session import scratch_path
+from tradewind.session import remove_staged, scratch_path
 from tradewind.sources.tables import latest_per_key
 
 
@@ -165,6 +165,86 @@ def drain_beside(result: DataFrame, inputs: Mapping[str, tuple[DataFrame, str, s
     return Drained(found, kept_rows, spark.read.schema(newest_ddl).parquet(os.path.join(marks, "b*")), [_plain(p) for p in query.recentProgress])
 
 
+def drain_with_state(
+    stream: DataFrame, path: str, time: str, delay: str,
+    step: Callable[[DataFrame, DataFrame | None, int], DataFrame], state_ddl: str, result_ddl: str, expired: Callable[[DataFrame, int], DataFrame],
+) -> Drained:
+    """Process what is available with a state that is a table, written anew by each batch beside its rows.
+
+    `step` takes a batch's rows that are not late, the state before (None: none yet) and the watermark, and gives rows
+    of `found`, an array of results, and `state`, a row of the state after or NULL. `expired` gives the results of
+    state that the watermark has passed; they belong to the result once the input is drained. Late rows and watermarks are
+    those of `drain_beside`. A batch reads the state that the one before wrote and a repeated batch replaces
+    what it wrote; older states are removed, so the rows of a run are read before the next run goes on from it.
+    """
+    spark = stream.sparkSession
+    written, marks = os.path.join(path, "batches"), os.path.join(path, "marks")
+    marks_ddl = "newest bigint, watermark bigint, used bigint, batch bigint, held bigint"
+    late_ddl = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in stream.schema)
+    rows_ddl = f"result struct<{_struct(result_ddl)}>, state struct<{_struct(state_ddl)}>, late struct<{late_ddl}>, part string"
+    delay_ms = _delay_ms(spark, delay)
+    rows_of = lambda of, number: of.read.schema(rows_ddl).option("basePath", written).parquet(os.path.join(written, f"batch_id={number}"))
+
+    def mark(of: SparkSession, number: int) -> dict:
+        return of.read.schema(marks_ddl).parquet(os.path.join(marks, f"b{number}")).first().asDict()
+
+    def set_mark(of: SparkSession, number: int, values: dict) -> None:
+        row = of.createDataFrame([tuple(values[f.split()[0]] for f in marks_ddl.split(", "))], marks_ddl)
+        row.coalesce(1).write.mode("overwrite").parquet(os.path.join(marks, f"b{number}"))
+
+    def state_of(of: SparkSession, number: int) -> DataFrame:
+        return rows_of(of, number).where("part = 'state'").select("state.*")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        before = mark(session, batch_id - 1) if batch_id > 0 else {"newest": None, "watermark": None, "used": None}
+        seen, held = Observation(), Observation()
+        watched = batch.observe(seen, F.max(F.unix_millis(time)).alias("newest"))
+        is_late = _is_late(F.col(time), before["used"] or 0)
+        state = state_of(session, batch_id - 1) if batch_id > 0 else None
+        # the same shape for results, state and late rows, so that one job writes them all
+        shape = lambda part, **given: F.struct(
+            *[given.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in _kinds(rows_ddl).items() if n != "part"], F.lit(part).alias("part")
+        )
+        stepped = step(watched.where(~is_late), state, before["watermark"] or 0)
+        results = F.transform("found", lambda r: shape("result", result=r))
+        kept = F.array_compact(F.array(F.when(F.col("state").isNotNull(), shape("state", state=F.col("state")))))
+        rows = stepped.select(F.explode(F.concat(results, kept)).alias("r")).select("r.*")
+        aside = watched.where(is_late).select(shape("late", late=F.struct(*stream.columns)).alias("r")).select("r.*")
+        both = rows.unionByName(aside).observe(held, F.count_if(F.col("part") == "state").alias("held"))
+        both.write.mode("overwrite").partitionBy("part").parquet(os.path.join(written, f"batch_id={batch_id}"))
+        newest = max((x for x in (before["newest"], seen.get["newest"]) if x is not None), default=None)
+        after = before["watermark"] if newest is None else max(newest - delay_ms, before["watermark"] or 0, 0)
+        set_mark(session, batch_id, {"newest": newest, "watermark": after, "used": before["watermark"], "batch": batch_id, "held": held.get["held"]})
+        if batch_id > 1:
+            remove_staged(session, os.path.join(written, f"batch_id={batch_id - 2}", "part=state"))
+
+    drain_batches(stream, path, write)
+    log = spark.read.schema(marks_ddl).parquet(os.path.join(marks, "b*"))
+    all_marks = log.orderBy("batch").collect()
+    rows = spark.read.schema(rows_ddl).option("basePath", path).parquet(os.path.join(written, "batch_id=*"))
+    found = rows.where("part = 'result'").select("result.*")
+    sizes = [m.held for m in all_marks]
+    if all_marks:
+        end = all_marks[-1].asDict()
+        # the input has been taken in whole, so what comes later is measured by its watermark
+        set_mark(spark, end["batch"], end | {"used": end["watermark"]})
+        last = state_of(spark, end["batch"])
+        ended = expired(last, end["watermark"] or 0)
+        found = found.unionByName(ended)
+        sizes.append(end["held"] - ended.count())
+    progress = [{"stateOperators": [{"numRowsTotal": n}]} for n in sizes]
+    return Drained(found, {"moves": rows.where("part = 'late'").select("late.*")}, log, progress)
+
+
+def _kinds(ddl: str) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in T.StructType.fromDDL(ddl).fields}
+
+
+def _struct(ddl: str) -> str:
+    return ", ".join(f"`{name}`: {kind.simpleString()}" for name, kind in _kinds(ddl).items())
+
+
 def _delay_ms(spark: SparkSession, delay: str) -> int:
     return spark.range(1).select(F.unix_millis(F.timestamp_millis(F.lit(0)) + F.expr(f"INTERVAL {delay}"))).first()[0]
 

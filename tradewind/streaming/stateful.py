@@ -1,9 +1,10 @@
-"""Stream operators whose state the engine keeps and bounds: duplicates, order and payment pairs, running stock.
+"""Stream operators whose state is kept and bounded: duplicates, order and payment pairs, running stock.
 
 Every operator has a watermark: the newest event time seen, less the stated delay
 (of several inputs, the oldest such mark). State behind the watermark is removed, so
-its size follows the delay and not the length of the stream; it lies in RocksDB and
-in the checkpoint, and no batch reads what earlier batches wrote.
+its size follows the delay and not the length of the stream. Of duplicates and pairs it lies
+in RocksDB and in the checkpoint, and no batch reads what earlier batches wrote; of stock
+it is a table that each batch reads and writes anew.
 
 A row that comes behind the watermark is late. The engine drops late rows silently;
 here they are written aside (`run.drain_beside`), so that every input row is either
@@ -12,14 +13,12 @@ counted or kept. A row without event time is late at once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradewind.operators.inventory import STOCK_KEY, on_hand_effect
-from tradewind.streaming.run import Drained, drain_beside, on_time
+from tradewind.streaming.run import Drained, drain_beside, drain_with_state, on_time
 
 
 def first_of_each(events: DataFrame, path: str, delay: str, key: str = "event_id", time: str = "event_time") -> Drained:
@@ -78,50 +77,32 @@ def settle_late_payments(
     )
 
 
-class _Stock(StatefulProcessor):
-    """On-hand quantity of one (warehouse, product), from its first move until it has been idle for long; times in microseconds."""
-
-    def __init__(self, idle: timedelta) -> None:
-        self.idle = idle // timedelta(microseconds=1)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.level = handle.getValueState("level", "on_hand decimal(28,3), moved bigint, moves bigint")
-
-    def _row(self, key: tuple, kind: str, at: int, level: tuple) -> Row:
-        return Row(**dict(zip(STOCK_KEY, key)), kind=kind, at=at, on_hand=level[0], moves=level[2])
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = self.level.get()
-        known = held is not None
-        for move in sorted(rows, key=lambda r: (r.moved, r.move_id)):
-            if held is not None and move.moved - held[1] > self.idle:
-                yield self._row(key, "settled", held[1], held)
-                held = None
-            before = move.opening_qty if held is None else held[0]
-            after = before + move.change
-            held = (after, move.moved, 1) if held is None else (after, max(held[1], move.moved), held[2] + 1)
-            if before >= 0 > after:
-                yield self._row(key, "negative", move.moved, held)
-        self.level.update(held)
-        if not known:
-            # one timer per key: when it rings too early, it is set again
-            self.handle.registerTimer(self._expiry(held))
-
-    def _expiry(self, held: tuple) -> int:
-        """The first millisecond at which a key has been idle for too long."""
-        return (held[1] + self.idle) // 1000 + 1
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = self.level.get()
-        if self._expiry(held) > expiredTimerInfo.getExpiryTimeInMs():
-            self.handle.registerTimer(self._expiry(held))
-        else:
-            self.level.clear()
-            yield self._row(key, "settled", held[1], held)
-
-    def close(self) -> None:
-        pass
+_QTY, _WIDE = "decimal(18,3)", "decimal(28,3)"
+
+
+def _levels(known: DataFrame, moves: DataFrame, idle: timedelta) -> DataFrame:
+    """Each move, and each known level, with what its key has after it; `known` holds one row per key."""
+    limit = F.lit(idle // timedelta(microseconds=1))
+    held = known.select(
+        *STOCK_KEY, F.lit(True).alias("known"), F.lit("").alias("move_id"), "moved", F.col("on_hand").alias("change"), F.lit(None).cast(_QTY).alias("opening_qty"), "moves"
+    )
+    rows = held.unionByName(moves.select(*STOCK_KEY, F.lit(False).alias("known"), "move_id", "moved", "change", "opening_qty", F.lit(1).cast("bigint").alias("moves")))
+    order = Window.partitionBy(*STOCK_KEY).orderBy(F.desc("known"), "moved", "move_id")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    # a late state row may lie behind its moves: the newest time counts
+    last = F.max("moved").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    timed = rows.withColumn("last", last).withColumn("opens", F.col("last").isNull() | (F.col("moved") - F.col("last") > limit))
+    size = F.coalesce("change", F.lit(0)) + F.when(F.col("opens"), F.coalesce("opening_qty", F.lit(0))).otherwise(0)
+    summed = timed.withColumn("size", size.cast(_WIDE)).withColumns({
+        "all_hand": F.sum("size").over(so_far), "all_moves": F.sum("moves").over(so_far), "newest": F.greatest("last", "moved"),
+    })
+    # what the key had added up before it was opened the last time
+    opened = F.last(F.when(F.col("opens"), F.struct((F.col("all_hand") - F.col("size")).alias("hand"), (F.col("all_moves") - F.col("moves")).alias("moves"))), True)
+    based = summed.withColumns({"base": opened.over(so_far), "closes": F.lead("opens").over(order)})
+    return based.select(
+        *STOCK_KEY, "known", "moved", "newest", "change", "closes",
+        (F.col("all_hand") - F.col("base.hand")).cast(_WIDE).alias("on_hand"), (F.col("all_moves") - F.col("base.moves")).alias("moves"),
+    )
 
 
 def stock_events(moves: DataFrame, path: str, delay: str, idle: timedelta, time: str = "moved_at") -> Drained:
@@ -132,14 +113,34 @@ def stock_events(moves: DataFrame, path: str, delay: str, idle: timedelta, time:
     starts when it has no state. A settled key leaves the state. Moves count in the order of their
     arrival, those of one batch in the order of their time, so batches in time order give the
     same rows wherever they are cut. Late moves are aside and belong to the next stock-taking.
+
+    The state is a table, one row per key that is not settled: a batch meets it in windows of the key and
+    writes it anew beside its rows, so all keys go through one sort and none through a call of its own.
     """
-    sized = on_time(moves, time).withWatermark(time, delay).select(
-        *STOCK_KEY, F.col("move_id").cast("string").alias("move_id"), time, F.unix_micros(time).alias("moved"),
-        on_hand_effect().cast("decimal(18,3)").alias("change"), F.col("opening_qty").cast("decimal(18,3)").alias("opening_qty"),
-    )
-    keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sized.select(*STOCK_KEY).schema)
-    found = sized.groupBy(*STOCK_KEY).transformWithState(
-        statefulProcessor=_Stock(idle), outputStructType=f"{keys}, kind string, at bigint, on_hand decimal(28,3), moves bigint",
-        outputMode="Append", timeMode="EventTime",
-    )
-    return drain_beside(found.withColumn("at", F.timestamp_micros("at")), {"moves": (moves, time, delay)}, path)
+    kinds = {f.name: f.dataType.simpleString() for f in moves.select(*STOCK_KEY).schema}
+    keys = ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+    state_ddl = f"{keys}, moved bigint, on_hand {_WIDE}, moves bigint"
+    limit = idle // timedelta(microseconds=1)
+    # the first millisecond at which a key has been idle for too long
+    expiry = lambda moved: F.expr(f"({moved} + {limit} - pmod({moved} + {limit}, 1000)) div 1000 + 1")
+    row = lambda kind, at: F.struct(*STOCK_KEY, F.lit(kind).alias("kind"), F.timestamp_micros(at).alias("at"), "on_hand", "moves")
+
+    def step(batch: DataFrame, state: DataFrame | None, watermark: int) -> DataFrame:
+        spark = batch.sparkSession
+        known = spark.createDataFrame([], state_ddl) if state is None else state
+        sized = batch.select(
+            *STOCK_KEY, F.col("move_id").cast("string").alias("move_id"), F.unix_micros(time).alias("moved"),
+            on_hand_effect().cast(_QTY).alias("change"), F.col("opening_qty").cast(_QTY).alias("opening_qty"),
+        )
+        before = F.col("on_hand") - F.coalesce("change", F.lit(0))
+        gone = F.coalesce("closes", F.col("closes").isNull() & (expiry("newest") <= watermark))
+        crossed = ~F.col("known") & (before >= 0) & (F.col("on_hand") < 0)
+        held = F.struct(*STOCK_KEY, F.col("newest").alias("moved"), "on_hand", "moves")
+        out = F.array_compact(F.array(F.when(crossed, row("negative", "moved")), F.when(gone, row("settled", "newest"))))
+        return _levels(known, sized, idle).select(out.alias("found"), F.when(F.col("closes").isNull() & ~gone, held).alias("state"))
+
+    def expired(state: DataFrame, watermark: int) -> DataFrame:
+        return state.where(expiry("moved") <= watermark).select(row("settled", "moved").alias("r")).select("r.*")
+
+    result_ddl = f"{keys}, kind string, at timestamp, on_hand {_WIDE}, moves bigint"
+    return drain_with_state(moves, path, time, delay, step, state_ddl, result_ddl, expired)
