@@ -160,3 +160,24 @@ def test_maxima_equal_a_window(spark):
     before = Window.partitionBy("k").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     want = rows.select("k", "place", F.max("v").over(before).alias("top"))
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() == 3000
+
+
+def test_only_keys_in_several_chunks_are_carried_over(spark):
+    """A hot key and a hot NULL key among single rows: only those two meet other chunks, and all totals are those of a plain walk."""
+    from tradewind.functions import prefix
+
+    rows = [(None if n % 3 == 0 else 7 if n % 3 == 1 else 1000 + n, n, n % 5) for n in range(6000)]
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    chunked = prefix.in_chunks(df.repartition(4), ["k", "t"])
+    chunks = {}
+    for r in chunked.collect():
+        chunks.setdefault(r.k, set()).add(r[prefix.CHUNK])
+    several = {k for k, own in chunks.items() if len(own) > 1}
+    spread = prefix._spread(chunked, ["k"])
+    assert {r.k for r in spread.select("k").distinct().collect()} == several
+    got = {r.t: (r.k, r.before) for r in prefix.totals_in_chunks(chunked, ["k"], ["t"], {"before": F.col("v")}).collect()}
+    seen, want = {}, {}
+    for k, n, v in rows:
+        want[n] = (k, seen.get(k, 0))
+        seen[k] = seen.get(k, 0) + v
+    assert got == want
