@@ -312,7 +312,7 @@ QUERIES: dict[str, Query] = {
         LEFT JOIN stock_balances b ON b.warehouse_id = l.warehouse_id AND b.product_id = l.product_id + l.line_no % 2""",
     ),
     "i02_ensure_balances": Query(
-        lambda c: inventory.ensure_balances(c.stock_balances, c.sales_order_lines.select("warehouse_id", (F.col("product_id") + F.col("line_no") % 2).alias("product_id"))),
+        lambda c: inventory.ensure_balances(c.stock_balances, c.sales_order_lines.select("warehouse_id", (F.col("product_id") + F.col("line_no") % 2).alias("product_id")), c.line_tasks),
         "warehouse_id:i product_id:i on_hand_qty:n reserved_qty:n reorder_point:n",
         """SELECT * FROM stock_balances UNION ALL SELECT DISTINCT warehouse_id, product_id + line_no % 2, 0, 0, 0 FROM sales_order_lines l
         WHERE NOT EXISTS (SELECT 1 FROM stock_balances b WHERE b.warehouse_id = l.warehouse_id AND b.product_id = l.product_id + l.line_no % 2)""",
@@ -339,7 +339,7 @@ QUERIES: dict[str, Query] = {
     ),
     "i05_reserve_orders": Query(_reserved, "order_id:i reject_reason:s", f"SELECT * FROM ({_SERVED})"),
     "i06_replay_ledger": Query(
-        lambda c: inventory.replay_ledger(c.stock_balances, c.stock_moves),
+        lambda c: inventory.replay_ledger(c.stock_balances, c.stock_moves, c.line_tasks),
         "warehouse_id:i product_id:i on_hand_qty:n reserved_qty:n move_count:i",
         f"""SELECT b.warehouse_id, b.product_id, on_hand_qty + coalesce(sum({_HAND}), 0) AS on_hand_qty,
         reserved_qty + coalesce(sum({_HELD}), 0) AS reserved_qty, count(m.stock_move_id) AS move_count

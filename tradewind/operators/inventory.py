@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradewind.functions import QUANTITY, round_money, totals_before
 from tradewind.operators.commerce import first_failure
 from tradewind.operators.greedy import accept_groups_in_order
-from tradewind.sources.tables import insert_if_absent
+from tradewind.sources.tables import deal, insert_if_absent
 
 STOCK_KEY = ["warehouse_id", "product_id"]
 
@@ -20,13 +20,13 @@ def available_qty(balances: DataFrame, keys: DataFrame) -> DataFrame:
     return keys.join(free, STOCK_KEY, "left")
 
 
-def ensure_balances(balances: DataFrame, keys: DataFrame) -> DataFrame:
-    """Balances with a zero row for every asked key that had none."""
+def ensure_balances(balances: DataFrame, keys: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Balances with a zero row for every asked key that had none; with `tasks`, keys are dealt over that many tasks."""
     zero = F.lit(0).cast(QUANTITY)
     blank = keys.select(
         *STOCK_KEY, zero.alias("on_hand_qty"), zero.alias("reserved_qty"), zero.alias("reorder_point")
     )
-    return insert_if_absent(balances.select(*blank.columns), blank, STOCK_KEY)
+    return insert_if_absent(balances.select(*blank.columns), blank, STOCK_KEY, tasks)
 
 
 def replenish(
@@ -127,12 +127,13 @@ def reserved_effect() -> Column:
     return F.when(kind == "sale_reservation", -quantity).when(kind == "sale_delivery", quantity).otherwise(0)
 
 
-def replay_ledger(opening: DataFrame, moves: DataFrame) -> DataFrame:
-    """Balances from opening balances plus all moves."""
+def replay_ledger(opening: DataFrame, moves: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Balances from opening balances plus all moves; with `tasks`, keys are dealt over that many tasks."""
+    moves = deal(moves.select(*STOCK_KEY, "move_type", "quantity"), tasks, STOCK_KEY)
     sums = moves.groupBy(*STOCK_KEY).agg(
         F.sum(on_hand_effect()).alias("__hand"), F.sum(reserved_effect()).alias("__held"), F.count("*").alias("__moves")
     )
-    start = opening.select(*STOCK_KEY, "on_hand_qty", "reserved_qty")
+    start = deal(opening.select(*STOCK_KEY, "on_hand_qty", "reserved_qty"), tasks, STOCK_KEY)
     zero = F.lit(0)
     add = lambda a, b: (F.coalesce(F.col(a), zero) + F.coalesce(F.col(b), zero)).cast("decimal(28,3)")
     return start.join(sums, STOCK_KEY, "full").select(

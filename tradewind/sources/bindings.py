@@ -44,6 +44,9 @@ SEGMENTS = [
     (5, "MACHINERY", "Machinery"),
 ]
 
+# fixed value: so many order lines are behind the rows of one task, where rows are dealt by number
+LINES_PER_TASK = 250_000
+
 _SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 
 
@@ -72,6 +75,14 @@ class Canonical:
             _SCHEMAS[key] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
+    @cached_property
+    def line_tasks(self) -> int:
+        """Over how many tasks stock keys are dealt; it grows with the lines, which are counted from the file footers.
+
+        Partitions sized by their bytes would hold millions of such short rows, several times as large in memory.
+        """
+        return max(self.spark.sparkContext.defaultParallelism, -(-self.raw("lineitem").count() // LINES_PER_TASK))
+
     def with_lines_staged(self) -> Canonical:
         """Write the order lines once; every table derived from them then reads the copy and not the given table."""
         self.__dict__["_lines_only"] = stage_table(self._lines_only, "lines")
@@ -296,6 +307,7 @@ class Canonical:
         sizes = self.raw("part").select(_id("p_partkey").alias("product_id"), "p_size")
         return (
             self._lines_only.select("warehouse_id", "product_id")
+            .repartition(self.line_tasks, "warehouse_id", "product_id")
             .distinct()
             .join(sizes, "product_id")
             .select(

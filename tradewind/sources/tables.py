@@ -72,12 +72,21 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     writer.parquet(path)
 
 
-def insert_if_absent(target: DataFrame, new_rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target plus those new rows whose key it does not hold; a key offered twice is added once."""
-    fresh = new_rows.dropDuplicates(list(keys)).join(target.select(*keys), list(keys), "left_anti")
+def insert_if_absent(target: DataFrame, new_rows: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """Target plus those new rows whose key it does not hold; a key offered twice is added once.
+
+    With `tasks`, keys are dealt over that many tasks.
+    """
+    keys = list(keys)
+    fresh = deal(new_rows, tasks, keys).dropDuplicates(keys).join(deal(target.select(*keys), tasks, keys), keys, "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 
+def deal(rows: DataFrame, tasks: int | None, keys: Sequence[str]) -> DataFrame:
+    """The rows dealt by key over `tasks` tasks, or as they are; what groups or joins them by the key then runs in these tasks."""
+    return rows if tasks is None else rows.repartition(tasks, *keys)
+
+
 def update_from(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace the columns that `changes` carries, for keys it holds; other rows stay as they are."""
     keys = list(keys)
