@@ -219,7 +219,7 @@ QUERIES: dict[str, Query] = {
     ),
     "b13_multi_warehouse_stock": Query(
         lambda c: products.multi_warehouse_stock(
-            {"ERP": c.stock_balances, "WMS": inventory.replay_ledger(c.stock_balances, c.stock_moves)}
+            {"ERP": c.stock_balances, "WMS": inventory.replay_ledger(c.stock_balances, c.stock_moves, c.line_tasks)}, c.line_tasks
         ),
         "source_system:s product_id:i on_hand_qty:n warehouses:i largest_warehouse_qty:n",
         """SELECT 'ERP' AS source_system, product_id, sum(on_hand_qty) AS on_hand_qty, count(*) AS warehouses, max(on_hand_qty) AS largest_warehouse_qty

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.seed import Seed
-from tradewind.operators import commerce, finance, inventory, serving
+from tradewind.operators import commerce, finance, inventory, products, serving
 from tradewind.plans.warehouse import Warehouse
+from tradewind.sources import bindings
 
 
 @pytest.fixture(scope="module")
@@ -93,6 +94,27 @@ def test_stock_after_delivery(seed):
     assert got == [(1, 1, 488, D("569.33")), (1, 4, 495, D("1386.00")), (2, 2, 650, D("182.00")), (2, 3, 680, D("476.00"))]
 
 
+def test_stock_keys_are_dealt_by_number(seed, spark, tmp_path, monkeypatch):
+    """Tasks of stock keys grow with the lines, and dealt keys give the same balances."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(bindings, "LINES_PER_TASK", 2)
+    line = "id AS l_orderkey, id % 7 AS l_partkey, id % 3 AS l_suppkey, 1 AS l_linenumber, 5.0 AS l_quantity, 9.0 AS l_extendedprice, 0.1 AS l_discount, 'N' AS l_returnflag"
+    spark.range(62).selectExpr(*line.split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(6).selectExpr("id AS p_partkey", "id + 1 AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    c = bindings.Canonical(spark, str(tmp_path))
+    assert c.line_tasks == 31 and "31), REPARTITION_BY_NUM" in plan(c.stock_balances)
+    assert rows(c.stock_balances, "warehouse_id", "product_id", "on_hand_qty") == sorted((w, p, (p + 1) * 10) for w in range(3) for p in range(6))
+    asked = spark.createDataFrame([(1, 1), (1, 1), (77, 1)], "warehouse_id int, product_id int")
+    for plain, dealt in (
+        (inventory.replay_ledger(seed.stock_balances, seed.moves()), inventory.replay_ledger(seed.stock_balances, seed.moves(), 13)),
+        (inventory.ensure_balances(seed.stock_balances, asked), inventory.ensure_balances(seed.stock_balances, asked, 13)),
+    ):
+        assert "13), REPARTITION_BY_NUM" in plan(dealt) and rows(plain, *plain.columns) == rows(dealt, *plain.columns)
+    stock = {"A": seed.stock_balances, "B": seed.stock_balances.where("product_id > 1")}
+    plain, dealt = products.multi_warehouse_stock(stock), products.multi_warehouse_stock(stock, 13)
+    assert "13), REPARTITION_BY_NUM" in plan(dealt) and rows(plain, *plain.columns) == rows(dealt, *plain.columns)
+
+
 def test_rfm(seed, house):
     assert rows(house.mart_customer_rfm, "customer_code", "recency_days", "frequency_orders", "monetary_value", "customer_status") == [
         ("CUS-00001", 12, 1, 198000, "ACTIVE"), ("CUS-00003", 11, 1, 855000, "ACTIVE")]

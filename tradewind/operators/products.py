@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradewind.functions import exact_ratio, neighbour_values
 from tradewind.session import stage_table
+from tradewind.sources.tables import deal
 
 WIDE = "decimal(20,0)"
 
@@ -334,13 +335,16 @@ def ops_marts(moves: DataFrame, shipments: DataFrame) -> DataFrame:
     )
 
 
-def multi_warehouse_stock(sources: dict[str, DataFrame]) -> DataFrame:
-    """Stock per product over all warehouses and source systems (product_id, warehouse_id, on_hand_qty)."""
+def multi_warehouse_stock(sources: dict[str, DataFrame], tasks: int | None = None) -> DataFrame:
+    """Stock per product over all warehouses and source systems (product_id, warehouse_id, on_hand_qty).
+
+    With `tasks`, products are dealt over that many tasks, and their places are added up there.
+    """
     parts = [df.select(F.lit(name).alias("source_system"), "product_id", "warehouse_id", "on_hand_qty") for name, df in sources.items()]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    per_place = rows.groupBy("source_system", "product_id", "warehouse_id").agg(F.sum("on_hand_qty").alias("qty"))
+    per_place = deal(rows, tasks, ["product_id"]).groupBy("source_system", "product_id", "warehouse_id").agg(F.sum("on_hand_qty").alias("qty"))
     return per_place.groupBy("source_system", "product_id").agg(
         F.sum("qty").alias("on_hand_qty"), F.count("*").alias("warehouses"), F.max("qty").alias("largest_warehouse_qty")
     )
