@@ -1,7 +1,7 @@
 """Chunked running totals, neighbours, and first-come decisions against plain sequential loops."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import date, timedelta
 from decimal import Decimal as D
 
@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tradewind.functions import exact_ratio, neighbour_values, occurrence_number, totals_before
-from tradewind.operators import inventory
+from tradewind.operators import greedy, inventory
 from tradewind.operators.greedy import accept_groups_in_order, accept_in_order
 from tradewind.sources.bindings import Canonical
 
@@ -63,6 +63,26 @@ def test_accept_in_order(spark):
     assert 0 < sum(want.values()) < len(want)
 
 
+def test_small_keys_take_no_rounds(spark, monkeypatch):
+    """Items of small keys are moved once; a key with too many items is settled beside them, by the rounds."""
+    rows, df = items(spark, 4, 240, 24, 30, 40)
+
+    def decide():
+        got = accept_in_order(df, ["key"], ["day"], ["id"], F.col("amount"), F.lit(70).cast("decimal(18,2)"))
+        return {r.id: r.accepted for r in got.collect()}
+
+    used, want = defaultdict(int), {}
+    for i, key, day, amount in sorted(rows, key=lambda r: (r[2], r[0])):
+        want[i] = used[key] + amount <= 70
+        used[key] += amount if want[i] else 0
+    sizes = sorted(Counter(key for _, key, _, _ in rows).values())
+    with monkeypatch.context() as few:
+        few.setattr(greedy, "FEW_ITEMS", sizes[len(sizes) // 2])
+        assert sizes[0] < sizes[-1] and decide() == want
+    monkeypatch.setattr(greedy, "in_chunks", lambda *a: pytest.fail("rounds for small keys"))
+    assert decide() == want and 0 < sum(want.values()) < len(want)
+
+
 def test_unknown_items_are_refused_and_use_nothing(spark):
     rows = [
         (1, 1, START, D("3.0004")), (2, 1, START + timedelta(days=1), D("3.0004")), (3, None, START, D(9)), (4, None, START, D(9)),
