@@ -4,6 +4,7 @@ import os
 from datetime import date
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -182,6 +183,13 @@ def test_large_baskets_meet_in_blocks(spark, monkeypatch):
     assert got == {p: n for p, n in want.items() if n >= 2}
 
 
+def test_replaced_tables_are_written_small(spark, tmp_path):
+    tables.replace_table(spark.range(100), f"{tmp_path}/t")
+    written = [pq.ParquetFile(f).metadata for f in tmp_path.glob("t/*.parquet")]
+    assert sum(m.num_rows for m in written) == 100
+    assert {m.row_group(g).column(0).compression for m in written for g in range(m.num_row_groups)} == {"ZSTD"}
+
+
 def test_codes_of_an_order_are_looked_up_per_order(spark, monkeypatch):
     """No lookup moves a line with the codes of its order; unknown codes give NULL."""
     master = lambda code, key, values: spark.createDataFrame(values, f"{code} string, {key} long")
