@@ -1,6 +1,7 @@
 """Near duplicates, repeated strings, benchmark matches, and the pipeline, against brute force."""
 
 import hashlib
+import pickle
 import random
 
 import corpus_pipeline
@@ -235,6 +236,20 @@ def test_matches_of_given_and_awkward_rows(spark):
     assert positional_index.contamination(docs, some.limit(0)).where("contaminated").count() == 0
 
 
+def test_workers_hold_a_few_bytes_for_each_word_asked(spark, monkeypatch):
+    """What is sent to the workers: a block's words once, and not every window written out; one block at a time."""
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: (sent.append(len(pickle.dumps(value))), send(self, value))[1])
+    monkeypatch.setattr(positional_index, "BLOCK_TERMS", 40_000)
+    rng = random.Random(3)
+    texts = [" ".join(cases.words(rng, 400, 10 ** 6)) for _ in range(150)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:20])], "doc_id bigint, text string")
+    items = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts[:50]])], "item_id bigint, text string")
+    found = positional_index.contamination(docs, items).collect()
+    assert {(r.doc_id, tuple(r["items"])) for r in found} == {(i, tuple(sorted((str(i), str(150 + i))))) for i in range(20)}
+    assert len(sent) == 2 and max(sent) < 40 * 40_000
+
+
 def test_phrases_and_proximity(spark):
     texts = ["a b c d e", "x a b y a b", "b a", "a z z b", "", "c b a c a z b"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)

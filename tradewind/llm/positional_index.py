@@ -13,7 +13,10 @@ it, each moved back by its own offset. What is left are exact matches. For
 proximity the same lists are searched for all terms inside a short span.
 
 The questions travel in blocks of at most `BLOCK_TERMS` terms, whatever their
-number, and each block is put to all segments. No posting list leaves its segment,
+number, and each block is put to all segments. A block holds its words once, and its
+windows as runs over them; a segment looks its own terms up in the block, and only
+the windows that it has all terms of are written out, some thousands at a time. So a
+worker holds a few bytes for each word of a block. No posting list leaves its segment,
 so a term that stands in every document is no hot key.
 
 Words are maximal runs of digits, ASCII letters (A-Z lowered) and characters beyond
@@ -24,6 +27,7 @@ Rows that share an id are matched one by one and reported under that id.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +35,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewind.llm.common import Columns, id_and_bytes, map_columns
-from tradewind.session import stage_table
+from tradewind.session import setting, stage_table
 
 WINDOW = 13
 SEGMENT_WORDS = 200_000
 BLOCK_TERMS = 2_000_000
+SLICE = 16_384  # windows that are written out at a time
+BATCH_BYTES = str(8 << 20)  # of texts, or of segments, that a worker is sent at a time
+CANDIDATES = 1_000_000  # possible starts that are looked at at a time, or those of one window
 _TO_WORDS = bytes(b if b in b"0123456789abcdefghijklmnopqrstuvwxyz" or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
@@ -82,7 +89,10 @@ def build_index(docs: DataFrame, row: Column | None = None) -> DataFrame:
 
     numbered = id_and_bytes(docs, (F.monotonically_increasing_id() if row is None else row).alias("row"))
     ddl = f"rows array<bigint>, doc_ids array<{kind}>, n_words array<int>, terms array<bigint>, ends array<int>, positions array<int>"
-    return stage_table(map_columns(numbered, ddl, task), "positional-index")
+    # a row is a megabyte: pages and row groups of many rows would be held whole by whoever writes or reads them
+    small = {"parquet__block__size": str(16 << 20), "parquet__page__size__row__check__min": "1", "parquet__block__size__row__check__min": "1"}
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
+        return stage_table(map_columns(numbered, ddl, task), "positional-index", **small)
 
 
 class Segment:
@@ -102,25 +112,49 @@ class Segment:
         at = np.minimum(np.searchsorted(self.terms, hashes), max(len(self.terms) - 1, 0))
         return np.where(self.terms[at] == hashes, at, -1) if len(self.terms) else np.full(len(hashes), -1)
 
-    def phrases(self, hashes: np.ndarray, phrase_terms: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(phrase, start) of every exact match; `phrase_terms` holds places in `hashes`, -1 beyond a phrase's end."""
-        place = np.append(self.find_terms(hashes), -2)  # the last one stands for "beyond the end"
-        at = place[phrase_terms]
-        alive = np.flatnonzero((at != -1).all(1) & (lengths > 0))
-        if not len(alive) or not self.size:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = at[alive]
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """As `find_terms`, for sorted distinct hashes: the segment's terms are looked up among them."""
+        out = np.full(len(hashes), -1, np.int32)
+        if len(hashes):
+            at = np.minimum(np.searchsorted(hashes, self.terms), len(hashes) - 1)
+            here = np.flatnonzero(hashes[at] == self.terms)
+            out[at[here]] = here
+        return out
+
+    def phrases(self, places: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(phrase, start) of every exact match; a phrase is a run of `places`, the place in the term list of each word, or -1."""
+        none = np.zeros(0, np.int64)
+        if not self.size or not len(places):
+            return none, none
+        known = np.append(0, np.cumsum(places >= 0, dtype=np.int32))
+        alive = np.flatnonzero((known[starts + lengths] - known[starts] == lengths) & (lengths > 0))
+        found = [part for at in range(0, len(alive), SLICE) for part in self._matches(places, starts, lengths, alive[at:at + SLICE])]
+        return (np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])) if found else (none, none)
+
+    def _matches(self, places: np.ndarray, starts: np.ndarray, lengths: np.ndarray, alive: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The matches of the phrases `alive`, in parts of at most `CANDIDATES` possible starts or of one phrase."""
+        offset = np.arange(lengths[alive].max())
+        size = lengths[alive].astype(np.int64)
+        at = places[np.minimum(starts[alive].astype(np.int64)[:, None] + offset, len(places) - 1)].astype(np.int64)
+        at[offset >= size[:, None]] = -2  # beyond the end of a phrase
         counts = np.where(at >= 0, (self.ends - self.starts)[np.maximum(at, 0)], np.iinfo(np.int64).max)
         rarest_first = np.argsort(counts, axis=1, kind="stable")
-        lead = at[np.arange(len(alive)), rarest_first[:, 0]]
-        n = (self.ends - self.starts)[lead]
-        phrase = np.repeat(np.arange(len(alive)), n)
+        n = counts[np.arange(len(alive)), rarest_first[:, 0]]
+        part = (np.cumsum(n) - 1) // CANDIDATES
+        cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(alive))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            phrase, start = self._starts(at[a:b], rarest_first[a:b], n[a:b], size[a:b])
+            if len(phrase):
+                yield alive[a:b][phrase], start
+
+    def _starts(self, at: np.ndarray, rarest_first: np.ndarray, n: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lead = at[np.arange(len(at)), rarest_first[:, 0]]
+        phrase = np.repeat(np.arange(len(at)), n)
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         start = self.positions[np.repeat(self.starts[lead], n) + inside] - rarest_first[phrase, 0]
-        size = lengths[alive]
         ok = (start >= 0) & (start + size[phrase] <= self.size)
         phrase, start = phrase[ok], start[ok]
-        for turn in range(1, phrase_terms.shape[1]):
+        for turn in range(1, at.shape[1]):
             offset = rarest_first[phrase, turn]
             term = at[phrase, offset]
             key = term * self.size + start + offset
@@ -131,7 +165,7 @@ class Segment:
                 break
         first = np.searchsorted(self.doc_ends, start, "right")
         last = np.searchsorted(self.doc_ends, start + size[phrase] - 1, "right")
-        return alive[phrase[first == last]], start[first == last]
+        return phrase[first == last], start[first == last]
 
     def spans(self, term_places: np.ndarray, within: int) -> list[tuple[int, int]]:
         """Shortest stretches of at most `within` words, one per occurrence of the rarest term, that hold all terms."""
@@ -162,19 +196,12 @@ def _segments(batch: Columns) -> Iterator[tuple[list, list, np.ndarray, "Segment
         yield batch["rows"][i].values.to_numpy(zero_copy_only=False), batch["doc_ids"][i].values, n_words, Segment(n_words, terms, ends, positions)
 
 
-def item_windows(hashes: list[int], window: int = WINDOW) -> list[tuple[int, ...]]:
-    """The windows of an item: all runs of `window` words, or the whole item if it has fewer."""
-    if len(hashes) <= window:
-        return [tuple(hashes)] if hashes else []
-    return list(dict.fromkeys(tuple(hashes[k:k + window]) for k in range(len(hashes) - window + 1)))
-
-
-def _blocks(items: DataFrame) -> Iterator[list[tuple[str, list[int]]]]:
+def _blocks(items: DataFrame) -> Iterator[list[tuple[str, np.ndarray]]]:
     """The items with words, as (id as text, word hashes), in blocks of at most `BLOCK_TERMS` words or of one item."""
     block, held = [], 0
     for row in items.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).toLocalIterator():
-        hashes = hashes_of(words_of(bytes(row["text"]))).tolist()
-        if not hashes:
+        hashes = hashes_of(words_of(bytes(row["text"])))
+        if not len(hashes):
             continue
         if block and held + len(hashes) > BLOCK_TERMS:
             yield block
@@ -185,6 +212,59 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[str, list[int]]]]:
         yield block
 
 
+@dataclass(frozen=True)
+class Questions:
+    """The windows of a block of items: all runs of so many words, or the whole item if it has fewer.
+
+    The words of the block's different texts stand one after the other in `stream`, as places in the sorted `hashes`. Window i
+    has the words from `starts[i]` on, `lengths[i]` of them, and stands in the texts `texts[ends[i - 1]:ends[i]]`; each window is
+    asked once. `items` are the ids that have a text.
+    """
+
+    hashes: np.ndarray
+    stream: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray
+    texts: np.ndarray
+    ends: np.ndarray
+    items: list[list[str | None]]
+
+    def items_of(self, windows: np.ndarray) -> list[str | None]:
+        """The ids of the items that have one of these windows, null last."""
+        texts = {t for w in windows for t in self.texts[self.ends[w - 1] if w else 0:self.ends[w]].tolist()}
+        return sorted({item for t in texts for item in self.items[t]}, key=lambda x: (x is None, x))
+
+
+def questions(block: list[tuple[str, np.ndarray]], window: int = WINDOW) -> Questions:
+    ids: dict[bytes, list[str | None]] = {}
+    for item, words in block:
+        ids.setdefault(words.tobytes(), []).append(item)
+    texts = [np.frombuffer(t, np.uint64) for t in ids]
+    hashes, stream = np.unique(np.concatenate(texts), return_inverse=True)
+    stream = stream.astype(np.int32)
+    sizes = np.array([len(t) for t in texts])
+    n = np.maximum(sizes - window + 1, 1)
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), n)
+    starts = np.arange(n.sum()) + np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(n) - n), n)
+    lengths = np.minimum(sizes, window)[text]
+    # windows of equal words are found by a hash of the words, and then compared
+    key = lengths.astype(np.uint64)
+    for k in range(window):
+        inside = lengths > k
+        key[inside] = key[inside] * np.uint64(0x9E3779B97F4A7C15) + hashes[stream[starts[inside] + k]]
+    _, first, group = np.unique(key, return_index=True, return_inverse=True)
+    first = first[group]
+    equal = lengths == lengths[first]
+    for k in range(window):
+        inside = np.flatnonzero(equal & (lengths > k))
+        equal[inside] = stream[starts[inside] + k] == stream[starts[first[inside]] + k]
+    kept, group = np.unique(np.where(equal, first, np.arange(len(first))), return_inverse=True)
+    return Questions(
+        hashes, stream, starts[kept].astype(np.int32), lengths[kept].astype(np.int32),
+        text[np.argsort(group, kind="stable")], np.cumsum(np.bincount(group)).astype(np.int32), list(ids.values()),
+    )
+
+
 def _union(frames: list[DataFrame], empty: DataFrame) -> DataFrame:
     out = empty if not frames else frames[0]
     for frame in frames[1:]:
@@ -201,23 +281,14 @@ def window_hits(index: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
     ddl = f"row bigint, doc_id {kind}, spans array<struct<first:int,last:int>>, items array<string>"
 
-    def asked(block: list[tuple[str, list[int]]]) -> DataFrame:
-        owners: dict[tuple[int, ...], list[str]] = {}
-        for item, hashes in block:
-            for w in item_windows(hashes, window):
-                owners.setdefault(w, []).append(item)
-        hashes = np.unique(np.array([h for w in owners for h in w], np.uint64))
-        lengths = np.array([len(w) for w in owners], np.int64)
-        terms = np.full((len(owners), window), len(hashes), np.int64)
-        for i, w in enumerate(owners):
-            terms[i, :len(w)] = np.searchsorted(hashes, np.array(w, np.uint64))
-        shipped = index.sparkSession.sparkContext.broadcast((hashes, terms, lengths, list(owners.values())))  # bounded by the block
+    def asked(block: list[tuple[str, np.ndarray]]) -> DataFrame:
+        shipped = index.sparkSession.sparkContext.broadcast(questions(block, window))  # bounded by the block
 
         def task(batches: Iterator[Columns]) -> Iterator[dict]:
-            hashes, terms, lengths, owners = shipped.value
+            asks = shipped.value
             for batch in batches:
                 for rows, ids, n_words, segment in _segments(batch):
-                    phrase, start = segment.phrases(hashes, terms, lengths)
+                    phrase, start = segment.phrases(segment.places(asks.hashes)[asks.stream], asks.starts, asks.lengths)
                     if not len(phrase):
                         continue
                     doc = np.searchsorted(segment.doc_ends, start, "right")
@@ -228,14 +299,18 @@ def window_hits(index: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
                     for a, b in zip(cuts[:-1], cuts[1:]):
                         d = int(doc[a])
                         base = int(segment.doc_ends[d] - n_words[d])
-                        spans = merge_spans((start[a:b] - base).tolist(), (start[a:b] - base + lengths[phrase[a:b]] - 1).tolist())
+                        spans = merge_spans((start[a:b] - base).tolist(), (start[a:b] - base + asks.lengths[phrase[a:b]] - 1).tolist())
                         out["row"].append(int(rows[d]))
                         out["doc_id"].append(ids[d].as_py())
                         out["spans"].append([{"first": x, "last": y} for x, y in spans])
-                        out["items"].append(sorted({o for p in set(phrase[a:b].tolist()) for o in owners[p]}, key=lambda x: (x is None, x)))
+                        out["items"].append(asks.items_of(np.unique(phrase[a:b])))
                     yield out
 
-        return map_columns(index, ddl, task)
+        # written before the next block is read, so that neither the driver nor a worker holds several blocks
+        with setting(index.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
+            hits = stage_table(map_columns(index, ddl, task), "window-hits")
+        shipped.destroy()
+        return hits
 
     return _union([asked(block) for block in _blocks(items)], index.sparkSession.createDataFrame([], ddl))
 
@@ -256,17 +331,15 @@ def phrase_matches(index: DataFrame, items: DataFrame) -> DataFrame:
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
     ddl = f"row bigint, doc_id {kind}, item_id string, first int, last int"
 
-    def asked(block: list[tuple[str, list[int]]]) -> DataFrame:
+    def asked(block: list[tuple[str, np.ndarray]]) -> DataFrame:
         shipped = index.sparkSession.sparkContext.broadcast(block)
 
         def task(batches: Iterator[Columns]) -> Iterator[dict]:
-            hashes = np.unique(np.array([h for _, w in shipped.value for h in w], np.uint64))
-            lengths = np.array([len(w) for _, w in shipped.value], np.int64)
-            terms = [np.searchsorted(hashes, np.array(w, np.uint64)) for _, w in shipped.value]
             for batch in batches:
                 for rows, ids, n_words, segment in _segments(batch):
-                    for (item, _), term, length in zip(shipped.value, terms, lengths):
-                        _, start = segment.phrases(hashes, term[None, :], np.array([length]))
+                    for item, hashes in shipped.value:
+                        length = len(hashes)
+                        _, start = segment.phrases(segment.find_terms(hashes), np.zeros(1, np.int64), np.array([length]))
                         doc = np.searchsorted(segment.doc_ends, start, "right")
                         first = start - (segment.doc_ends[doc] - n_words[doc])
                         yield {"row": rows[doc], "doc_id": ids.take(pa.array(doc)), "item_id": [item] * len(doc), "first": first.astype(np.int32), "last": (first + length - 1).astype(np.int32)}
@@ -281,7 +354,7 @@ def proximity_matches(index: DataFrame, items: DataFrame, within: int) -> DataFr
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
     ddl = f"row bigint, doc_id {kind}, item_id string, first int, last int"
 
-    def asked(block: list[tuple[str, list[int]]]) -> DataFrame:
+    def asked(block: list[tuple[str, np.ndarray]]) -> DataFrame:
         shipped = index.sparkSession.sparkContext.broadcast(block)
 
         def task(batches: Iterator[Columns]) -> Iterator[dict]:
@@ -289,7 +362,7 @@ def proximity_matches(index: DataFrame, items: DataFrame, within: int) -> DataFr
                 for rows, ids, n_words, segment in _segments(batch):
                     out = {"row": [], "doc_id": [], "item_id": [], "first": [], "last": []}
                     for item, hashes in shipped.value:
-                        places = segment.find_terms(np.unique(np.array(hashes, np.uint64)))
+                        places = segment.find_terms(np.unique(hashes))
                         if (places < 0).any():
                             continue
                         for a, b in segment.spans(places, within):

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import AbstractContextManager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tradewind.session import remove_staged, scratch_path
+from tradewind.session import remove_staged, scratch_path, setting
 from tradewind.sources.tables import latest_per_key
 
 
@@ -101,16 +101,9 @@ class Drained:
         return [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in self.progress]
 
 
-@contextmanager
-def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+def state_in_rocksdb(spark: SparkSession) -> AbstractContextManager[None]:
     """State outside the heap, with changes in the checkpoint: what large state and the state API need."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+    return setting(spark, "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def on_time(rows: DataFrame, time: str) -> DataFrame:
