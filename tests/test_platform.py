@@ -12,6 +12,7 @@ from __spark_entry__ import oracle_sql, queries
 from catalog import platform, registry
 from tradewind import contracts
 from tradewind.operators import health, history, quality, scenarios
+from tradewind.operators.commerce import price_matrix
 from tradewind.plans import layers, refresh
 from tradewind.sources import files, payloads, tables
 from tradewind.sources.bindings import Canonical
@@ -211,3 +212,29 @@ def test_codes_of_an_order_are_looked_up_per_order(spark, monkeypatch):
     assert rows(platform._all_codes(c), *names) == [
         ("a", 5, 2, 1, 7, 3, 2, 2), ("b", 5, 2, 1, None, 3, 2, None), ("c", None, None, None, None, 4, 6, 2)]
     assert asked and not any({"order_line_id", "customer_code"} <= columns for columns in asked)
+
+
+def test_small_files_of_many_rows_are_not_broadcast(spark, tmp_path):
+    """Sorted ids take a byte or two in a file and some sixty in a broadcast; pairs made by an explode are not taken for their input."""
+    own = spark.newSession()
+    own.conf.unset("spark.sql.sources.fileCompressionFactor")
+    own.range(200_000).selectExpr(
+        "id AS p_partkey", "'a' AS p_name", "'b' AS p_brand", "'LARGE' AS p_type", "1 AS p_size", "900.0D AS p_retailprice"
+    ).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    c = Canonical(own, str(tmp_path))
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", sum(f.stat().st_size for f in (tmp_path / "part.parquet").glob("*.parquet")))
+    joined = c.products.select("product_id").join(c.products.select("product_id", "standard_cost"), "product_id")
+    pairs = own.range(1000).select(F.col("id").alias("product_id"), F.explode(F.array(F.lit(1), F.lit(2))).alias("channel_id"))
+    for df in (joined, c.price_lists, price_matrix(pairs, c.products, c.sales_channels)):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin [product_id" in plan and "BroadcastHashJoin [product_id" not in plan
+    own.conf.set("spark.sql.sources.fileCompressionFactor", "3.0")
+    Canonical(own, str(tmp_path))
+    assert own.conf.get("spark.sql.sources.fileCompressionFactor") == "3.0"
+
+
+def test_a_failed_refresh_says_why(spark, tmp_path):
+    c = Canonical(spark, "/nowhere")
+    c.__dict__["companies"] = spark.range(1).select(F.assert_true(F.lit(False), F.lit("broken source")).isNull().alias("company_id"))
+    with pytest.raises(refresh.RefreshFailed, match="companies.*broken source"):
+        refresh._write_all({"companies": lambda: c.companies}, str(tmp_path / "source"), [])
