@@ -201,3 +201,31 @@ def test_only_keys_in_several_chunks_are_carried_over(spark):
         want[n] = (k, seen.get(k, 0))
         seen[k] = seen.get(k, 0) + v
     assert got == want
+
+
+def test_moves_of_the_ledger_move_once(spark, monkeypatch):
+    """Small keys go by key through one exchange, also for the opening balance; large ones through chunks, with the same totals."""
+    from tradewind.functions import prefix
+
+    rng = random.Random(9)
+    keys = [(1, 1), (1, 2), (2, 1), (None, 1), (3, None)]
+    moves = [(f"m{n:04}", *rng.choice(keys), rng.choice(["sale_reservation", "sale_delivery", "receipt"]), START + timedelta(days=rng.randrange(9)), D(rng.randrange(-9, 9))) for n in range(400)]
+    moves += [(f"hot{n:04}", 7, 7, "sale_delivery", START, D(-1)) for n in range(300)] + [("none", 1, 1, "receipt", None, None)]
+    ledger = spark.createDataFrame(moves, "stock_move_id string, warehouse_id bigint, product_id bigint, move_type string, move_date date, quantity decimal(18,3)")
+    opening = spark.createDataFrame([(1, 1, D(5), D(1)), (1, 2, D(7), D(2)), (1, 2, D(8), D(3)), (7, 7, D(9), D(0)), (None, 1, D(4), D(4))], "warehouse_id bigint, product_id bigint, on_hand_qty decimal(18,3), reserved_qty decimal(18,3)")
+    want, seen, opened = [], defaultdict(lambda: [0, 0]), [tuple(r) for r in opening.collect()]
+    for m, w, p, kind, day, q in sorted(moves, key=lambda r: (r[4] is not None, r[4] or START, r[0])):
+        for ow, op, hand, held in opened:
+            if (ow, op) == (w, p) and None not in (w, p):
+                want.append((m, hand + seen[w, p][0], held + seen[w, p][1]))
+        if None in (w, p) or (w, p) not in {(1, 1), (1, 2), (7, 7)}:
+            want.append((m, *seen[w, p]))
+        seen[w, p][0] += 0 if kind == "sale_reservation" else q or 0
+        seen[w, p][1] += {"sale_reservation": -(q or 0), "sale_delivery": q or 0}.get(kind, 0)
+    for large in (1_000_000, 150):
+        monkeypatch.setattr(prefix, "LARGE_KEY", large)
+        got = inventory.ledger_running(opening, ledger)
+        assert sorted((r.stock_move_id, r.on_hand_before, r.reserved_before) for r in got.collect()) == sorted(want)
+        if large > 400:
+            plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert plan.count("Exchange hashpartitioning(warehouse_id") <= 2

@@ -25,6 +25,10 @@ from tradewind.session import stage_table
 
 CHUNK = "__chunk"
 
+# fixed values: a key of more rows is cut into chunks by `totals_by_key`; so many groups of keys are counted to find such keys
+LARGE_KEY = 1_000_000
+KEY_GROUPS = 65_536
+
 
 def in_chunks(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     """The rows, written in ranges of `order`, with the number of their range; read back as often as needed."""
@@ -99,6 +103,30 @@ def totals_before(
     return totals_in_chunks(chunked, keys, [*levels, *order], totals).drop(CHUNK)
 
 
+def totals_by_key(
+    rows: DataFrame,
+    keys: Sequence[str],
+    levels: Sequence[str],
+    order: Sequence[str],
+    totals: Mapping[str, Column],
+) -> DataFrame:
+    """As `totals_before`, where most keys are small: rows move once, by key, and a join by the same keys does not move them again.
+
+    The rows are written, and counted in `KEY_GROUPS` groups by a hash of their key. Groups of more than `LARGE_KEY` rows, which
+    a larger key must lie in, are cut into chunks.
+    """
+    written = stage_table(rows, "by-key")
+    group = F.pmod(F.xxhash64(*keys), F.lit(KEY_GROUPS))
+    counted = written.groupBy(group.alias("__group")).agg(F.count("*").alias("__n"))
+    large = [r[0] for r in counted.where(F.col("__n") > LARGE_KEY).select("__group").collect()]
+    small = written.where(~group.isin(large)) if large else written
+    earlier = Window.partitionBy(*keys).orderBy(*levels, *order).rowsBetween(Window.unboundedPreceding, -1)
+    found = small.select("*", *[F.coalesce(v, F.lit(0)).alias(f"__v_{n}") for n, v in totals.items()]).select(
+        *rows.columns, *[F.coalesce(F.sum(f"__v_{n}").over(earlier), F.lit(0)).alias(n) for n in totals]
+    )
+    return found.unionByName(totals_before(written.where(group.isin(large)), keys, levels, order, totals)) if large else found
+
+
 def occurrence_number(
     rows: DataFrame, keys: Sequence[str], levels: Sequence[str], order: Sequence[str], name: str
 ) -> DataFrame:

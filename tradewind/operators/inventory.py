@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradewind.functions import QUANTITY, round_money, totals_before
+from tradewind.functions import QUANTITY, round_money, totals_before, totals_by_key
 from tradewind.operators.commerce import first_failure
 from tradewind.operators.greedy import accept_groups_in_order
 from tradewind.sources.tables import deal, insert_if_absent
@@ -146,7 +146,7 @@ def replay_ledger(opening: DataFrame, moves: DataFrame, tasks: int | None = None
 
 def ledger_running(opening: DataFrame, moves: DataFrame) -> DataFrame:
     """On-hand and reserved before and after each move, with a flag for negative stock."""
-    running = totals_before(
+    running = totals_by_key(
         moves.select("stock_move_id", *STOCK_KEY, "move_type", "move_date", "quantity"),
         STOCK_KEY, ["move_date"], ["stock_move_id"],
         {"__hand": on_hand_effect(), "__held": reserved_effect()},
